@@ -19,7 +19,8 @@ _RAW_FILTERS = (
 def _string_or_list(raw: Column) -> Column:
     """A JSON value that is a string or a list of strings, as an array of stripped strings."""
     listed = F.from_json(raw, "array<string>")
-    return F.transform(F.when(raw.rlike(r"^\s*\["), listed).otherwise(F.array(raw)), tx.strip)
+    values = F.when(raw.rlike(r"^\s*\["), listed).when(raw.isNotNull(), F.array(raw))
+    return F.transform(values, tx.strip)
 
 
 def validate(requests: DataFrame, gate: GateConfig = GateConfig()) -> DataFrame:
@@ -86,7 +87,7 @@ def validate(requests: DataFrame, gate: GateConfig = GateConfig()) -> DataFrame:
         text_hash(text).alias("query_text_hash"),
         "index_name", "index_version", "top_k",
         (k * gate.candidate_multiplier).alias("candidate_k"),
-        F.when(F.col("type_filter").isNotNull(), F.col("type_filter")).alias("type_filter"),
+        "type_filter",
         F.filter("equipment_filter", lambda e: e != "").alias("equipment_filter"),
         "event_date_start", "event_date_end", "min_similarity_override",
         error.alias("error_message"),
