@@ -98,9 +98,11 @@ def shingles(text: Column, width: int = 5) -> Column:
 
 def jaccard(left: Column, right: Column) -> Column:
     """Shared share of two sets of shingles; two empty sets are equal."""
-    shared = F.size(F.array_intersect(left, right))
-    union = F.size(left) + F.size(right) - shared
-    return F.when(union == 0, F.lit(1.0)).otherwise(shared / union)
+    def share(shared: Column) -> Column:
+        union = F.size(left) + F.size(right) - shared
+        return F.when(union == 0, F.lit(1.0)).otherwise(shared / union)
+
+    return bind(F.size(F.array_intersect(left, right)), share)
 
 
 def overlaps(left: Column, right: Column, threshold: float) -> Column:

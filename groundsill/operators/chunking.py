@@ -157,7 +157,8 @@ def resplit_chunks(knowledge: DataFrame, created_at: Column, max_tokens: int,
 
     rows = _of_types(knowledge, types)
     sections = F.filter(
-        F.transform(F.split("content_text", SECTION_PATTERN), F.trim), lambda s: s != ""
+        F.transform(F.split("content_text", SECTION_PATTERN), lambda s: F.trim(s)),
+        lambda s: s != "",
     )
     pieces = rows.select(
         *[c for c in rows.columns if c != "content_text"],

@@ -66,8 +66,9 @@ def validate_generation(generations: DataFrame, bundles: DataFrame,
         mismatch = F.coalesce(
             claims_mismatch(F.col("claimed_citations"), text), F.lit(False)
         )
-    declined = F.col("generation_status") == fixed.NO_EVIDENCE
-    not_ok = ~declined & (F.coalesce("generation_status", F.lit("")) != fixed.OK)
+    status = F.coalesce("generation_status", F.lit(""))
+    declined = status == fixed.NO_EVIDENCE
+    not_ok = ~declined & (status != fixed.OK)
     refused = declined | exact_refusal
     reason = (
         F.when(declined, F.lit(None))
@@ -82,8 +83,8 @@ def validate_generation(generations: DataFrame, bundles: DataFrame,
     )
     judged = seen.withColumns({
         "failure_reason": reason,
-        "_refused": F.coalesce(refused, F.lit(False)),
-        "_refusal_seen": F.coalesce(declined | (~not_ok & refusal_like), F.lit(False)),
+        "_refused": refused,
+        "_refusal_seen": declined | (~not_ok & refusal_like),
         "_not_ok": not_ok,
     })
     failed, refused = F.col("failure_reason").isNotNull(), F.col("_refused")

@@ -19,7 +19,7 @@ _TYPES = {
     "strings": T.ArrayType(T.StringType()),
     "string_map": T.MapType(T.StringType(), T.StringType()),
     "citations": T.ArrayType(T.StructType([
-        T.StructField(name, T.StringType(), name != "anchor")
+        T.StructField(name, T.StringType())
         for name in ("anchor", "knowledge_id", "source_reference", "event_date", "equipment_id")
     ])),
 }
