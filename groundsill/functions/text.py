@@ -11,8 +11,16 @@ from groundsill import fixed
 from groundsill.functions import bind
 
 # White space as Unicode defines it; the regex engine's own \s is ASCII only.
+SPACE_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(
+    chr(code) for code in (*range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+)
 SPACE = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
+CONTROL_CHARS = "".join(chr(c) for c in range(32) if chr(c) not in SPACE_CHARS) + "\x7f"
+
+
+def blank(text: Column, chars: str) -> Column:
+    """Each of ``chars`` replaced by a blank. Far cheaper than a regex over many characters."""
+    return F.translate(text, chars, " " * len(chars))
 
 
 def any_of(words: list[str]) -> str:
@@ -30,14 +38,9 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+$", "")
 
 
-def collapse_spaces(text: Column) -> Column:
-    """Every run of white space becomes one blank."""
-    return F.regexp_replace(text, rf"{SPACE}+", " ")
-
-
 def sanitize(text: Column) -> Column:
     """Control characters to blanks, white space collapsed, ends trimmed. Wording is kept."""
-    return F.trim(collapse_spaces(F.regexp_replace(text, CONTROL, " ")))
+    return F.trim(F.regexp_replace(blank(text, CONTROL_CHARS + SPACE_CHARS), " {2,}", " "))
 
 
 def is_noise(text: Column, min_chars: int = 200, min_letter_share: float = 0.10,
@@ -68,7 +71,7 @@ def tokens_chars4(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """White-space separated words; an empty text has none."""
-    return F.filter(F.split(text, rf"{SPACE}+"), lambda word: word != "")
+    return F.filter(F.split(blank(text, SPACE_CHARS), " "), lambda word: word != "")
 
 
 def tokens_words(text: Column) -> Column:
@@ -83,17 +86,24 @@ def tokens_words13(text: Column) -> Column:
 
 def shingles(text: Column, width: int = 5) -> Column:
     """Distinct runs of ``width`` words; a shorter text is one shingle, an empty one has none."""
+    return word_shingles(words(text), width)
+
+
+def word_shingles(tokens: Column, width: int = 5) -> Column:
+    """The same for a text that is already an array of words."""
 
     def windows(tokens: Column) -> Column:
         starts = F.sequence(F.lit(1), F.size(tokens) - (width - 1))
-        runs = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, width), " "))
+        runs = F.transform(
+            starts, lambda i: F.concat_ws(" ", *[F.get(tokens, i + (j - 1)) for j in range(width)])
+        )
         return (
             F.when(F.size(tokens) == 0, F.expr("cast(array() as array<string>)"))
             .when(F.size(tokens) < width, F.array(F.array_join(tokens, " ")))
             .otherwise(F.array_distinct(runs))
         )
 
-    return bind(words(text), windows)
+    return bind(tokens, windows)
 
 
 def jaccard(left: Column, right: Column) -> Column:

@@ -14,9 +14,13 @@ from groundsill.functions import vectors as vx
 from groundsill.functions.ids import text_hash
 from groundsill.operators.numbering import dense_numbers
 from groundsill.policy import RunLimits
+from groundsill.session import ship_with_tasks
 from groundsill.sources.tables import upsert
 
 
+ship_with_tasks(__name__)
+
+
 def backlog(chunks: DataFrame, embeddings: DataFrame, model_name: str) -> DataFrame:
     """Chunks without a successful vector of this model. Failed ones come back for a retry.
 

@@ -20,6 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from groundsill.session import ship_with_tasks
+
+ship_with_tasks(__name__)
+
 # Matrix products may round differently from a plain sum by a few units in the last place;
 # anything this close to the cut is scored again exactly.
 _SLACK = 1e-9

@@ -145,12 +145,13 @@ def _fold(rows: Column, policy: SelectionPolicy) -> Column:
 
     def facts(row: Column) -> Column:
         # Shingles are built here, after the shuffle, so that only text travels.
-        live = row["drop_reason"].isNull()
-        return F.struct(
+        # Cleaned text has single blanks only and is not empty.
+        words = F.when(row["drop_reason"].isNull(), F.split(row["clean_text"], " "))
+        return bind(words, lambda w: F.struct(
             row["drop_reason"].alias("reason"),
-            F.when(live, tx.shingles(row["clean_text"])).alias("shingles"),
-            F.when(live, tx.tokens_words(row["clean_text"])).alias("tokens"),
-        )
+            F.when(w.isNotNull(), tx.word_shingles(w)).alias("shingles"),
+            F.when(w.isNotNull(), F.size(w)).alias("tokens"),
+        ))
 
     def step(state: Column, row: Column) -> Column:
         repeated = F.when(

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 # What the jobs rely on. On a cluster these are the defaults or belong in spark-defaults.
@@ -28,6 +30,12 @@ def build_session(app: str = "groundsill", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def ship_with_tasks(module: str) -> None:
+    """Send a module's functions to Python workers as code, so that executors need no copy of
+    this package on their path."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as named by ``spark.checkpoint.dir``.
 
