@@ -85,7 +85,8 @@ class _Best:
         query = self.rows["q"].to_numpy(dtype=np.int64)
         return pd.DataFrame({
             "query_id": self.ids[query], "item_id": self.rows["item"].to_numpy(),
-            "score": self.rows["score"].to_numpy(), "slot": np.full(len(query), slot, "int32"),
+            "score": self.rows["score"].to_numpy(), "k": self.k[query].astype("int32"),
+            "slot": np.full(len(query), slot, "int32"),
         })
 
 
@@ -95,7 +96,7 @@ def _matrix(column: pd.Series, dimension: int) -> np.ndarray:
     return np.stack(column.to_list()).astype(np.float64, copy=False)
 
 
-_HITS = "query_id string, item_id string, score double, slot int"
+_HITS = "query_id string, item_id string, score double, k int, slot int"
 
 
 def knn_topk(queries: DataFrame, vectors: DataFrame, dimension: int, *,
@@ -124,7 +125,7 @@ def knn_topk(queries: DataFrame, vectors: DataFrame, dimension: int, *,
         hits = _broadcast_hits(head, v, dimension, merge_slots)
     else:
         hits = _tiled_hits(q, v, dimension, fits, tile_bytes, merge_slots)
-    return _merge(hits, q.select("query_id", "k")).select(
+    return _merge(hits).select(
         F.col("query_id").alias(query_id), "rank", F.col("item_id").alias(item_id),
         F.col("score").alias("similarity"),
     )
@@ -172,16 +173,15 @@ def _tiled_hits(queries: DataFrame, vectors: DataFrame, dimension: int, block_ro
     )
 
 
-def _merge(hits: DataFrame, wanted: DataFrame) -> DataFrame:
+def _merge(hits: DataFrame) -> DataFrame:
     """Fold task-level hits to the final k per query.
 
     With very many tasks a single query collects (tasks x k) rows, so they are first cut per
     (query, slot), which spreads one query over ``slots`` reducers.
     """
     order = [F.col("score").desc(), F.col("item_id")]
-    asked = hits.join(wanted, "query_id")
     per_slot = Window.partitionBy("query_id", "slot").orderBy(*order)
-    cut = asked.withColumn("_n", F.row_number().over(per_slot)).where(F.col("_n") <= F.col("k"))
+    cut = hits.withColumn("_n", F.row_number().over(per_slot)).where(F.col("_n") <= F.col("k"))
     overall = Window.partitionBy("query_id").orderBy(*order)
     return (
         cut.withColumn("rank", F.row_number().over(overall) - 1).where(F.col("rank") < F.col("k"))

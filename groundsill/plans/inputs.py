@@ -13,6 +13,7 @@ spellings that differ.
 from __future__ import annotations
 
 import re
+import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,9 +52,13 @@ CHECKER = Dialect(
 )
 
 
+def _view(sf_dir: str, name: str) -> str:
+    return f"src_{zlib.crc32(sf_dir.rstrip('/').encode())}_{name}"
+
+
 def spark_dialect(sf_dir: str) -> Dialect:
     return Dialect(
-        table="parquet.`" + sf_dir.rstrip("/") + "/{name}.parquet`",
+        table=_view(sf_dir, "{name}"),
         sha256="sha2({0}, 256)",
         vector_zip="zip_with({0}, {1}, (x, y) -> CAST(x AS DOUBLE) {2} CAST(y AS DOUBLE))",
         vector_head="slice({0}, 1, {1})",
@@ -365,12 +370,26 @@ def needed(name: str, queries: dict[str, str]) -> list[str]:
     return [n for n in names if n in wanted]
 
 
+def spread(df: DataFrame, task_bytes: int = 8 << 20) -> DataFrame:
+    """Deal out a small table over all cores; leave a large one as it is split on disk.
+
+    A small file is often one row group and would be worked on by one task, however heavy the
+    work per row is. Past ``task_bytes`` per core there are splits enough and nothing moves.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * task_bytes else df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input as a DataFrame over the parquet tables in ``sf_dir``."""
     queries = build(spark_dialect(sf_dir))
     steps = ", ".join(f"{n} AS ({queries[n]})" for n in needed(name, queries))
+    for base in TABLES:
+        if _view(sf_dir, base) in steps:
+            table(spark, sf_dir, base).createOrReplaceTempView(_view(sf_dir, base))
     return spark.sql(f"WITH {steps} SELECT * FROM {name}")
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
