@@ -115,13 +115,28 @@ def jaccard(left: Column, right: Column) -> Column:
     return bind(F.size(F.array_intersect(left, right)), share)
 
 
-def overlaps(left: Column, right: Column, threshold: float) -> Column:
-    """``jaccard >= threshold``, intersecting only sets whose sizes allow it."""
+def overlap_key(ordered: Column, threshold: float) -> Column:
+    """The leading part of a sorted set that any set with ``jaccard >= threshold`` must meet.
+
+    Two such sets share at least ``threshold`` of either one, so they cannot both have all
+    shared members past this many leading ones. Rounding the share down errs on the long side.
+    """
+    size = F.size(ordered)
+    return F.slice(ordered, 1, F.greatest(size - F.floor(size * threshold).cast("int") + 1,
+                                          F.lit(1)))
+
+
+def overlaps(left: Column, right: Column, left_key: Column, right_key: Column,
+             threshold: float) -> Column:
+    """``jaccard >= threshold`` of two sets with their keys; most pairs end at a cheap test."""
     smaller = F.least(F.size(left), F.size(right))
     larger = F.greatest(F.size(left), F.size(right))
     # The share can never exceed smaller / larger.
-    impossible = smaller / F.greatest(larger, F.lit(1)) < threshold
-    return F.when((larger > 0) & impossible, False).otherwise(jaccard(left, right) >= threshold)
+    possible = (larger == 0) | (
+        (smaller / F.greatest(larger, F.lit(1)) >= threshold)
+        & F.arrays_overlap(left_key, right_key)
+    )
+    return F.when(possible, jaccard(left, right) >= threshold).otherwise(False)
 
 
 def is_placeholder(text: Column) -> Column:

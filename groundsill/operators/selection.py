@@ -142,62 +142,72 @@ def _fold(rows: Column, policy: SelectionPolicy) -> Column:
     One that does not fit the budget is skipped and the next is tried.
     """
     cap, budget = policy.per_chunk_tokens, policy.max_evidence_tokens
+    threshold = policy.overlap_ratio_threshold
 
-    def facts(row: Column) -> Column:
-        # Shingles are built here, after the shuffle, so that only text travels.
-        # Cleaned text has single blanks only and is not empty.
+    def fact(row: Column) -> Column:
+        # Shingles are built here, after the shuffle, so that only text travels. Cleaned text
+        # has single blanks only and is not empty.
         words = F.when(row["drop_reason"].isNull(), F.split(row["clean_text"], " "))
+
+        def measured(w: Column) -> Column:
+            return bind(F.sort_array(tx.word_shingles(w)), lambda s: F.struct(
+                s.alias("all"), tx.overlap_key(s, threshold).alias("key"),
+                F.size(w).alias("tokens"),
+            ))
+
         return bind(words, lambda w: F.struct(
-            row["drop_reason"].alias("reason"),
-            F.when(w.isNotNull(), tx.word_shingles(w)).alias("shingles"),
-            F.when(w.isNotNull(), F.size(w)).alias("tokens"),
+            row["drop_reason"].alias("reason"), F.when(w.isNotNull(), measured(w)).alias("text")
         ))
 
-    def step(state: Column, row: Column) -> Column:
-        repeated = F.when(
-            row["reason"].isNull(),
-            F.exists(
-                state["kept"],
-                lambda k: tx.overlaps(k, row["shingles"], policy.overlap_ratio_threshold),
-            ),
-        ).otherwise(F.lit(False))
-        trimmed = F.least(row["tokens"], F.lit(cap))
-        no_room = (F.size(state["kept"]) >= policy.max_chunks) | (
-            state["used"] + trimmed > budget
-        )
+    def folded(facts: Column) -> Column:
+        # The state names kept rows by position and looks them up, so that it stays small.
+        def step(state: Column, position: Column) -> Column:
+            row = F.get(facts, position)
+            text = row["text"]
 
-        def decide(is_repeat: Column) -> Column:
-            reason = (
-                F.when(row["reason"].isNotNull(), row["reason"])
-                .when(is_repeat, F.lit(fixed.DROP_OVERLAP))
-                .when(no_room, F.lit(fixed.DROP_BUDGET))
-            )
-            taken = row["reason"].isNull() & ~is_repeat & ~no_room
-            decision = F.struct(
-                reason.alias("reason"),
-                F.when(taken, row["tokens"] > cap).alias("needs_trim"),
-                F.when(taken, trimmed).alias("reserved_tokens"),
-            )
-            return F.struct(
-                F.when(
-                    row["reason"].isNull() & ~is_repeat,
-                    F.concat(state["kept"], F.array(row["shingles"])),
-                ).otherwise(state["kept"]).alias("kept"),
-                (state["used"] + F.when(taken, trimmed).otherwise(F.lit(0))).alias("used"),
-                F.concat(state["out"], F.array(decision)).alias("out"),
+            def near(kept_position: Column) -> Column:
+                kept = F.get(facts, kept_position)["text"]
+                return tx.overlaps(kept["all"], text["all"], kept["key"], text["key"], threshold)
+
+            repeated = row["reason"].isNull() & F.exists(state["kept"], near)
+            trimmed = F.least(text["tokens"], F.lit(cap))
+            no_room = (F.size(state["kept"]) >= policy.max_chunks) | (
+                state["used"] + trimmed > budget
             )
 
-        return bind(repeated, decide)
+            def decide(is_repeat: Column) -> Column:
+                reason = (
+                    F.when(row["reason"].isNotNull(), row["reason"])
+                    .when(is_repeat, F.lit(fixed.DROP_OVERLAP))
+                    .when(no_room, F.lit(fixed.DROP_BUDGET))
+                )
+                distinct = row["reason"].isNull() & ~is_repeat
+                taken = distinct & ~no_room
+                decision = F.struct(
+                    reason.alias("reason"),
+                    F.when(taken, text["tokens"] > cap).alias("needs_trim"),
+                    F.when(taken, trimmed).alias("reserved_tokens"),
+                )
+                return F.struct(
+                    F.when(distinct, F.concat(state["kept"], F.array(position)))
+                    .otherwise(state["kept"]).alias("kept"),
+                    (state["used"] + F.when(taken, trimmed).otherwise(F.lit(0))).alias("used"),
+                    F.concat(state["out"], F.array(decision)).alias("out"),
+                )
+
+            return bind(repeated, decide)
+
+        start = F.struct(
+            F.expr("cast(array() as array<int>)").alias("kept"), F.lit(0).alias("used"),
+            F.expr(
+                "cast(array() as array<struct<reason:string,needs_trim:boolean,"
+                "reserved_tokens:int>>)"
+            ).alias("out"),
+        )
+        positions = F.sequence(F.lit(0), F.size(facts) - 1)
+        return F.aggregate(positions, start, step, lambda state: state["out"])
 
-    start = F.struct(
-        F.expr("cast(array() as array<array<string>>)").alias("kept"),
-        F.lit(0).alias("used"),
-        F.expr(
-            "cast(array() as array<struct<reason:string,needs_trim:boolean,"
-            "reserved_tokens:int>>)"
-        ).alias("out"),
-    )
-    return F.aggregate(F.transform(rows, facts), start, step, lambda state: state["out"])
+    return bind(F.transform(rows, fact), folded)
 
 
 def select_evidence(candidates: DataFrame, policy: SelectionPolicy,

@@ -554,12 +554,17 @@ def shingles(s: Stages) -> DataFrame:
     text = F.col("content_text")
     tail = F.array_join(F.slice(tx.words(text), 8, 100000), " ")
     built = s.documents.select(
-        "knowledge_id", tx.shingles(text).alias("a"), tx.shingles(tail).alias("b")
+        "knowledge_id", F.sort_array(tx.shingles(text)).alias("a"),
+        F.sort_array(tx.shingles(tail)).alias("b"),
     )
+    limit = POLICY.overlap_ratio_threshold
     return built.select(
         "knowledge_id", F.size("a").alias("n_shingles"), F.size("b").alias("n_tail"),
         tx.jaccard(F.col("a"), F.col("b")).alias("ratio"),
-        tx.overlaps(F.col("a"), F.col("b"), POLICY.overlap_ratio_threshold).alias("overlap"),
+        tx.overlaps(
+            F.col("a"), F.col("b"), tx.overlap_key(F.col("a"), limit),
+            tx.overlap_key(F.col("b"), limit), limit,
+        ).alias("overlap"),
     )
 
 
