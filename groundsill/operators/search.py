@@ -152,12 +152,16 @@ def _tiled_hits(queries: DataFrame, vectors: DataFrame, dimension: int, block_ro
     n_blocks = -(-queries.count() // block_rows)
     n_tiles = max(1, -(-vectors.count() * 8 * dimension // tile_bytes))
     left = queries.select(
-        F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_tiles - 1))).alias("tile"), "*",
+        F.pmod(F.xxhash64("query_id"), F.lit(n_blocks).cast("bigint")).alias("block"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_tiles - 1).cast("bigint"))).alias(
+            "tile"
+        ), "*",
     )
     right = vectors.select(
-        F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).cast("bigint").alias("block"),
-        F.pmod(F.xxhash64("item_id"), F.lit(n_tiles)).cast("int").alias("tile"), "*",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_blocks - 1).cast("bigint"))).alias(
+            "block"
+        ),
+        F.pmod(F.xxhash64("item_id"), F.lit(n_tiles).cast("bigint")).alias("tile"), "*",
     )
 
     def meet(key: tuple, asked: pd.DataFrame, tile: pd.DataFrame) -> pd.DataFrame:
