@@ -33,6 +33,7 @@ from groundsill.sources import index_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+ON_STAGES: dict[str, Callable[[Stages], DataFrame]] = {}
 
 RESPLIT_TOKENS = 300
 RETENTION_AS_OF = "2024-04-10"
@@ -81,6 +82,7 @@ def register(fn: Callable[[Stages], DataFrame]) -> Callable[[Stages], DataFrame]
 
     run.__name__, run.__doc__ = fn.__name__, fn.__doc__
     QUERIES[fn.__name__] = run
+    ON_STAGES[fn.__name__] = lambda stages: flatten(fn(stages))
     return fn
 
 
@@ -223,7 +225,9 @@ def quarantine_rows(s: Stages) -> DataFrame:
     )
 
 
+# The module of that name is in use above, so the function could not carry it.
 QUERIES["quarantine"] = QUERIES.pop("quarantine_rows")
+ON_STAGES["quarantine"] = ON_STAGES.pop("quarantine_rows")
 
 
 @register

@@ -8,6 +8,8 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as contract
+from groundsill.plans.catalog import ON_STAGES
+from groundsill.plans.stages import Stages
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
@@ -18,13 +20,19 @@ def con():
     return connect(SF_DIR)
 
 
+@pytest.fixture(scope="module")
+def stages(spark):
+    """One chain for all queries, so that stages written once are written once for all."""
+    return Stages(spark, SF_DIR)
+
+
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(contract.queries()) == set(contract.oracle_sql()) == set(ON_STAGES)
 
 
 @pytest.mark.parametrize("key", sorted(contract.queries()))
-def test_query_matches_sql(spark, con, key):
-    df = contract.queries()[key](spark, SF_DIR)
+def test_query_matches_sql(stages, con, key):
+    df = ON_STAGES[key](stages)
     assert difference(df, con, contract.oracle_sql()[key]) is None
 
 
