@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import tempfile
+import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -53,14 +54,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back from there.
+    """Write ``df`` once as Parquet into the shared folder and read it back from there.
 
-    Used where two branches must see the same physical rows (for example partition numbers).
-    The copy is reliable: it outlives the executors that wrote it.
+    Used where several branches must see the same physical rows or where recomputing them costs
+    more than storing them. The copy outlives the executors that wrote it, and later readers
+    still prune columns and push filters down.
     """
     spark = df.sparkSession
-    target = shared_dir(spark)
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(target)
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(spark).rstrip('/')}/groundsill/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
