@@ -5,16 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundsill.llm import substring
+from groundsill.llm import minhash, substring
 from groundsill.llm.tables import table
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), minhash.MinHash(shingle=4))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.remove_repeats(documents, window=20, with_text=False).select(
         "doc_id", "n_words", "n_removed", "kept_sha256", "removed_spans")
 
 
-QUERIES = {"op10_substring_dedup": op10_substring_dedup}
+QUERIES = {
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op10_substring_dedup": op10_substring_dedup,
+}
 
 ORACLE_SQL: dict[str, str] = {}
