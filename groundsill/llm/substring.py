@@ -33,7 +33,7 @@ ship_with_tasks(__name__)
 
 LEAF = np.dtype([("node", "<u8"), ("doc", "<i8"), ("start", "<i4")])
 KEY_BITS = 20
-BLOCK_BYTES = 8 << 20
+BLOCK_WORDS = 1 << 20
 _LADDER = (1, 2, 4, 8, 16)
 
 
@@ -84,8 +84,13 @@ def _blocks(batch: pa.RecordBatch, window: int) -> Iterator[_Block]:
     batch = batch.filter(batch.column("doc").is_valid())
     batch = batch.take(pa.compute.sort_indices(batch.column("doc")))
     docs = batch.column("doc").to_numpy(zero_copy_only=False)
-    for row, end, data, offsets in words.slices(batch.column("text"), BLOCK_BYTES):
-        yield _Block(docs[row:end], words.hash_words(data, offsets, lower=False), window)
+    begin, held, parts = 0, 0, []
+    for _, end, data, offsets in words.slices(batch.column("text")):
+        parts.append(words.hash_words(data, offsets, lower=False))
+        held += len(parts[-1].hashes)
+        if held >= BLOCK_WORDS or end == len(docs):
+            yield _Block(docs[begin:end], words.together(parts), window)
+            begin, held, parts = end, 0, []
 
 
 def _texts(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -151,7 +156,7 @@ def _runs(starts: np.ndarray) -> bytes:
 
 
 def repeats(documents: DataFrame, window: int = 20, id_col: str = "doc_id",
-            text_col: str = "text", group_suffixes: int = 1 << 21,
+            text_col: str = "text", group_suffixes: int = 1 << 20,
             resolution: int = 4096) -> DataFrame:
     """Per document with repeats: ``doc`` and ``runs``, the starts of all windows of ``window``
     words that also start earlier (smaller id, or same id and earlier start), as packed int32

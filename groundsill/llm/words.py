@@ -16,7 +16,7 @@ from groundsill.session import ship_with_tasks
 
 ship_with_tasks(__name__)
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
@@ -57,6 +57,13 @@ class Words:
         return np.diff(self.first)
 
 
+def together(parts: list[Words]) -> Words:
+    """The rows of all parts, one after the other."""
+    sizes = np.concatenate([p.count() for p in parts])
+    return Words(np.concatenate([[0], np.cumsum(sizes)]),
+                 np.concatenate([p.hashes for p in parts]))
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts end to end, and where each row begins; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
