@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from groundsill.llm import minhash, substring
+from groundsill.llm import decontaminate, langid, minhash, mixing, substring
 from groundsill.llm.tables import table
 
 
@@ -14,6 +13,22 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents").select("doc_id", "text"), minhash.MinHash(shingle=4))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        table(spark, sf_dir, "benchmark"))
+
+
+def op7_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return langid.identify(documents.select("doc_id", "text"), learn_from=documents).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.remove_repeats(documents, window=20, with_text=False).select(
@@ -22,7 +37,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op6_decontaminate": op6_decontaminate,
+    "op7_poisson_mix": op7_poisson_mix,
+    "op9_language_id": op9_language_id,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_poisson_mix": mixing.sql("documents"),
+}
