@@ -44,12 +44,20 @@ def build(keys: DataFrame, key_hash: Column, blocks: int = BLOCKS) -> DataFrame:
         *[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(_WORDS)])
 
 
-def maybe_in(df: DataFrame, key_hash: Column, built: DataFrame, blocks: int = BLOCKS) -> DataFrame:
-    """Rows of ``df`` whose hash may be among the filter's keys; never loses one that is."""
+def _probe(df: DataFrame, key_hash: Column, built: DataFrame, blocks: int, how: str) -> DataFrame:
     names = {f"w{i}": f"_bloom_w{i}" for i in range(_WORDS)} | {"block": "_bloom_block"}
     filter_rows = built.withColumnsRenamed(names)
     test = reduce(lambda a, b: a & b, [
         F.col(f"_bloom_w{i}").bitwiseAND(m) == m for i, m in enumerate(_masks(key_hash))])
     return df.join(
-        F.broadcast(filter_rows), (_block(key_hash, blocks) == F.col("_bloom_block")) & test,
-        "left_semi")
+        F.broadcast(filter_rows), (_block(key_hash, blocks) == F.col("_bloom_block")) & test, how)
+
+
+def maybe_in(df: DataFrame, key_hash: Column, built: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+    """Rows of ``df`` whose hash may be among the filter's keys; never loses one that is."""
+    return _probe(df, key_hash, built, blocks, "left_semi")
+
+
+def not_in(df: DataFrame, key_hash: Column, built: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+    """The other rows: those whose hash is surely not among the filter's keys, or null."""
+    return _probe(df, key_hash, built, blocks, "left_anti")

@@ -79,7 +79,7 @@ def _sets(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarra
             one = np.unique(hashed[before[r] : before[r] + full[r]])
         elif count[r]:
             one = words.runs_hash(found.hashes, int(count[r]), found.first[r : r + 1])
-            one = words.mix(one + np.uint64(count[r]) * words.MULTIPLIERS[255])
+            one = words.mix(one + words.MULTIPLIERS[254:255] * count[r : r + 1].astype(np.uint64))
         else:
             one = hashed[:0]
         pieces.append(one)

@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from groundsill.llm import decontaminate, langid, minhash, mixing, substring
+from groundsill.llm import decontaminate, langid, minhash, mixing, substring, urls, warc
 from groundsill.llm.tables import table
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules of the contract, then a list of all pages on hosts that call themselves spam."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    rules = spark.createDataFrame(urls.RULES, "rule string, verdict string")
+    spam = reduce(lambda a, b: a | b, [
+        urls.host(F.col("url")).contains(word) for word in urls.SPAM_HOSTS])
+    return urls.judge(pages, rules, pages.where(spam).select("url")).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(
         table(spark, sf_dir, "documents").select("doc_id", "text"), minhash.MinHash(shingle=4))
@@ -23,6 +36,10 @@ def op7_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_records(spark, warc.archive(table(spark, sf_dir, "pages")))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return langid.identify(documents.select("doc_id", "text"), learn_from=documents).select(
@@ -36,13 +53,17 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op7_poisson_mix": op7_poisson_mix,
+    "op8_warc": op8_warc,
     "op9_language_id": op9_language_id,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_url_filter": urls.SQL,
     "op7_poisson_mix": mixing.sql("documents"),
+    "op8_warc": warc.SQL,
 }

@@ -1,8 +1,12 @@
-"""Reading the given tables, as one place for all operators' queries."""
+"""Reading the given tables and leaving out listed rows, for all operators."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from groundsill.llm import bloom
+from groundsill.session import materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,3 +19,17 @@ def free_name(df: DataFrame, stem: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def without(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose id is not in the one column of ``ids``; null ids stay.
+
+    A Bloom filter of the ids lets most other rows pass where they were read, so that only
+    possible hits are shuffled to the exact anti join.
+    """
+    listed = materialize(ids.select(F.col(ids.columns[0]).cast("long").alias("_listed_id")).distinct())
+    built = bloom.build(listed, F.xxhash64("_listed_id"))
+    own = F.col(id_col).cast("long")
+    key = F.when(own.isNotNull(), F.xxhash64(own))
+    return bloom.not_in(df, key, built).unionByName(
+        bloom.maybe_in(df, key, built).join(listed, own == F.col("_listed_id"), "left_anti"))
