@@ -7,7 +7,18 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundsill.llm import decontaminate, langid, minhash, mixing, substring, urls, warc
+from groundsill.llm import (
+    decontaminate,
+    extract,
+    langid,
+    minhash,
+    mixing,
+    neighbours,
+    substring,
+    tokens,
+    urls,
+    warc,
+)
 from groundsill.llm.tables import table
 
 
@@ -21,11 +32,39 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(
         table(spark, sf_dir, "documents").select("doc_id", "text"), minhash.MinHash(shingle=4))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document counted before and after four edits: its first line goes, a mark is put into its
+    middle, the stretch after its first third becomes its source, and a line is added at its end."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    size = F.length("text")
+    line = F.instr("text", "\n")
+    edits = F.array(*[
+        F.struct(F.greatest(start, F.lit(0)).cast("bigint").alias("start"),
+                 length.cast("bigint").alias("length"), replacement.alias("replacement"))
+        for start, length, replacement in [
+            (F.lit(0), line, F.lit("")),
+            (F.floor((size - line) / 2), F.lit(0), F.lit(" [edited] ")),
+            (F.floor((size - line) / 3), F.lit(12), F.col("source")),
+            (size - line + 20, F.lit(0), F.lit("\nSource: edited by hand.")),
+        ]])
+    return tokens.count_edited(documents, edits).select(
+        "doc_id", "tokens_before", "tokens_after", "n_edits", "n_pretokens", "n_reencoded")
+
+
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.search(embeddings, embeddings.where("vec_id % 20 = 0"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(
         table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -54,7 +93,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_html_extraction": op2_html_extraction,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_token_counts": op4_token_counts,
+    "op5_neighbours": op5_neighbours,
     "op6_decontaminate": op6_decontaminate,
     "op7_poisson_mix": op7_poisson_mix,
     "op8_warc": op8_warc,

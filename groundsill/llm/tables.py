@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from groundsill.llm import bloom
 from groundsill.session import materialize
@@ -33,3 +34,18 @@ def without(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
     key = F.when(own.isNotNull(), F.xxhash64(own))
     return bloom.not_in(df, key, built).unionByName(
         bloom.maybe_in(df, key, built).join(listed, own == F.col("_listed_id"), "left_anti"))
+
+
+def bounded_sample(df: DataFrame, key: str, most: int, order: Column) -> DataFrame:
+    """At most ``most`` rows per key, those first in ``order`` (a hash of what the rows say).
+
+    A count per key first gives the share of the hash range that holds about three times the sample;
+    so a key with a third of all rows does not bring more than that to one task.
+    """
+    sizes = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_have"))
+    share = F.least(F.lit(1.0), F.lit(3.0 * most + 30) / F.col("_have"))
+    ranked = df.withColumn("_order", order).join(
+        sizes, F.col(key).eqNullSafe(F.col("_key"))).where(
+            F.pmod(F.hash("_order"), F.lit(1 << 20)) <= share * (1 << 20)).drop("_key", "_have")
+    return ranked.withColumn("_rank", F.row_number().over(
+        Window.partitionBy(key).orderBy("_order"))).where(F.col("_rank") <= most).drop("_rank")
