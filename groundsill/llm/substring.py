@@ -22,12 +22,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundsill.llm import words
+from groundsill.llm import bloom, words
 from groundsill.llm.tables import free_name
-from groundsill.session import ship_with_tasks
+from groundsill.session import materialize, ship_with_tasks
 
 ship_with_tasks(__name__)
 
@@ -294,12 +295,16 @@ def remove_repeats(documents: DataFrame, window: int = 20, id_col: str = "doc_id
     carried = [c for c in base.columns if c != text_col]
     runs, doc = free_name(base, "runs"), free_name(base, "doc")
     found = found.select(F.col("doc").alias(doc), F.col("runs").alias(runs))
-    joined = base.join(
+    # Only texts that may have repeats are shuffled to meet them; the others, and null ids, are cut
+    # where they were read.
+    found = materialize(found)
+    key = F.xxhash64(F.col(id_col).cast("long"))
+    key = F.when(F.col(id_col).isNotNull(), key)
+    built = bloom.build(found, F.xxhash64(doc))
+    joined = bloom.maybe_in(base, key, built).join(
         found.hint("shuffle_hash"), F.col(id_col).cast("long") == F.col(doc), "left"
-    ).drop(doc)
-    # Null ids would all meet in one task of the join; they match nothing, so they go round it.
-    joined = joined.where(F.col(id_col).isNotNull()).unionByName(
-        base.where(F.col(id_col).isNull()).withColumn(runs, F.lit(None).cast("binary")))
+    ).drop(doc).unionByName(
+        bloom.not_in(base, key, built).withColumn(runs, F.lit(None).cast("binary")))
     kept_columns = base.columns if with_text else carried
     types = dict((f.name, f.dataType.simpleString()) for f in base.schema.fields)
     schema = ", ".join(
