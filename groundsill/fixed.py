@@ -168,3 +168,43 @@ PROVIDER_ERRORS = [
     ("SERVER_5XX", ["5xx", "internal server error", "server error"]),
     ("NETWORK", ["connection", "network"]),
 ]
+
+# Wording of the narratives. Each phrase names one field.
+NARRATIVES = {
+    "incident": [
+        "Incident report of {incident_date}:", "line {line_id},", "machine {equipment_name}",
+        "of type {equipment_type}.", "Observed failure: {failure_type};", "class: {failure_category}.",
+        "Cause found: {root_cause}.", "Production stood still for {downtime_minutes} min.",
+        "Remedy: {resolution_action}.", "Rated {severity}.",
+    ],
+    "quality": [
+        "Inspection of {inspection_date}", "at the {inspection_stage} stage:", "{product_name}",
+        "with item number {product_sku}", "from line {line_id}.", "Defect: {defect_type};",
+        "class: {defect_category}.", "Rejected pieces: {defect_count};",
+        "checked pieces: {total_inspected};", "share in percent: {defect_rate_percent}.",
+        "Measure taken: {corrective_action}.",
+    ],
+    "maintenance": [
+        "Service of {maintenance_date}:", "kind {maintenance_type},", "machine {equipment_name},",
+        "number {equipment_id},", "line {line_id}.", "Field of work: {maintenance_category};",
+        "reason: {failure_mode}.", "Work done: {work_performed}.",
+        "Condition afterwards: {equipment_status}.",
+    ],
+    "production": [
+        "Shift report of {shift_date},", "{shift} shift,", "line {line_id}.",
+        "Effectiveness in percent: {oee_percent}", "(aim {target_oee_percent}).",
+        "Pieces made: {total_units_produced};", "good: {good_units};", "defective: {defect_units};",
+        "standstill in min: {downtime_min}.", "Speed in percent: {performance_percent};",
+        "yield in percent: {quality_percent}.", "Remarks: {notes}.",
+    ],
+    "sop": [
+        "{sop_id},", "{document_title},", "for {equipment_name}:", "{content_text}",
+    ],
+}
+
+
+def phrase_parts(phrase: str) -> tuple[str, str, str]:
+    """What stands before the field, the field's name, and what stands after it."""
+    before, _, rest = phrase.partition("{")
+    name, _, after = rest.partition("}")
+    return before, name, after

@@ -8,30 +8,44 @@ from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 
+# The columns of each source, in file order.
 GOLD_COLUMNS = {
-    "quality": """metric_id product_sku product_name batch_id inspection_date inspection_time
-        defect_type defect_category defect_count total_inspected defect_rate_percent
-        defect_rate_ppm inspection_stage inspector_id inspector_name measurement_tool
-        corrective_action corrective_action_date specification_limit_percent
-        specification_type cost_impact_usd rework_hours scrap_count line_id equipment_id shift
-        temperature_c humidity_percent""".split(),
-    "production": """metric_id line_id shift_date shift planned_production_time_min
-        downtime_min operating_time_min ideal_cycle_time_sec total_units_produced good_units
-        defect_units availability_percent performance_percent quality_percent oee_percent
-        target_oee_percent equipment_ids_used crew_size shift_supervisor notes""".split(),
-    "maintenance": """maintenance_id equipment_id equipment_name equipment_type line_id
-        maintenance_type maintenance_category maintenance_date start_time end_time
-        duration_hours technician_id technician_name certification_level parts_replaced
-        part_numbers parts_cost_usd labor_cost_usd total_cost_usd work_performed work_order_id
-        failure_mode next_maintenance_date maintenance_interval_days equipment_status
-        downtime_impact pm_compliance_percent mtbf_hours work_priority vendor_service""".split(),
-    "incident": """incident_id incident_date equipment_name equipment_type line_id
-        failure_type failure_category root_cause downtime_minutes resolution_action severity
-        shift reported_by verified_by environmental_temp_c humidity_percent
-        production_impact_units labor_hours parts_cost_usd mttr_minutes mtbf_hours""".split(),
-    "sop": """sop_id document_title document_type equipment_id equipment_name version
-        effective_date review_date author approver regulatory_reference page_count word_count
-        last_updated content_text""".split(),
+    "quality": [
+        "metric_id", "product_sku", "product_name", "batch_id", "inspection_date",
+        "inspection_time", "defect_type", "defect_category", "defect_count", "total_inspected",
+        "defect_rate_percent", "defect_rate_ppm", "inspection_stage", "inspector_id",
+        "inspector_name", "measurement_tool", "corrective_action", "corrective_action_date",
+        "specification_limit_percent", "specification_type", "cost_impact_usd", "rework_hours",
+        "scrap_count", "line_id", "equipment_id", "shift", "temperature_c", "humidity_percent",
+    ],
+    "production": [
+        "metric_id", "line_id", "shift_date", "shift", "planned_production_time_min",
+        "downtime_min", "operating_time_min", "ideal_cycle_time_sec", "total_units_produced",
+        "good_units", "defect_units", "availability_percent", "performance_percent",
+        "quality_percent", "oee_percent", "target_oee_percent", "equipment_ids_used",
+        "crew_size", "shift_supervisor", "notes",
+    ],
+    "maintenance": [
+        "maintenance_id", "equipment_id", "equipment_name", "equipment_type", "line_id",
+        "maintenance_type", "maintenance_category", "maintenance_date", "start_time",
+        "end_time", "duration_hours", "technician_id", "technician_name", "certification_level",
+        "parts_replaced", "part_numbers", "parts_cost_usd", "labor_cost_usd", "total_cost_usd",
+        "work_performed", "work_order_id", "failure_mode", "next_maintenance_date",
+        "maintenance_interval_days", "equipment_status", "downtime_impact",
+        "pm_compliance_percent", "mtbf_hours", "work_priority", "vendor_service",
+    ],
+    "incident": [
+        "incident_id", "incident_date", "equipment_name", "equipment_type", "line_id",
+        "failure_type", "failure_category", "root_cause", "downtime_minutes",
+        "resolution_action", "severity", "shift", "reported_by", "verified_by",
+        "environmental_temp_c", "humidity_percent", "production_impact_units", "labor_hours",
+        "parts_cost_usd", "mttr_minutes", "mtbf_hours",
+    ],
+    "sop": [
+        "sop_id", "document_title", "document_type", "equipment_id", "equipment_name",
+        "version", "effective_date", "review_date", "author", "approver",
+        "regulatory_reference", "page_count", "word_count", "last_updated", "content_text",
+    ],
 }
 
 

@@ -32,8 +32,8 @@ def test_null_fields_are_skipped_not_the_sentence(spark):
     row.update(incident_date="2024-01-15", root_cause=None)
     schema = ", ".join(f"{n} string" for n in row)
     out = knowledge.from_incidents(spark.createDataFrame([tuple(row.values())], schema)).first()
-    assert out.content_text.startswith("On 2024-01-15, the equipment <equipment_name> (")
-    assert "identified was This incident" in out.content_text
+    assert out.content_text.startswith("Incident report of 2024-01-15: line <line_id>, machine")
+    assert "class: <failure_category>. Production stood still" in out.content_text
     assert out.event_date == dt.date(2024, 1, 15)
     assert len(out.metadata) == 10
 
