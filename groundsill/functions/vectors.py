@@ -23,10 +23,11 @@ def norm(vector: Column) -> Column:
 
 
 def normalize(vector: Column) -> Column:
-    """Unit vector, or null where the norm is zero or the vector is missing."""
+    """Unit vector, or null where the norm is zero or not finite or the vector is missing."""
 
     def scaled(length: Column) -> Column:
-        return F.when(length > 0, F.transform(as_double(vector), lambda x: x / length))
+        # NaN counts as larger than any number.
+        return F.when((length > 0) & (length < float("inf")), F.transform(as_double(vector), lambda x: x / length))
 
     return bind(norm(vector), scaled)
 

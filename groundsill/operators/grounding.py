@@ -113,9 +113,9 @@ def validate_generation(generations: DataFrame, bundles: DataFrame,
         F.when(why == fixed.INVALID_CITATION, F.col("_invalid")).otherwise(none).alias(
             "invalid_anchors"
         ),
-        F.when(why == fixed.UNCITED_FACT, F.substring(F.try_element_at("_uncited", F.lit(1)), 1,
-                                                      200)).alias("example_uncited"),
-        F.when(why == fixed.EXTERNAL_KNOWLEDGE, F.slice("_external", 1, 10)).otherwise(
+        F.when(why == fixed.UNCITED_FACT, F.try_element_at("_uncited", F.lit(1))).alias(
+            "example_uncited"),
+        F.when(why == fixed.EXTERNAL_KNOWLEDGE, F.col("_external")).otherwise(
             none
         ).alias("suspicious_new_ids"),
         F.col("_refusal_seen").alias("refusal_detected"),

@@ -173,15 +173,25 @@ def require_valid(verdict: DataFrame) -> DataFrame:
 def export_index(rows: DataFrame) -> DataFrame:
     """Numbered vectors with metadata in one dataset, sorted by chunk id.
 
-    ``vector_id`` runs 0..n-1 by chunk id. Rows whose vector has no direction are left out;
-    ``vector_checks`` names them.
+    ``vector_id`` runs 0..n-1 by chunk id. Only narrow keys are numbered; vectors and texts join
+    their number. Rows whose vector cannot be searched are in ``rejected_vectors``.
     """
     unit = rows.select(
         "chunk_id", vx.normalize(F.col("embedding_vector")).alias("unit_vector"),
         "knowledge_id", "knowledge_type", "event_date", "equipment_id", "line_id",
         "source_reference", "chunk_text",
     ).where(F.col("unit_vector").isNotNull())
-    return dense_numbers(unit, "chunk_id", "vector_id")
+    numbers = dense_numbers(unit.select("chunk_id"), "chunk_id", "vector_id")
+    return unit.join(numbers, "chunk_id")
+
+
+def rejected_vectors(rows: DataFrame, dimension: int) -> DataFrame:
+    """Rows that ``export_index`` cannot take, with the reason."""
+    return rows.select(
+        "chunk_id", "knowledge_id",
+        vx.vector_error(F.col("embedding_vector"), dimension).alias("error_code"),
+        vx.normalize(F.col("embedding_vector")).alias("_unit"),
+    ).where(F.col("_unit").isNull()).drop("_unit")
 
 
 def build_manifest(export: DataFrame, pin: EmbeddingPin, index_name: str, index_version: str,

@@ -1,32 +1,50 @@
-"""Raw search requests: normalised, judged, routed. One projection, no shuffle."""
+"""Raw search requests: normalised, judged, routed. One shuffle, by request id."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from groundsill import fixed
 from groundsill.functions import text as tx
 from groundsill.functions.ids import text_hash
 from groundsill.policy import GateConfig
 
-_RAW_FILTERS = (
-    "knowledge_type_effective string, equipment_id string,"
-    " event_date_start string, event_date_end string"
-)
+_FILTERS = ["knowledge_type_effective", "equipment_id", "event_date_start", "event_date_end"]
 
 
-def _string_or_list(raw: Column) -> Column:
+def _kind(name: str) -> Column:
+    """What a filter's JSON value is: STRING, ARRAY<...>, another type, or null if it is absent."""
+    return F.schema_of_variant(F.try_variant_get("_json", f"$.{name}", "variant"))
+
+
+def _strings(name: str) -> Column:
     """A JSON value that is a string or a list of strings, as an array of stripped strings."""
-    listed = F.from_json(raw, "array<string>")
-    values = F.when(raw.rlike(r"^\s*\["), listed).when(raw.isNotNull(), F.array(raw))
+    listed = F.try_variant_get("_json", f"$.{name}", "array<string>")
+    alone = F.try_variant_get("_json", f"$.{name}", "string")
+    values = F.when(_kind(name).startswith("ARRAY"), listed).when(
+        _kind(name) == "STRING", F.array(alone))
     return F.transform(values, tx.strip)
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Requests that ask under the same id get a number behind it from the second on, in the order
+    of what they say; so every id names one request."""
+    said = F.to_json(F.struct("_raw_query", "index_name", "index_version", "_raw_k", "filters",
+                              "_raw_override"))
+    place = F.row_number().over(Window.partitionBy("request_id").orderBy(text_hash(said)))
+    return rows.withColumn("_place", place).withColumn(
+        "request_id", F.when(F.col("_place") > 1, F.concat_ws(
+            "-", "request_id", F.col("_place").cast("string"))).otherwise(F.col("request_id"))
+    ).drop("_place")
+
+
 def validate(requests: DataFrame, gate: GateConfig = GateConfig()) -> DataFrame:
     """Every request with its parsed fields and ``error_message``: the first broken rule, or
-    null. All columns arrive as text (``filters`` as a JSON object), so a wrong type is a
-    finding and not a crash."""
+    null. All columns arrive as text (``filters`` as a JSON object), so broken JSON or a wrong type
+    is a finding and not a crash. A null or blank id is made from what the request says, and
+    requests with the same id are numbered, so ids are unique."""
     parsed = requests.select(
         F.col("request_id"),
         F.col("query_text").alias("_raw_query"),
@@ -36,23 +54,36 @@ def validate(requests: DataFrame, gate: GateConfig = GateConfig()) -> DataFrame:
         F.col("top_k").alias("_raw_k"),
         F.expr("try_cast(top_k as int)").alias("_k"),
         F.col("filters"),
-        F.from_json("filters", _RAW_FILTERS).alias("_f"),
+        F.try_parse_json("filters").alias("_json"),
         F.col("min_similarity_override").alias("_raw_override"),
         F.expr("try_cast(min_similarity_override as double)").alias("min_similarity_override"),
     )
+    said = F.to_json(F.struct("_raw_query", "index_name", "index_version", "_raw_k", "filters",
+                              "_raw_override"))
+    parsed = _numbered(parsed.withColumn("request_id", F.coalesce(
+        F.when(tx.strip(F.col("request_id")) != "", F.col("request_id")),
+        F.concat(F.lit("req-"), text_hash(said)))))
+    parsed = parsed.withColumns({
+        f"_{name}": F.try_variant_get("_json", f"$.{name}", "string") for name in _FILTERS})
     fields = parsed.withColumns({
         "top_k": F.when(F.col("_raw_k").isNull(), gate.default_top_k).otherwise(F.col("_k")),
-        "type_filter": _string_or_list(F.col("_f.knowledge_type_effective")),
-        "equipment_filter": _string_or_list(F.col("_f.equipment_id")),
-        "event_date_start": F.expr("try_to_date(_f.event_date_start, 'yyyy-MM-dd')"),
-        "event_date_end": F.expr("try_to_date(_f.event_date_end, 'yyyy-MM-dd')"),
+        "type_filter": _strings("knowledge_type_effective"),
+        "equipment_filter": _strings("equipment_id"),
+        "event_date_start": F.expr("try_to_date(_event_date_start, 'yyyy-MM-dd')"),
+        "event_date_end": F.expr("try_to_date(_event_date_end, 'yyyy-MM-dd')"),
     })
-    raw_equipment = F.col("_f.equipment_id")
-    is_list = raw_equipment.rlike(r"^\s*\[")
+
+    def mistyped(name: str, lists: bool = True) -> Column:
+        kind = _kind(name)
+        fits = kind == "STRING"
+        return F.coalesce(~(fits | kind.startswith("ARRAY") if lists else fits | (kind == "VOID")),
+                          F.lit(False))
+
     present = [
-        F.coalesce(F.col(f"_f.{name}"), F.lit("")) != ""
+        F.coalesce(F.col(f"_{name}"), F.lit("")) != ""
         for name in ("event_date_start", "event_date_end")
     ]
+    no_date_text = mistyped("event_date_start", False) | mistyped("event_date_end", False)
     not_dates = F.col("event_date_start").isNull() | F.col("event_date_end").isNull()
     k, override = F.col("top_k"), F.col("min_similarity_override")
     text = F.col("query_text")
@@ -68,21 +99,22 @@ def validate(requests: DataFrame, gate: GateConfig = GateConfig()) -> DataFrame:
         (F.lower("index_version").isin(fixed.VERSION_ALIASES), fixed.INDEX_VERSION_ALIAS),
         (F.col("_raw_k").isNotNull() & F.col("_k").isNull(), fixed.TOP_K_NOT_INTEGER),
         ((k < 1) | (k > gate.max_top_k), fixed.TOP_K_RANGE),
-        (has_filters & ~F.coalesce(F.col("filters").rlike(r"(?s)^\s*\{.*\}\s*$"), F.lit(False)),
+        (has_filters & ~F.coalesce(
+            F.schema_of_variant("_json").startswith("OBJECT"), F.lit(False)),
          fixed.FILTERS_NOT_OBJECT),
-        (F.size("type_filter") == 0, fixed.TYPE_FILTER_EMPTY),
-        (raw_equipment.isNotNull() & ~is_list & (tx.strip(raw_equipment) == ""),
+        ((F.size("type_filter") == 0) | mistyped("knowledge_type_effective"),
+         fixed.TYPE_FILTER_EMPTY),
+        (mistyped("equipment_id") | (
+            (_kind("equipment_id") == "STRING") & (tx.strip(F.col("_equipment_id")) == "")),
          fixed.EQUIPMENT_FILTER_INVALID),
-        ((present[0] | present[1]) & not_dates, fixed.DATES_NOT_DATES),
+        (no_date_text | (present[0] | present[1]) & not_dates, fixed.DATES_NOT_DATES),
         (F.col("event_date_start") > F.col("event_date_end"), fixed.DATES_REVERSED),
         (F.col("_raw_override").isNotNull() & override.isNull(), fixed.OVERRIDE_NOT_NUMERIC),
         ((override < 0.0) | (override > 1.0) | F.isnan(override), fixed.OVERRIDE_RANGE),
     ]
     error = F.coalesce(*[F.when(broken, F.lit(message)) for broken, message in rules])
     return fields.select(
-        F.coalesce("request_id", F.concat(F.lit("req-"), text_hash(F.to_json(F.struct(
-            "_raw_query", "index_name", "index_version", "_raw_k", "filters",
-            "_raw_override"))))).alias("request_id"),
+        "request_id",
         "query_text",
         text_hash(text).alias("query_text_hash"),
         "index_name", "index_version", "top_k",

@@ -142,28 +142,26 @@ def with_confidence(summary: DataFrame, config: RetrievalConfig) -> DataFrame:
     )
 
 
-def structured_results(routed: DataFrame, chunks: DataFrame, max_k: int) -> DataFrame:
-    """Latest chunks of the date named in the question, at most ``top_k`` (<= ``max_k``).
+def structured_results(routed: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Latest chunks of the date named in the question, at most ``top_k`` of the request.
 
-    The order does not depend on the request, so chunks are first cut to ``max_k`` per date;
-    a date with very many chunks or requests then costs no more than any other. The cut runs
-    on ids only; text is attached to what is left.
+    The order does not depend on the request, so chunks are first cut to what the date's most
+    demanding request wants; a date with very many chunks or requests then costs no more than any
+    other, and dates that nobody asked for drop out.
     """
-    dated = chunks.where(F.col("event_date").isNotNull())
-    order = Window.partitionBy("event_date").orderBy(
-        F.col("created_at").desc(), "knowledge_chunk_id"
-    )
-    latest = (
-        dated.select("event_date", "created_at", "knowledge_chunk_id")
-        .withColumn("_n", F.row_number().over(order))
-        .where(F.col("_n") <= max_k)
-        .select("knowledge_chunk_id", (F.col("_n") - 1).alias("rank"))
-    )
-    kept = dated.join(latest, "knowledge_chunk_id")
     asked = routed.where(F.col("parsed_iso_date").isNotNull()).select(
         "request_id", "top_k",
         F.expr("try_to_date(parsed_iso_date, 'yyyy-MM-dd')").alias("event_date"),
     )
+    wanted = asked.groupBy("event_date").agg(F.max("top_k").alias("_most"))
+    order = Window.partitionBy("event_date").orderBy(
+        F.col("created_at").desc(), "knowledge_chunk_id"
+    )
+    kept = (
+        chunks.join(wanted, "event_date")
+        .withColumn("rank", F.row_number().over(order) - 1)
+        .where(F.col("rank") < F.col("_most"))
+    )
     return (
         asked.join(kept, "event_date")
         .where(F.col("rank") < F.col("top_k"))

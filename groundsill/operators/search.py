@@ -1,12 +1,9 @@
 """Exact top-k cosine search of a table of queries against a table of vectors.
 
-The comparison work is the product of both sides; what moves is not. Each task compares a
-tile of vectors with a block of queries and keeps at most k hits per query, so the shuffle
-carries (tiles x queries x k) small rows and never a pair list. Two plans share that kernel:
-
-* the queries fit a checked bound: they are broadcast, vectors stay where they were read;
-* they do not: queries and vectors are hashed into bounded blocks and tiles, and every block
-  meets every tile through one co-grouped shuffle.
+The comparison work is the product of both sides; what moves is not. Vectors are dealt out by their
+id, once. Every partition of vectors then sees the queries stream past, scores them in blocks by a
+matrix product and keeps at most k hits per query, so what goes on is (partitions x queries x k)
+small rows and never a pair list. There is one plan for every size, and building it runs nothing.
 """
 
 from __future__ import annotations
@@ -15,7 +12,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -51,7 +47,10 @@ class _Best:
 
     def _add_block(self, block: slice, items: np.ndarray, tile: np.ndarray) -> None:
         queries, k = self.vectors[block], self.k[block]
-        approx = tile @ queries.T
+        with np.errstate(invalid="ignore", over="ignore"):
+            approx = tile @ queries.T
+        # A score that is no number is no hit and must not raise the cut.
+        approx[~np.isfinite(approx)] = -np.inf
         cut = self.cut[block].copy()
         # The k-th best of this tile alone is a valid lower bound for the k-th best overall.
         width = len(items)
@@ -60,7 +59,7 @@ class _Best:
                 same = np.flatnonzero(k == size)
                 kth = np.partition(approx[:, same], width - size, axis=0)[width - size]
                 cut[same] = np.maximum(cut[same], kth)
-        rows, cols = np.nonzero((approx >= cut - _SLACK) & (k > 0))
+        rows, cols = np.nonzero((approx >= cut - _SLACK) & (approx > -np.inf) & (k > 0))
         if len(rows) == 0:
             return
         exact = np.zeros(len(rows))
@@ -102,78 +101,51 @@ _HITS = "query_id string, item_id string, score double, k int, slot int"
 def knn_topk(queries: DataFrame, vectors: DataFrame, dimension: int, *,
              query_id: str = "request_id", query_vector: str = "query_vector",
              k: str = "candidate_k", item_id: str = "chunk_id",
-             item_vector: str = "unit_vector", broadcast_bytes: int = 64 << 20,
-             tile_bytes: int = 32 << 20, merge_slots: int = 32) -> DataFrame:
+             item_vector: str = "unit_vector", partitions: int | None = None) -> DataFrame:
     """The ``k`` best items per query by similarity descending, then item id ascending.
 
     Both sides must hold unit vectors of ``dimension`` and unique ids; ``k`` is a column, so
     every query asks for its own number. Returns query id, ``rank`` from 0, item id and
-    ``similarity``. Runs one action: it reads the queries up to the broadcast bound.
+    ``similarity``. ``partitions`` (by default ``spark.sql.shuffle.partitions``) is to be set so
+    that a partition's vectors fit into a task; queries only pass through. A vector with a
+    component that is no finite number is no hit.
     """
-    q = queries.select(
-        F.col(query_id).cast("string").alias("query_id"),
-        F.col(query_vector).cast("array<double>").alias("qv"), F.col(k).cast("int").alias("k"),
-    )
+    spark = vectors.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     v = vectors.select(
-        F.col(item_id).cast("string").alias("item_id"),
-        F.col(item_vector).cast("array<double>").alias("iv"),
-    )
-    fits = max(1, broadcast_bytes // (8 * dimension + 64))
-    # One row past the bound is enough to know that the queries do not fit.
-    head = q.limit(fits + 1).toPandas()
-    if len(head) <= fits:
-        hits = _broadcast_hits(head, v, dimension, merge_slots)
-    else:
-        hits = _tiled_hits(q, v, dimension, fits, tile_bytes, merge_slots)
-    return _merge(hits).select(
-        F.col("query_id").alias(query_id), "rank", F.col("item_id").alias(item_id),
-        F.col("score").alias("similarity"),
+        F.pmod(F.xxhash64(F.col(item_id).cast("string")), F.lit(parts)).cast("int").alias("part"),
+        F.lit(0).alias("asks"), F.col(item_id).cast("string").alias("id"),
+        F.col(item_vector).cast("array<double>").alias("vec"), F.lit(0).alias("k"),
     )
-
-
-def _broadcast_hits(head: pd.DataFrame, vectors: DataFrame, dimension: int,
-                    slots: int) -> DataFrame:
-    block = vectors.sparkSession.sparkContext.broadcast(
-        (head["query_id"].to_list(), _matrix(head["qv"], dimension), head["k"].to_numpy())
+    q = queries.select(
+        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(1).alias("asks"),
+        F.col(query_id).cast("string").alias("id"),
+        F.col(query_vector).cast("array<double>").alias("vec"), F.col(k).cast("int").alias("k"),
     )
+    slots = max(1, int(parts**0.5))
 
-    def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = _Best(*block.value)
+    def meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, tiles = None, []
         for frame in frames:
-            best.add(frame["item_id"].to_numpy(), _matrix(frame["iv"], dimension))
-        yield best.frame(TaskContext.get().partitionId() % slots)
-
-    return vectors.mapInPandas(scan, _HITS)
-
-
-def _tiled_hits(queries: DataFrame, vectors: DataFrame, dimension: int, block_rows: int,
-                tile_bytes: int, slots: int) -> DataFrame:
-    # Hashing unique ids spreads rows evenly, so a group is bounded by block and tile size.
-    n_blocks = -(-queries.count() // block_rows)
-    n_tiles = max(1, -(-vectors.count() * 8 * dimension // tile_bytes))
-    left = queries.select(
-        F.pmod(F.xxhash64("query_id"), F.lit(n_blocks).cast("bigint")).alias("block"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_tiles - 1).cast("bigint"))).alias(
-            "tile"
-        ), "*",
+            for (at, asks), rows in frame.groupby(["part", "asks"], sort=False):
+                if at != part:
+                    part, tiles = at, []
+                if not asks:
+                    tiles.append((rows["id"].to_numpy(), _matrix(rows["vec"], dimension)))
+                    continue
+                best = _Best(rows["id"].to_list(), _matrix(rows["vec"], dimension),
+                             rows["k"].to_numpy())
+                for items, tile in tiles:
+                    best.add(items, tile)
+                yield best.frame(int(at) % slots)
+
+    hits = (
+        v.unionByName(q).repartition(parts, "part").sortWithinPartitions("part", "asks")
+        .mapInPandas(meet, _HITS)
     )
-    right = vectors.select(
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_blocks - 1).cast("bigint"))).alias(
-            "block"
-        ),
-        F.pmod(F.xxhash64("item_id"), F.lit(n_tiles).cast("bigint")).alias("tile"), "*",
-    )
-
-    def meet(key: tuple, asked: pd.DataFrame, tile: pd.DataFrame) -> pd.DataFrame:
-        best = _Best(
-            asked["query_id"].to_list(), _matrix(asked["qv"], dimension), asked["k"].to_numpy()
-        )
-        if len(asked):
-            best.add(tile["item_id"].to_numpy(), _matrix(tile["iv"], dimension))
-        return best.frame(int(key[1]) % slots)
-
-    return left.groupBy("block", "tile").cogroup(right.groupBy("block", "tile")).applyInPandas(
-        meet, _HITS
+    return _merge(hits).select(
+        F.col("query_id").alias(query_id), "rank", F.col("item_id").alias(item_id),
+        F.col("score").alias("similarity"),
     )
 
 
@@ -211,14 +183,15 @@ def require_resolved(resolved: DataFrame) -> DataFrame:
     )
 
 
-def self_retrieval(export: DataFrame, dimension: int, sample: DataFrame | None = None) -> DataFrame:
-    """Search stored vectors with themselves; one row per query with its best hit.
+def sample_ids(export: DataFrame, n: int) -> DataFrame:
+    """The ``n`` smallest chunk ids. Ids are hashes of content, so this is a sample that comes out
+    the same on every run."""
+    return export.select("chunk_id").orderBy("chunk_id").limit(n)
 
-    ``sample`` names the chunk ids to try (all of them by default).
-    """
-    asked = export if sample is None else export.join(
-        sample.select("chunk_id"), "chunk_id", "left_semi"
-    )
+
+def self_retrieval(export: DataFrame, dimension: int, sample: DataFrame) -> DataFrame:
+    """Search the vectors of the sampled chunk ids among all; one row per probe with its best hit."""
+    asked = export.join(sample.select("chunk_id"), "chunk_id", "left_semi")
     probes = asked.select(
         F.col("chunk_id").alias("probe_id"), F.col("unit_vector").alias("query_vector"),
         F.lit(1).alias("one"),

@@ -37,6 +37,7 @@ ON_STAGES: dict[str, Callable[[Stages], DataFrame]] = {}
 
 RESPLIT_TOKENS = 300
 RETENTION_AS_OF = "2024-04-10"
+PROBES = 64
 
 
 def vector_sum(vector: Column) -> Column:
@@ -346,6 +347,11 @@ def vector_normalize(s: Stages) -> DataFrame:
     )
 
 
+@register
+def rejected_vectors(s: Stages) -> DataFrame:
+    return index.rejected_vectors(s.index_input, PIN.dimension)
+
+
 @register
 def vector_checks(s: Stages) -> DataFrame:
     return s.input("raw_vectors").select(
@@ -369,12 +375,12 @@ def knn_resolve(s: Stages) -> DataFrame:
 
 @register
 def self_retrieval(s: Stages) -> DataFrame:
-    return search.self_retrieval(s.export, PIN.dimension)
+    return search.self_retrieval(s.export, PIN.dimension, search.sample_ids(s.export, PROBES))
 
 
 @register
 def self_recall(s: Stages) -> DataFrame:
-    return search.self_recall(search.self_retrieval(s.export, PIN.dimension))
+    return search.self_recall(self_retrieval(s))
 
 
 # --- requests ----------------------------------------------------------------------------
@@ -453,11 +459,8 @@ def route_structured(s: Stages) -> DataFrame:
 
 @register
 def route_fallback(s: Stages) -> DataFrame:
-    final = retrieval.with_fallback(s.routed, s.structured)
-    vector = retrieval.top_results(s.judged).withColumn("rank", F.col("survivor_rank"))
-    served = retrieval.routed_results(final, s.structured, vector)
-    return final.select("request_id", "router").join(
-        served.select("request_id", "rank", "chunk_id", "similarity"), "request_id", "left"
+    return s.fallback.select("request_id", "router").join(
+        s.served.select("request_id", "rank", "chunk_id", "similarity"), "request_id", "left"
     )
 
 
@@ -556,7 +559,7 @@ def select_cap(s: Stages) -> DataFrame:
 def shingles(s: Stages) -> DataFrame:
     """Overlap of each document with a copy of itself that lost its first words."""
     text = F.col("content_text")
-    tail = F.array_join(F.slice(tx.words(text), 8, 100000), " ")
+    tail = F.array_join(F.slice(tx.words(text), F.lit(8), F.greatest(F.size(tx.words(text)), F.lit(1))), " ")
     built = s.documents.select(
         "knowledge_id", F.sort_array(tx.shingles(text)).alias("a"),
         F.sort_array(tx.shingles(tail)).alias("b"),
@@ -605,6 +608,14 @@ def assemble_citations(s: Stages) -> DataFrame:
     )
 
 
+@register
+def cited_knowledge(s: Stages) -> DataFrame:
+    """Every citation's knowledge id and whether the knowledge table has it."""
+    known = s.documents.select("knowledge_id").distinct().withColumn("known", F.lit(True))
+    return s.placed.select("request_id", "chunk_id", "knowledge_id").join(
+        known, "knowledge_id", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+
+
 @register
 def evidence_block(s: Stages) -> DataFrame:
     return s.evidence.select(

@@ -191,17 +191,19 @@ def build(d: Dialect) -> dict[str, str]:
               0: "' SOP '", 1: "'maintenance'", 2: "'Incident'", 3: "'production'"},
               "'quality'")} END AS knowledge_type,
           lang AS business_domain,
-          CASE WHEN doc_id % 22 = 0 THEN 'On 125 , ' || text
-            WHEN doc_id % 31 = 3 THEN ' OK ' WHEN doc_id % 37 = 5 THEN 'n/a'
-            WHEN doc_id % 41 = 6 THEN 'maintenance ok: pump replaced'
-            ELSE text END AS content_text,
+          CASE WHEN doc_id % 22 = 0 THEN 'On 125 , ' || text ELSE text END AS content_text,
           source AS source_reference,
           CASE WHEN doc_id % 11 = 0 THEN NULL
             ELSE DATE '2024-01-01' + CAST(doc_id % 30 AS INT) END AS event_date,
           CASE WHEN doc_id % 13 = 0 THEN NULL
             ELSE 'EQ_' || lpad({_string('doc_id % 7')}, 5, '0') END AS equipment_id,
           'LINE_A' || {_string('doc_id % 4')} AS line_id
-        FROM {d.of('documents')}"""
+        FROM {d.of('documents')}
+        UNION ALL
+        SELECT -1 - doc_id, 'POOR_' || {_string('doc_id')}, 'incident', lang,
+          {_choose('doc_id', 3, {0: "' OK '", 1: "'n/a'"}, "'maintenance ok: pump replaced'")},
+          source, DATE '2024-01-05', NULL, NULL
+        FROM {d.of('documents')} WHERE doc_id % 31 = 3"""
 
     # The same texts with a heading at the start of most lines, to be cut at.
     q["headed_knowledge"] = """
@@ -214,6 +216,7 @@ def build(d: Dialect) -> dict[str, str]:
           source_reference, event_date, equipment_id, line_id
         FROM doc_knowledge"""
 
+    zeros = d.vector_zip.format("embedding", "embedding", "-")
     text_hash = d.sha256.format("content_text")
     chunk_id = d.sha256.format(f"knowledge_id || '|0|' || {text_hash}")
     q["embeds_run"] = f"""
@@ -226,7 +229,8 @@ def build(d: Dialect) -> dict[str, str]:
           'offline' AS embedding_provider, '{MODEL}' AS embedding_model_name,
           CASE WHEN vec_id % 23 = 0 THEN 'v0' ELSE '{VERSION}' END AS embedding_model_version,
           CASE WHEN vec_id % 41 = 0 THEN 63 ELSE {DIMENSION} END AS embedding_dimension,
-          CASE WHEN vec_id % 47 = 0 THEN NULL ELSE embedding END AS embedding_vector,
+          CASE WHEN vec_id % 47 = 0 THEN NULL WHEN vec_id % 53 = 7 THEN {zeros} ELSE embedding END
+            AS embedding_vector,
           CASE WHEN vec_id % 37 = 0 THEN 'stale' ELSE {text_hash} END AS chunk_text_hash,
           CASE WHEN vec_id % 19 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
           CASE WHEN vec_id % 19 = 0 THEN 'TIMEOUT' END AS error_type,
@@ -256,7 +260,6 @@ def build(d: Dialect) -> dict[str, str]:
           ON vec_id = doc_id % (SELECT count(*) FROM {d.of('embeddings')})"""
 
     doubled = d.vector_zip.format("embedding", "embedding", "+")
-    zeros = d.vector_zip.format("embedding", "embedding", "-")
     q["raw_vectors"] = f"""
         SELECT vec_id, CASE WHEN vec_id % 31 = 4 THEN NULL WHEN vec_id % 29 = 3 THEN {zeros}
             WHEN vec_id % 17 = 2 THEN {d.vector_head.format(doubled, DIMENSION - 1)}
@@ -279,6 +282,14 @@ def build(d: Dialect) -> dict[str, str]:
         12: '\'{"knowledge_type_effective":["sop","quality"," incident"],'
             '"event_date_start":"2024-01-02","event_date_end":"2024-01-29"}\'',
     }
+    broken = {
+        0: '\'{"equipment_id": "EQ_1", bad}\'',
+        1: "'{equipment_id: EQ_1}'",
+        2: '\'{"knowledge_type_effective": 5}\'',
+        3: '\'{"equipment_id": {"a": 1}}\'',
+        4: '\'{"event_date_start": 5, "event_date_end": "2024-01-05"}\'',
+        5: "'text'",
+    }
     asked = f"""text
           || CASE WHEN conv_id % 3 = 0 THEN ' on 2024-01-' || lpad({_string('1 + conv_id % 30')},
              2, '0') ELSE '' END
@@ -288,9 +299,7 @@ def build(d: Dialect) -> dict[str, str]:
         SELECT conv_id, turn,
           CASE WHEN conv_id % 41 = 4 THEN repeat('x', 65) ELSE '' END
             || {_string('conv_id')} || '-' || {_string('turn')} AS request_id,
-          {_choose('conv_id', 25, {7: "'aaaaaaaa bb cc'", 8: "'  '", 9: "NULL",
-                                   10: "'12 34 56 78 9a'", 11: "'singleword'",
-                                   12: "repeat(text || ' ', 26)"}, asked)} AS query_text,
+          {asked} AS query_text,
           {_choose('conv_id', 33, {9: "'  '"}, "' chunks '")} AS index_name,
           CASE WHEN conv_id % 37 = 1 THEN NULL ELSE {_choose('conv_id', 16, {
               0: "'Latest'", 5: "'v9'", 6: "'v0'"}, "'v1'")} END AS index_version,
@@ -299,7 +308,17 @@ def build(d: Dialect) -> dict[str, str]:
           {_choose('conv_id', 30, filters, 'NULL')} AS filters,
           {_choose('conv_id', 14, {3: "'0.25'", 5: "'1.5'", 6: "'high'"}, 'NULL')}
             AS min_similarity_override
-        FROM {d.of('conversations')} WHERE role = 'user'"""
+        FROM {d.of('conversations')} WHERE role = 'user'
+        UNION ALL
+        SELECT conv_id, turn, 'poor-' || {_string('conv_id')} || '-' || {_string('turn')},
+          {_choose('conv_id', 6, {0: "'aaaaaaaa bb cc'", 1: "'  '", 2: "NULL",
+                                  3: "'12 34 56 78 9a'", 4: "'singleword'"},
+                   "repeat(text || ' ', 100)")}, 'chunks', 'v1', '5', NULL, NULL
+        FROM {d.of('conversations')} WHERE role = 'user' AND conv_id % 5 = 2
+        UNION ALL
+        SELECT conv_id, turn, 'broken-' || {_string('conv_id')} || '-' || {_string('turn')}, text,
+          'chunks', 'v1', '5', {_choose('conv_id', 6, broken, broken[5])}, NULL
+        FROM {d.of('conversations')} WHERE role = 'user' AND conv_id % 7 = 3"""
 
     # A request's vector is the sum of two stored ones, so it has two clear neighbours.
     total = f"(SELECT count(*) FROM {d.of('embeddings')})"
@@ -322,9 +341,6 @@ def build(d: Dialect) -> dict[str, str]:
         0: "text || ' [C0].'",
         1: "text || ' [C0] [C99]'",
         2: "'On 2024-01-10 the pump was replaced. ' || text",
-        3: "'NO_EVIDENCE: The provided evidence does not contain sufficient information to"
-           " answer this question.'",
-        4: "'NO_EVIDENCE: other'",
         5: "'1. The belt was replaced on 2024-01-03 [C0].' || chr(10) || '2. ' || text"
            " || ' [C00] [C0]'",
         6: "text || ' Unit EQ_ZZ999 was checked [C0]'",
@@ -332,6 +348,8 @@ def build(d: Dialect) -> dict[str, str]:
         8: "text || ' was replaced [C0] and then removed'",
         9: "text || ' Unit EQ_00001 was checked [C0]' || chr(10) || '3. eq_ seen [c0]'",
     }
+    refusal = ("'NO_EVIDENCE: The provided evidence does not contain sufficient information to"
+               " answer this question.'")
     q["generations"] = f"""
         SELECT {_string('conv_id')} || '-' || {_string('turn - 1')} AS request_id,
           {_choose('(conv_id + turn)', 10, endings, 'text')} AS raw_model_text,
@@ -341,7 +359,12 @@ def build(d: Dialect) -> dict[str, str]:
           CAST(length(text) AS INT) AS prompt_tokens, CAST(turn AS INT) AS completion_tokens,
           CAST(length(text) + turn AS INT) AS total_tokens,
           CAST(conv_id % 900 AS INT) AS latency_ms
-        FROM {d.of('conversations')} WHERE role = 'assistant'"""
+        FROM {d.of('conversations')} WHERE role = 'assistant'
+        UNION ALL
+        SELECT 'refused-' || {_string('conv_id')} || '-' || {_string('turn')},
+          CASE WHEN conv_id % 2 = 0 THEN {refusal} ELSE 'NO_EVIDENCE: other' END, 'OK', 'model-r',
+          1, 1, 2, 3
+        FROM {d.of('conversations')} WHERE role = 'assistant' AND conv_id % 5 = 3"""
 
     q["attempts"] = f"""
         SELECT event_id, {_string('user_id')} AS request_id,
@@ -370,15 +393,11 @@ def needed(name: str, queries: dict[str, str]) -> list[str]:
     return [n for n in names if n in wanted]
 
 
-def spread(df: DataFrame, task_bytes: int = 8 << 20) -> DataFrame:
-    """Deal out a small table over all cores; leave a large one as it is split on disk.
-
-    A small file is often one row group and would be worked on by one task, however heavy the
-    work per row is. Past ``task_bytes`` per core there are splits enough and nothing moves.
-    """
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a table out over all cores if its files give fewer splits than there are cores, as one
+    row group does; a table with more splits stays where it is read."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * task_bytes else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from groundsill import fixed
 from groundsill.functions import vectors as vx
 from groundsill.operators import (
     assembly,
@@ -171,10 +172,21 @@ class Stages:
 
     @cached_property
     def structured(self) -> DataFrame:
-        return retrieval.structured_results(self.routed, self.chunks, GATE.max_top_k)
+        return retrieval.structured_results(self.routed, self.chunks)
+
+    @cached_property
+    def fallback(self) -> DataFrame:
+        return retrieval.with_fallback(self.routed, self.structured)
+
+    @cached_property
+    def served(self) -> DataFrame:
+        """What each request is answered from: the rows of its date, or else its best vector hits."""
+        vector = retrieval.top_results(self.judged).withColumn("rank", F.col("survivor_rank"))
+        return retrieval.routed_results(self.fallback, self.structured, vector)
 
     @cached_property
     def candidates(self) -> DataFrame:
+        """Input of the selection queries alone: no answer is built on it."""
         return faulty(self.resolved)
 
     @cached_property
@@ -199,9 +211,39 @@ class Stages:
     def metrics(self) -> DataFrame:
         return selection.selection_metrics(self.selection, self.accepted, POLICY)
 
+    @cached_property
+    def answer_constraints(self) -> DataFrame:
+        """As ``constraints``; a type inferred from the question goes before the type filter."""
+        inferred = self.routed.select("request_id", "inferred_type")
+        return self.constraints.join(inferred, "request_id").withColumn(
+            "allowed_types", F.coalesce(
+                F.when(F.col("inferred_type").isNotNull(), F.array("inferred_type")),
+                F.col("allowed_types"))).drop("inferred_type")
+
+    @cached_property
+    def answer_selection(self) -> DataFrame:
+        # Written once: metrics and evidence are two readings of it.
+        return materialize(
+            selection.select_evidence(self.served, POLICY, self.answer_constraints)
+        )
+
+    @cached_property
+    def answer_metrics(self) -> DataFrame:
+        return selection.selection_metrics(self.answer_selection, self.accepted, POLICY)
+
+    @cached_property
+    def retrieval_status(self) -> DataFrame:
+        """Status of the route that serves each accepted request."""
+        by_date = F.col("router") == "structured_event_date"
+        return self.fallback.select("request_id", "router").join(
+            self.summary.select("request_id", "status", "error_code"), "request_id"
+        ).select(
+            "request_id", F.when(by_date, fixed.SUCCESS).otherwise(F.col("status")).alias("status"),
+            F.when(~by_date, F.col("error_code")).alias("error_code"))
+
     @cached_property
     def placed(self) -> DataFrame:
-        anchored = assembly.with_anchors(selection.selected(self.selection))
+        anchored = assembly.with_anchors(selection.selected(self.answer_selection))
         return assembly.within_prompt(anchored, self.accepted, POLICY)
 
     @cached_property
@@ -210,14 +252,10 @@ class Stages:
 
     @cached_property
     def bundle(self) -> DataFrame:
-        """Answer bundles; retrieval counts as successful where the request was searched."""
-        searched = self.searchable.select(
-            "request_id", F.lit("SUCCESS").alias("status"),
-            F.lit(None).cast("string").alias("error_code"),
-        )
         # Written once: prompts, verdicts, responses and ledgers all look into it.
         return materialize(assembly.assemble(
-            self.accepted, searched, self.metrics, self.evidence, POLICY, PIN.model_name
+            self.accepted, self.retrieval_status, self.answer_metrics, self.evidence, POLICY,
+            PIN.model_name
         ))
 
     @cached_property
