@@ -89,6 +89,15 @@ def within_retention(log: DataFrame, column: str, as_of: Column, days: int = 90)
     return log.where(F.col(column).cast("date") >= F.date_sub(as_of, days))
 
 
+def rewrite_retained(log: DataFrame, column: str, as_of: Column, path: str, days: int = 90,
+                     fmt: str = "parquet") -> None:
+    """Write what is kept as a new snapshot, one folder per day, so that the next expiry of whole
+    days reads no more than the days it keeps. ``path`` must not be where ``log`` is read from."""
+    kept = within_retention(log, column, as_of, days)
+    kept.withColumn("log_day", F.col(column).cast("date")).write.format(fmt).partitionBy(
+        "log_day").save(path)
+
+
 def retention_rollup(log: DataFrame, column: str, as_of: Column, days: int = 90) -> DataFrame:
     """What outlives the rows: counts per day, with how many are kept and dropped."""
     day = F.col(column).cast("date")

@@ -331,10 +331,16 @@ def build(d: Dialect) -> dict[str, str]:
         FROM query_pairs JOIN {d.of('embeddings')} a ON a.vec_id = first_vec
         JOIN {d.of('embeddings')} b ON b.vec_id = second_vec"""
 
+    # Published versions: what their manifests say and what is there; v0's manifest names one more.
     q["manifest_rows"] = """
         SELECT 'chunks' AS index_name, embedding_model_version AS index_version,
-          count(*) AS vectors_found, count(embedding_vector) AS vectors_stored
+          CASE WHEN embedding_model_version = 'v0' THEN 1 ELSE 0 END + count(embedding_vector)
+            AS vector_count
         FROM embeds GROUP BY embedding_model_version"""
+    q["indexed_rows"] = """
+        SELECT 'chunks' AS index_name, embedding_model_version AS index_version,
+          vec_id AS vector_id, knowledge_id
+        FROM embeds WHERE embedding_vector IS NOT NULL"""
 
     # Answers follow the user turn before them; what is appended decides the verdict.
     endings = {

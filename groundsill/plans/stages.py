@@ -129,14 +129,7 @@ class Stages:
 
     @cached_property
     def versions(self) -> DataFrame:
-        found = self.input("manifest_rows")
-        return found.select(
-            "index_name", "index_version",
-            F.lit(True).alias("has_manifest"), F.lit(True).alias("has_vectors"),
-            (F.col("index_version") != "v0").alias("has_id_map"),
-            F.lit(True).alias("has_metadata"),
-            (F.col("vectors_stored") <= F.col("vectors_found")).alias("counts_agree"),
-        )
+        return index_store.catalog(self.input("manifest_rows"), self.input("indexed_rows"))
 
     @cached_property
     def searchable(self) -> DataFrame:

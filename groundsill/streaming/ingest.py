@@ -21,11 +21,12 @@ def new_chunks(chunks: DataFrame, existing: DataFrame) -> DataFrame:
 
 def ingest_stream(spark: SparkSession, source: str, target: str, checkpoint: str,
                   created_at: Column, fmt: str = "parquet",
-                  max_files: int = 1000) -> StreamingQuery:
+                  max_files: int = 1000, rejected: str | None = None) -> StreamingQuery:
     """Process every knowledge file not seen before, append its new chunks, then stop.
 
     The target must exist (``create_empty``). Re-running with the same checkpoint does
-    nothing; re-running without it finds every id already present.
+    nothing; re-running without it finds every id already present. Rows without a knowledge id
+    are appended to ``rejected`` (by default a folder beside the target).
     """
     incoming = (
         spark.readStream.schema(KNOWLEDGE).format(fmt)
@@ -34,12 +35,14 @@ def ingest_stream(spark: SparkSession, source: str, target: str, checkpoint: str
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
+        batch.where(F.col("knowledge_id").isNull()).write.format(fmt).mode("append").save(
+            rejected or f"{target.rstrip('/')}_rejected")
         existing = session.read.format(fmt).schema(CHUNK).load(target)
-        fresh = new_chunks(all_chunks(batch, created_at), existing)
+        fresh = new_chunks(all_chunks(
+            batch.where(F.col("knowledge_id").isNotNull()), created_at), existing)
         enforce(fresh, CHUNK).write.format(fmt).mode("append").save(target)
 
     return (
-        incoming.where(F.col("knowledge_id").isNotNull())
-        .writeStream.option("checkpointLocation", checkpoint)
+        incoming.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).foreachBatch(write).start()
     )

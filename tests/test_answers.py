@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from groundsill import fixed
+from groundsill.functions import vectors as vx
 from groundsill.operators import assembly, grounding, requests, response, retrieval, search
 from groundsill.operators import selection as sel
 from groundsill.policy import GateConfig, RetrievalConfig, SelectionPolicy
@@ -55,27 +56,45 @@ def run_search(spark, queries, ks, matrix, parts=5, **options):
     return found
 
 
-SMALL = dict(broadcast_bytes=1200, tile_bytes=4000)
-
-
-@pytest.mark.parametrize("options", [{}, SMALL, {"merge_slots": 2}], ids=["broadcast", "tiles", "few slots"])
-@pytest.mark.parametrize("parts", [1, 7])
-def test_search_equals_brute_force(spark, options, parts):
+@pytest.mark.parametrize("options", [{}, {"partitions": 1}, {"partitions": 13}],
+                         ids=["default", "one partition", "many partitions"])
+def test_search_equals_brute_force(spark, options):
     rng = np.random.default_rng(1)
     matrix, queries = unit(rng.normal(size=(300, 16))), unit(rng.normal(size=(23, 16)))
     ks = [1 + i % 7 for i in range(23)]
-    assert run_search(spark, queries, ks, matrix, parts, **options) == brute_force(
-        queries, ks, matrix)
+    assert run_search(spark, queries, ks, matrix, 7, **options) == brute_force(queries, ks, matrix)
 
 
-@pytest.mark.parametrize("options", [{}, SMALL], ids=["broadcast", "tiles"])
-def test_many_exact_copies_break_ties_by_id(spark, options):
+def test_many_exact_copies_break_ties_by_id(spark):
     rng = np.random.default_rng(2)
     matrix = unit(rng.normal(size=(300, 16)))
     matrix[::3] = matrix[0]
     queries = np.vstack([matrix[0], unit(rng.normal(size=(10, 16)))])
     ks = [10] * 11
-    assert run_search(spark, queries, ks, matrix, **options) == brute_force(queries, ks, matrix)
+    assert run_search(spark, queries, ks, matrix) == brute_force(queries, ks, matrix)
+
+
+def test_vector_that_is_no_number_hides_no_hit(spark):
+    rng = np.random.default_rng(3)
+    matrix, queries = unit(rng.normal(size=(50, 8))), unit(rng.normal(size=(3, 8)))
+    expected = brute_force(queries, [1, 2, 5], matrix[1:])
+    matrix[0, 3] = np.nan
+    found = run_search(spark, queries, [1, 2, 5], matrix, partitions=1)
+    assert {q: [s for _, s in hits] for q, hits in found.items()} == {
+        q: [s for _, s in hits] for q, hits in expected.items()}
+    bad = spark.createDataFrame([([float("nan"), 1.0],), ([float("inf"), 1.0],), ([3.0, 4.0],)],
+                                "v array<double>")
+    assert [r.u for r in bad.select(vx.normalize(F.col("v")).alias("u")).collect()] == [
+        None, None, [0.6, 0.8]]
+
+
+def test_building_a_search_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    asked = vectors(spark, np.eye(4), "q").toDF("request_id", "query_vector").withColumn(
+        "candidate_k", F.lit(2))
+    search.knn_topk(asked, vectors(spark, np.eye(4)), 4)
+    assert set(tracker.getJobIdsForGroup(None)) == before
 
 
 def test_fewer_vectors_than_k_and_k_zero(spark):
@@ -115,7 +134,12 @@ GOOD = dict(request_id="r", query_text="which pump leaked yesterday", index_name
     ({"top_k": "five"}, fixed.TOP_K_NOT_INTEGER), ({"top_k": None}, None),
     ({"top_k": "0"}, fixed.TOP_K_RANGE), ({"top_k": "20"}, None), ({"top_k": "21"}, fixed.TOP_K_RANGE),
     ({"filters": "[1]"}, fixed.FILTERS_NOT_OBJECT), ({"filters": "{}"}, None),
+    ({"filters": '{"equipment_id": "EQ_1", bad}'}, fixed.FILTERS_NOT_OBJECT),
+    ({"filters": "{equipment_id: EQ_1}"}, fixed.FILTERS_NOT_OBJECT),
     ({"filters": '{"knowledge_type_effective":[]}'}, fixed.TYPE_FILTER_EMPTY),
+    ({"filters": '{"knowledge_type_effective":5}'}, fixed.TYPE_FILTER_EMPTY),
+    ({"filters": '{"equipment_id":{"a":1}}'}, fixed.EQUIPMENT_FILTER_INVALID),
+    ({"filters": '{"event_date_start":5,"event_date_end":"2024-01-01"}'}, fixed.DATES_NOT_DATES),
     ({"filters": '{"equipment_id":" "}'}, fixed.EQUIPMENT_FILTER_INVALID),
     ({"filters": '{"event_date_start":"2024-01-01"}'}, fixed.DATES_NOT_DATES),
     ({"filters": '{"event_date_start":"2024-01-02","event_date_end":"2024-01-01"}'},
@@ -132,6 +156,17 @@ def test_request_rules(spark, change, message):
     assert row.error_message == message
 
 
+def test_ids_name_one_request(spark):
+    one = tuple(GOOD.values())
+    rows = [one, one, ("r", "another question about pumps", *one[2:]), (None, *one[1:]),
+            (" ", *one[1:]), ("s", *one[1:])]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in GOOD))
+    ids = sorted(r.request_id for r in requests.validate(df).collect())
+    assert len(set(ids)) == len(rows) and {"r", "r-2", "r-3", "s"} < set(ids)
+    made = [i for i in ids if i.startswith("req-")]
+    assert len(made) == 2 and made[1] == made[0] + "-2"
+
+
 def test_request_fields(spark):
     raw = {**GOOD, "top_k": None, "query_text": " which pump leaked ", "filters":
            '{"knowledge_type_effective":" sop ","equipment_id":["A"," ","B "]}'}

@@ -4,8 +4,9 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from groundsill.operators import embedding, index, knowledge, quarantine
+from groundsill.operators import embedding, index, knowledge, ledgers, quarantine
 from groundsill.operators.numbering import dense_numbers
 from groundsill.policy import EmbeddingPin, RunLimits
 from groundsill.schemas import CHUNK, EMBEDDING, KNOWLEDGE, enforce
@@ -182,5 +183,16 @@ def test_stream_can_be_replayed(spark, tmp_path):
     assert run("a") == 20
     assert run("b") == 20
     more = [("k99", *rows[0][1:3], "another pump leak repaired", *rows[0][4:])]
-    spark.createDataFrame(more, KNOWLEDGE).write.mode("append").parquet(source)
+    loose = T.StructType([T.StructField(f.name, f.dataType) for f in KNOWLEDGE.fields])
+    spark.createDataFrame(more + [(None, *rows[0][1:])], loose).write.mode("append").parquet(source)
     assert run("a") == 21
+    assert spark.read.parquet(f"{target}_rejected").count() == 1
+
+
+def test_retention_drops_old_rows(spark, tmp_path):
+    log = spark.createDataFrame(
+        [(i, dt.datetime(2024, 1, 1) + dt.timedelta(days=i)) for i in range(100)], "id int, ts timestamp")
+    ledgers.rewrite_retained(log, "ts", F.lit("2024-04-09").cast("date"), str(tmp_path / "kept"))
+    kept = spark.read.parquet(str(tmp_path / "kept"))
+    assert sorted(r.id for r in kept.collect()) == list(range(9, 100))
+    assert kept.select("log_day").distinct().count() == 91
