@@ -279,3 +279,26 @@ def test_pipeline_stages(spark):
             assert not leaking & set(after) and len(after) >= len(before) - len(leaking) - 2
         assert set(after) <= set(before)
     assert len(kept["poisson_mix"]) > 0
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_pipeline_stage_on_odd_rows(spark, name, stage):
+    rows = [
+        (1, "the same words again and again here", "en", "s", 5, "x"), (2, None, None, None, None, "x"),
+        (3, "", "en", "s", 0, "x"), (None, "the same words again and again here", "en", None, 3, "x"),
+        (4, "the same words again and again here", "en", "s", 5, "x"), (5, "1 2 3 !", "de", "t", 7, "x"),
+        (4, "the same words again and again here", "en", "s", 5, "x"),
+        (6, "ein ganz anderer kurzer Satz", "de", "t", 28, "x"), (7, "long " * 60_000, "en", "t", 1, "x"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string,"
+                                     " n_chars bigint, component string")
+    found = [r.doc_id for r in stage(spark, df, helpers.SF_DIR).collect()]
+    expected = {
+        "language_id": [1, 4, 4, 6, 7, None],
+        "minhash_near_dedup": [1, 2, 3, 5, 6, 7, None],
+        "substring_dedup": [1, 2, 3, 4, 4, 5, 6, 7, None],
+        "decontaminate": [1, 2, 3, 4, 4, 5, 6, 7, None],
+    }
+    if name in expected:
+        assert sorted(found, key=lambda d: (d is None, d)) == expected[name]
+    assert stage(spark, df.limit(0), helpers.SF_DIR).collect() == []
