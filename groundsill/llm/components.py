@@ -24,17 +24,21 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select(F.col("m").alias("a"), "b")).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node that has a smaller one beside it has just one, and is itself no centre."""
+    ends = edges.select(F.col("a").alias("n"), F.lit(1).alias("centre"), F.lit(0).alias("leaf"))
+    ends = ends.unionByName(
+        edges.select(F.col("b").alias("n"), F.lit(0).alias("centre"), F.lit(1).alias("leaf")))
+    return ends.groupBy("n").agg(F.max("centre").alias("centre"), F.sum("leaf").alias("leaf")).where(
+        "leaf + centre > 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``links`` (columns ``a < b``): the smallest node
-    reachable. Each round is written to the shared folder, which cuts lineage; rounds end when one
-    changes nothing. Sums of exact copies and stars settle in two rounds."""
+    reachable. Each round is written to the shared folder, which cuts lineage; rounds end once all
+    that is left is stars around the smallest node, which most groups are after one round."""
     edges = materialize(links.select("a", "b").distinct())
-    while True:
-        after = materialize(_small_star(_large_star(edges)))
-        same = after.count() == edges.count() and after.join(
-            edges, ["a", "b"], "left_anti").isEmpty()
-        edges = after
-        if same:
-            break
+    while not _settled(edges):
+        edges = materialize(_small_star(_large_star(edges)))
     roots = edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(roots)

@@ -8,11 +8,10 @@ estimate takes out. A pair whose estimate lies within five standard deviations o
 on, and is linked only if its full sets say so.
 
 Hot groups. Documents with the same set are one class and stand for one node, however many they are.
-Within a band bucket members are first compared with the bucket's smallest only, so a bucket of n
-makes n - 1 candidates. Buckets that then still hold several components are the only ones where
-members are compared among each other, and only across components, with the estimate as
-part of the join condition; so no link between different texts is lost and what is emitted
-is what must be verified.
+Within a band bucket members are first compared with the bucket's smallest only, its head, so a bucket
+of n makes n - 1 candidates. Around heads that some member is then not connected with, members are
+compared among each other, but only across components, with the estimate and the full sets as part
+of the join condition; so no link between different texts is lost and only links come out.
 """
 
 from __future__ import annotations
@@ -196,17 +195,60 @@ def estimate(how: MinHash, left: str, right: str) -> Column:
     return ((F.lit(1.0) - differing / how.functions) - chance) / (1 - chance)
 
 
+def _sets_of(nodes: DataFrame, texts: DataFrame, how: MinHash) -> DataFrame:
+    """Full sets of (at least) the documents in ``nodes``, made where their texts are read."""
+    built = bloom.build(nodes, F.xxhash64("node"))
+    return shingle_sets(bloom.maybe_in(texts, F.xxhash64("doc"), built), how).withColumnRenamed(
+        "doc", "node")
+
+
+def _similar(left: Column, right: Column, how: MinHash) -> Column:
+    shared = F.size(F.array_intersect(left, right))
+    return shared * 100 >= (F.size(left) + F.size(right) - shared) * how.percent
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, how: MinHash) -> DataFrame:
     """Those of ``pairs`` (a, b) whose full sets are similar enough."""
-    needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    built = bloom.build(needed.distinct(), F.xxhash64("id"))
-    sets = shingle_sets(bloom.maybe_in(texts, F.xxhash64("doc"), built), how)
-    of_b = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("set_b"))
-    of_a = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("set_a"))
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    union = F.size("set_a") + F.size("set_b") - shared
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), texts, how)
+    of_a, of_b = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
     return pairs.join(of_b, "b").join(of_a, "a").where(
-        shared * 100 >= union * how.percent).select("a", "b").distinct()
+        _similar(F.col("set_a"), F.col("set_b"), how)).select("a", "b")
+
+
+def _across(pairs: DataFrame, found: DataFrame, signatures: DataFrame, texts: DataFrame,
+            how: MinHash) -> DataFrame:
+    """Links between components that comparing with heads alone did not show.
+
+    Members of a bucket all have its head in common. Around each head that a member is not connected
+    with, members of different components are compared, at the smallest head they share only;
+    the full sets are part of the join condition, so that nothing but links comes out.
+    """
+    component = found.select("node", "component")
+    sides = [pairs.select("a", "b")]
+    for node, name in (("a", "of_a"), ("b", "of_b")):
+        named = component.select(F.col("node").alias(node), F.col("component").alias(name))
+        sides.append(sides[-1].join(named, node, "left").withColumn(name, F.coalesce(name, node)))
+    heads = sides[-1].where("of_a <> of_b").select(F.col("a").alias("head")).distinct()
+    stars = materialize(pairs.select(
+        F.col("a").alias("head"), F.explode(F.array("a", "b")).alias("node")
+    ).join(heads, "head", "left_semi").distinct())
+    facts = (
+        stars.groupBy("node").agg(F.collect_set("head").alias("heads"))
+        .join(component, "node", "left")
+        .withColumn("component", F.coalesce("component", "node"))
+        .join(signatures.withColumnRenamed("doc", "node"), "node")
+        .join(_sets_of(stars.select("node"), texts, how), "node")
+    )
+    rows = materialize(stars.join(facts, "node"))
+    x, y = rows.alias("x"), rows.alias("y")
+    return x.join(
+        y,
+        (F.col("x.head") == F.col("y.head")) & (F.col("x.node") < F.col("y.node"))
+        & (F.col("x.component") != F.col("y.component"))
+        & (estimate(how, "x", "y") >= how.least_estimate)
+        & (F.array_min(F.array_intersect("x.heads", "y.heads")) == F.col("x.head"))
+        & _similar(F.col("x.shingles"), F.col("y.shingles"), how),
+    ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
 def near_duplicates(documents: DataFrame, how: MinHash = MinHash(), id_col: str = "doc_id",
@@ -220,51 +262,31 @@ def near_duplicates(documents: DataFrame, how: MinHash = MinHash(), id_col: str
     texts = _texts(documents, id_col, text_col)
     marked = materialize(marks(documents, how, id_col, text_col))
     named = marked.where("n_shingles > 0 and doc is not null")
-    classes = materialize(named.groupBy("k1", "k2").agg(F.min("doc").alias("class_id")))
-    members = materialize(named.join(
-        classes.withColumnRenamed("class_id", "doc"), ["k1", "k2", "doc"], "left_semi"
-    ).drop("n_shingles", "k1", "k2").dropDuplicates(["doc", "s0"]))
-    signatures = members.drop("bands")
+    carried = [c for c in marked.columns if c.startswith("s")] + ["bands"]
+    members = materialize(named.groupBy("k1", "k2").agg(
+        F.min("doc").alias("doc"), *[F.first(c).alias(c) for c in carried]))
     banded = members.select("doc", F.explode("bands").alias("key"))
     heads = materialize(banded.groupBy("key").agg(
         F.min("doc").alias("head"), F.max("doc").alias("last")).where("head < last").drop("last"))
-
-    def likely(pairs: DataFrame) -> DataFrame:
-        return (
-            pairs.alias("p").join(signatures.alias("x"), F.col("p.a") == F.col("x.doc"))
-            .join(signatures.alias("y"), F.col("p.b") == F.col("y.doc"))
-            .where(estimate(how, "x", "y") >= how.least_estimate).select("p.a", "p.b").distinct()
-        )
-
+    signatures = members.select("doc", *carried[:-1])
     to_head = banded.join(heads, "key").where("doc > head").select(
-        F.col("head").alias("a"), F.col("doc").alias("b")).distinct()
-    tried = materialize(likely(to_head))
-    links = materialize(_verified(tried, texts, how))
+        F.col("head").alias("a"), F.col("doc").alias("b")).distinct().alias("p")
+    pairs = materialize(
+        to_head.join(signatures.alias("x"), F.col("p.a") == F.col("x.doc"))
+        .join(signatures.alias("y"), F.col("p.b") == F.col("y.doc"))
+        .select("p.a", "p.b", (estimate(how, "x", "y") >= how.least_estimate).alias("likely")))
+    links = materialize(_verified(pairs.where("likely").select("a", "b"), texts, how))
     found = materialize(components(links))
-
-    placed = banded.join(heads, "key").join(
-        found.withColumnRenamed("node", "doc"), "doc", "left"
-    ).select("key", "doc", F.coalesce("component", "doc").alias("component"))
-    mixed = placed.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    ).where("low < high").select("key")
-    open_rows = materialize(
-        placed.join(mixed, "key").join(signatures, "doc"))
-    x, y = open_rows.alias("x"), open_rows.alias("y")
-    across = x.join(
-        y,
-        (F.col("x.key") == F.col("y.key")) & (F.col("x.doc") < F.col("y.doc"))
-        & (F.col("x.component") != F.col("y.component"))
-        & (estimate(how, "x", "y") >= how.least_estimate),
-    ).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct().join(
-        tried, ["a", "b"], "left_anti")
-    more = materialize(_verified(materialize(across), texts, how))
+    more = materialize(_across(pairs, found, signatures, texts, how))
     if not more.isEmpty():
-        found = materialize(components(links.unionByName(more)))
+        stars = found.where("component < node").select(
+            F.col("component").alias("a"), F.col("node").alias("b"))
+        found = materialize(components(stars.unionByName(more)))
 
     return (
         marked.select("doc", "n_shingles", "k1", "k2")
-        .where("n_shingles > 0 and doc is not null").join(classes, ["k1", "k2"])
+        .where("n_shingles > 0 and doc is not null")
+        .join(members.select("k1", "k2", F.col("doc").alias("class_id")), ["k1", "k2"])
         .join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
         .select("doc", "n_shingles",
                 F.coalesce("component", "class_id").alias("component_id"))
@@ -273,3 +295,29 @@ def near_duplicates(documents: DataFrame, how: MinHash = MinHash(), id_col: str
         .select(F.col("doc").alias("doc_id"), "n_shingles", "component_id",
                 F.coalesce(F.col("doc") == F.col("component_id"), F.lit(True)).alias("kept"))
     )
+
+
+def sql(how: MinHash) -> str:
+    """The same result by comparing all documents of ``documents`` that share a shingle, as SQL."""
+    n = how.shingle
+    return f"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < {n} THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - {n - 2}),
+      lambda i: array_to_string(ws[i:i + {n - 1}], ' '))) END AS said FROM split),
+shingled AS (SELECT doc_id, len(said) AS size, unnest(said) AS shingle FROM sets),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, a.size + b.size AS both_sizes, count(*) AS common
+  FROM shingled a JOIN shingled b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared WHERE 100 * common >= {how.percent} * (both_sizes - common)),
+either AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached AS (
+  SELECT x, y FROM either UNION SELECT r.x, e.y FROM reached r JOIN either e ON r.y = e.x),
+least AS (SELECT x, min(y) AS low FROM reached GROUP BY x)
+SELECT doc_id, CAST(len(said) AS BIGINT) AS n_shingles,
+  least(doc_id, coalesce(low, doc_id)) AS component_id,
+  doc_id = least(doc_id, coalesce(low, doc_id)) AS kept
+FROM sets LEFT JOIN least ON doc_id = x"""
