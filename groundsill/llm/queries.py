@@ -21,11 +21,14 @@ from groundsill.llm import (
 )
 from groundsill.llm.tables import table
 
+FOUR_WORDS = minhash.MinHash(shingle=4)
+
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rules of the contract, then a list of all pages on hosts that call themselves spam."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    rules = spark.createDataFrame(urls.RULES, "rule string, verdict string")
+    listed = ", ".join(f"('{rule}', '{verdict}')" for rule, verdict in urls.RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {listed} AS t(rule, verdict)")
     spam = reduce(lambda a, b: a | b, [
         urls.host(F.col("url")).contains(word) for word in urls.SPAM_HOSTS])
     return urls.judge(pages, rules, pages.where(spam).select("url")).select(
@@ -38,7 +41,7 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(
-        table(spark, sf_dir, "documents").select("doc_id", "text"), minhash.MinHash(shingle=4))
+        table(spark, sf_dir, "documents").select("doc_id", "text"), FOUR_WORDS)
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +91,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.remove_repeats(documents, window=20, with_text=False).select(
-        "doc_id", "n_words", "n_removed", "kept_sha256", "removed_spans")
+        "doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 QUERIES = {
@@ -106,6 +109,8 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filter": urls.SQL,
+    "op3_minhash_near_dedup": minhash.sql(FOUR_WORDS),
     "op7_poisson_mix": mixing.sql("documents"),
     "op8_warc": warc.SQL,
+    "op10_substring_dedup": substring.sql(),
 }
