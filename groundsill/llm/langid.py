@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from groundsill.llm import words
-from groundsill.session import ship_with_tasks
+from groundsill.llm.tables import in_small_batches
+from groundsill.session import materialize, ship_with_tasks
 
 ship_with_tasks(__name__)
 
@@ -249,7 +250,8 @@ def training_sample(documents: DataFrame, how: Training = Training(), id_col: st
         F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()
         & ~held_out(id_col)).select(F.col(lang_col).cast("string").alias("lang"),
                                     F.col(text_col).alias("text"))
-    sizes = usable.groupBy("lang").agg(F.count("*").alias("have"))
+    # Stored, so that Spark knows how small the counts are and moves them instead of the texts.
+    sizes = materialize(usable.groupBy("lang").agg(F.count("*").alias("have")))
     order = F.xxhash64(F.lit(how.seed), "text")
     # A first, cheap cut keeps about three times the sample, so that no task gets more.
     share = F.least(F.lit(1.0), F.lit(3.0 * how.texts) / F.col("have"))
@@ -279,7 +281,7 @@ def predict(documents: DataFrame, net: Network | None, text_col: str = "text") -
     A text that is null or has no letter is ``und`` with score 0, and so is every text if nothing
     was learned. Columns of those names are replaced.
     """
-    base = documents.drop("lang_pred", "score")
+    base = in_small_batches(documents).drop("lang_pred", "score")
     out = base.withColumn("lang_pred", F.lit(None).cast("string")).withColumn(
         "score", F.lit(None).cast("double"))
 

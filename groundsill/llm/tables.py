@@ -10,10 +10,29 @@ from groundsill.llm import bloom
 from groundsill.session import materialize
 
 
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with its session told to hand rows to Python in batches of bounded size.
+
+    A row here can be a whole document. Spark's usual batch of ten thousand rows would stand in the
+    memory of a task three times over: in its own buffers, in Python, and as what Python makes of it.
+    A session that already asks for fewer rows is left alone.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_ROWS)) <= BATCH_ROWS:
+        conf.set(_ROWS, str(BATCH_ROWS))
+        conf.set(_BYTES, f"{BATCH_BYTES}b")
+    return df
+
+
 def free_name(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have, also not in other capitals."""
     taken, name = {c.lower() for c in df.columns}, stem
@@ -42,7 +61,8 @@ def bounded_sample(df: DataFrame, key: str, most: int, order: Column) -> DataFra
     A count per key first gives the share of the hash range that holds about three times the sample;
     so a key with a third of all rows does not bring more than that to one task.
     """
-    sizes = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_have"))
+    # Stored, so that Spark knows how small the counts are and moves them instead of the rows.
+    sizes = materialize(df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_have")))
     share = F.least(F.lit(1.0), F.lit(3.0 * most + 30) / F.col("_have"))
     ranked = df.withColumn("_order", order).join(
         sizes, F.col(key).eqNullSafe(F.col("_key"))).where(
