@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundsill.llm.tables import free_name
+from groundsill.llm.tables import free_name, in_small_batches
 from groundsill.session import ship_with_tasks
 
 ship_with_tasks(__name__)
@@ -153,7 +153,7 @@ def mark_leaks(documents: DataFrame, benchmark: DataFrame, rate: float = 0.05,
     """
     if not 0 <= rate < 1:
         raise ValueError("rate must be at least 0 and below 1")
-    base = documents.drop("leaks")
+    base = in_small_batches(documents).drop("leaks")
     out = base.withColumn("leaks", F.expr(f"cast(array() as {LEAK_TYPE})"))
     schema = out.schema
     for block in _blocks(benchmark, item_id_col, item_text_col, block_chars):

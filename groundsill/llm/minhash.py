@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from groundsill.llm import bloom, words
 from groundsill.llm.components import components
+from groundsill.llm.tables import in_small_batches
 from groundsill.session import materialize, ship_with_tasks
 
 ship_with_tasks(__name__)
@@ -117,8 +118,8 @@ def _planes(minima: np.ndarray, bits: int, longs: int) -> list[np.ndarray]:
 
 
 def _texts(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return documents.select(F.col(id_col).cast("long").alias("doc"),
-                            F.col(text_col).cast("string").alias("text"))
+    return in_small_batches(documents).select(F.col(id_col).cast("long").alias("doc"),
+                                              F.col(text_col).cast("string").alias("text"))
 
 
 def marks(documents: DataFrame, how: MinHash, id_col: str = "doc_id",

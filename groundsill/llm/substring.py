@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundsill.llm import bloom, words
-from groundsill.llm.tables import free_name
+from groundsill.llm.tables import free_name, in_small_batches
 from groundsill.session import materialize, ship_with_tasks
 
 ship_with_tasks(__name__)
 
 LEAF = np.dtype([("node", "<u8"), ("doc", "<i8"), ("start", "<i4")])
 KEY_BITS = 20
-BLOCK_WORDS = 1 << 20
+BLOCK_BYTES = 3 << 20
 _LADDER = (1, 2, 4, 8, 16)
 
 
@@ -82,21 +82,26 @@ class _Block:
 
 
 def _blocks(batch: pa.RecordBatch, window: int) -> Iterator[_Block]:
-    batch = batch.filter(batch.column("doc").is_valid())
-    batch = batch.take(pa.compute.sort_indices(batch.column("doc")))
-    docs = batch.column("doc").to_numpy(zero_copy_only=False)
-    begin, held, parts = 0, 0, []
-    for _, end, data, offsets in words.slices(batch.column("text")):
-        parts.append(words.hash_words(data, offsets, lower=False))
-        held += len(parts[-1].hashes)
-        if held >= BLOCK_WORDS or end == len(docs):
-            yield _Block(docs[begin:end], words.together(parts), window)
-            begin, held, parts = end, 0, []
+    """The rows in blocks of about ``BLOCK_BYTES``, each in id order."""
+    sizes = pa.compute.binary_length(batch.column("text").cast(pa.binary())).fill_null(0)
+    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False))
+    row = 0
+    while row < len(batch):
+        most = (ends[row - 1] if row else 0) + BLOCK_BYTES
+        end = max(int(np.searchsorted(ends, most, "right")), row + 1)
+        part = batch.slice(row, end - row)
+        part = part.filter(part.column("doc").is_valid())
+        part = part.take(pa.compute.sort_indices(part.column("doc")))
+        hashed = [words.hash_words(data, offsets, lower=False)
+                  for _, _, data, offsets in words.slices(part.column("text"))]
+        if hashed:
+            yield _Block(part.column("doc").to_numpy(), words.together(hashed), window)
+        row = end
 
 
 def _texts(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return documents.select(F.col(id_col).cast("long").alias("doc"),
-                            F.col(text_col).cast("string").alias("text"))
+    return in_small_batches(documents).select(F.col(id_col).cast("long").alias("doc"),
+                                              F.col(text_col).cast("string").alias("text"))
 
 
 def heavy_prefixes(documents: DataFrame, window: int, id_col: str, text_col: str,
@@ -157,7 +162,7 @@ def _runs(starts: np.ndarray) -> bytes:
 
 
 def repeats(documents: DataFrame, window: int = 20, id_col: str = "doc_id",
-            text_col: str = "text", group_suffixes: int = 1 << 20,
+            text_col: str = "text", group_suffixes: int = 1 << 19,
             resolution: int = 4096) -> DataFrame:
     """Per document with repeats: ``doc`` and ``runs``, the starts of all windows of ``window``
     words that also start earlier (smaller id, or same id and earlier start), as packed int32
@@ -335,3 +340,27 @@ def remove_repeats(documents: DataFrame, window: int = 20, id_col: str = "doc_id
             yield pa.RecordBatch.from_arrays(columns, kept_columns + added)
 
     return joined.mapInArrow(cut, schema)
+
+
+def sql(window: int = 20) -> str:
+    """Words, removed words and digest per row of ``documents`` as SQL, for unique ids."""
+    return f"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+windows AS (
+  SELECT doc_id, s, md5(array_to_string(ws[s:s + {window - 1}], ' ')) AS said
+  FROM docs, unnest(range(1, len(ws) - {window - 2})) AS t(s)),
+repeated AS (
+  SELECT doc_id, s FROM windows
+  QUALIFY row_number() OVER (PARTITION BY said ORDER BY doc_id, s) > 1),
+placed AS (SELECT doc_id, i, ws[i] AS w FROM docs, unnest(range(1, len(ws) + 1)) AS t(i)),
+covered AS (
+  SELECT p.*, coalesce(i - s < {window}, FALSE) AS gone
+  FROM placed p ASOF LEFT JOIN repeated r ON p.doc_id = r.doc_id AND p.i >= r.s),
+counted AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+    string_agg(w, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+  FROM covered GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN counted USING (doc_id)"""

@@ -18,6 +18,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from groundsill.llm.tables import in_small_batches
 from groundsill.session import ship_with_tasks
 
 ship_with_tasks(__name__)
@@ -179,7 +180,7 @@ def count_edited(documents: DataFrame, edits: Column, text_col: str = "text",
     added names are replaced.
     """
     added = ["tokens_before", "tokens_after", "n_edits", "n_pretokens", "n_reencoded"]
-    base = documents.drop(*added).withColumn("_edits", edits.cast(EDITS_TYPE))
+    base = in_small_batches(documents).drop(*added).withColumn("_edits", edits.cast(EDITS_TYPE))
     kept = [c for c in base.columns if c not in (text_col, "_edits")]
     types = {f.name: f.dataType.simpleString() for f in base.schema.fields}
 
