@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundsill.llm import urls
-from groundsill.llm.tables import bounded_sample, free_name
+from groundsill.llm.tables import bounded_sample, free_name, in_small_batches
 from groundsill.session import materialize, ship_with_tasks
 
 ship_with_tasks(__name__)
@@ -316,10 +316,22 @@ def rules_of(wrapper: list[Node], pages: int) -> dict:
             fixed.append(list(path))
         elif root < 0:
             volume[path] += sum(map(len, texts))
-    main = list(max(sorted(volume), key=volume.__getitem__)) if volume else None
+    main = list(_widened(max(sorted(volume), key=volume.__getitem__), volume)) if volume else None
     return {"main": main, "fixed": fixed}
 
 
+def _widened(path: tuple[str, ...], volume: dict[tuple[str, ...], int]) -> tuple[str, ...]:
+    """The container of most text, or one around it that adds little more, such as a title."""
+
+    def inside(top: tuple[str, ...]) -> int:
+        return sum(n for p, n in volume.items() if p[: len(top)] == top)
+
+    while path and path[-2:-1] and path[-2].split(" ", 1)[0] not in ("html", "body") and (
+            inside(path[:-1]) <= 1.3 * inside(path)):
+        path = path[:-1]
+    return path
+
+
 @lru_cache(4096)
 def _parsed(rules: str) -> tuple[tuple[str, ...] | None, frozenset]:
     said = json.loads(rules)
@@ -385,11 +397,12 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html",
     wrapper of the empty host. A page that does not fit its host's wrapper is judged by the names of
     its containers alone.
     """
-    base = pages.drop("text", "n_chars")
+    base = in_small_batches(pages).drop("text", "n_chars")
     host, rules = free_name(base, "page_host"), free_name(base, "page_rules")
-    # Stored, so that its size is known and Spark broadcasts it only if it is small.
-    learned = materialize(wrappers(pages, url_col, html_col, sample)).select(
-        F.col("host").alias(host), F.col("rules").alias(rules))
+    # Stored without the wrappers' own text, so that its size is known and Spark broadcasts it only
+    # if it is small.
+    learned = materialize(wrappers(pages, url_col, html_col, sample).select(
+        F.col("host").alias(host), F.col("rules").alias(rules)))
     joined = base.withColumn(host, urls.host(F.col(url_col))).join(learned, host, "left").drop(host)
     kept = [c for c in base.columns if c != html_col]
     types = {f.name: f.dataType.simpleString() for f in base.schema.fields}

@@ -46,6 +46,9 @@ def test_extraction_leaves_out_what_is_no_article(spark):
         f"<div class='cookie-notice'>Cookies {n}</div>") for n in range(6)]
     rows += [page("b.org", n, f"<div class='x'><p>Long main text number {n} of a page</p><p>More {n}</p></div>"
                   f"<div class='y'>Tick</div>") for n in range(10, 16)]
+    rows += [page("f.org", n, f"<div class='w'><div class='c'><h1>Head {n}</h1><div class='b'><p>Body of the"
+                  f" page number {n}, long enough to matter</p></div></div><div class='z'>{n}"
+                  "</div></div>") for n in range(30, 36)]
     rows += [page("c.org", 20, "<main><p>Alone</p></main>")]
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     found = {r.page_id: r.text for r in extract.extract(df).collect()}
@@ -53,6 +56,8 @@ def test_extraction_leaves_out_what_is_no_article(spark):
         assert found[n] == f"Title & {n} Onetwo {n} three Four five <6>"
     for n in range(10, 16):
         assert found[n] == f"Long main text number {n} of a page More {n}"
+    for n in range(30, 36):
+        assert found[n].startswith(f"Head {n} Body of the page number {n}, long enough to matter")
     assert found[20] == "Alone"
     said = {r.host: r.wrapper for r in extract.wrappers(df).collect()}
     assert "(<li>" in said["a.org"] or "<li>" in said["a.org"]
