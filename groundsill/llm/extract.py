@@ -14,6 +14,7 @@ lies in the rest is returned whole.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -35,6 +36,9 @@ ship_with_tasks(__name__)
 SAMPLE = 12
 LOOK_AHEAD = 48
 LONGEST_UNIT = 24
+TEMPLATE = 0.9  # share of a host's pages that have a text in the same place, if it is template
+
+_COUNTED = pa.list_(pa.struct([("unit", pa.int64()), ("path", pa.string()), ("n", pa.int64())]))
 
 # Elements and words of the HTML vocabulary.
 CONTAINERS = frozenset(
@@ -289,54 +293,92 @@ def _by_name(path: tuple[str, ...]) -> tuple[bool, int]:
     return False, root
 
 
-def rules_of(wrapper: list[Node], pages: int) -> dict:
-    """What a wrapper says about its host: ``main``, the containers of the main text where no
-    article element tells, and ``fixed``, inner containers that say the same on all pages."""
-    by_path: dict[tuple[str, ...], dict[int, list[str]]] = defaultdict(lambda: defaultdict(list))
+def hash64(*said: str) -> int:
+    digest = hashlib.blake2b("\0".join(said).encode("utf-8", "surrogatepass"), digest_size=8)
+    return int.from_bytes(digest.digest(), "big", signed=True) or 1
 
-    def walk(nodes: list[Node]) -> None:
-        for node in nodes:
-            for number, said in node.values.items():
-                by_path[node.path][number].append(said)
-            walk(node.body)
 
-    walk(wrapper)
-    different = {number: " ".join(" ".join(by_path[p].get(number, [])) for p in sorted(by_path))
-                 for number in range(pages)}
-    enough = len(set(different.values())) >= 3
-    fixed, volume = [], defaultdict(int)
-    for path, by_page in by_path.items():
-        out, root = _by_name(path)
-        if out:
+@dataclass
+class Piece:
+    """A text of a page, or the white space of a block's edge (``container`` is None): which element
+    of the page it lies in, the containers around, and where on the path an article begins."""
+
+    text: str
+    container: int | None = None
+    path: tuple[str, ...] = ()
+    root: int = -1
+
+
+def pieces(page: str) -> tuple[bool, list[Piece]]:
+    """Whether the page has an article, and in order the texts that names leave in: those of the
+    article, or all without one."""
+    found: list[Piece] = []
+    inside: list[int] = []
+    has_root, last_open = False, -1
+    for number, (kind, value, path) in enumerate(events(page)):
+        del inside[len(path):]
+        if len(inside) < len(path):
+            inside.append(last_open)
+        if kind == "open":
+            last_open = number
+        if kind != "text":
+            if value not in INLINE:
+                found.append(Piece(" "))
+            has_root = has_root or (kind == "open" and _is_root(value) and not _by_name(path)[0])
             continue
-        texts = [" ".join(x) for x in by_page.values()]
-        # The element that holds the main text itself is never taken for template.
-        inner = len(path) > root + 1 if root >= 0 else True
-        if enough and inner and len(by_page) == pages and len(set(texts)) == 1:
-            fixed.append(list(path))
-        elif root < 0:
-            volume[path] += sum(map(len, texts))
-    main = list(_widened(max(sorted(volume), key=volume.__getitem__), volume)) if volume else None
-    return {"main": main, "fixed": fixed}
+        out, root = _by_name(path)
+        if not out:
+            found.append(Piece(html.unescape(value), inside[-1] if inside else -1, path, root))
+    if has_root:
+        found = [x for x in found if x.container is None or x.root >= 0]
+    return has_root, found
+
+
+def units(found: list[Piece]) -> dict[int, tuple[int, Piece, str]]:
+    """Per element with text of its own: its unit, a piece of it, and its text. The unit is a hash of
+    the place and the text, 0 for what is never template: the article element itself."""
+    own: dict[int, list[Piece]] = defaultdict(list)
+    for piece in found:
+        if piece.container is not None and not piece.text.isspace():
+            own[piece.container].append(piece)
+    out = {}
+    for container, mine in own.items():
+        first, text = mine[0], " ".join(" ".join(x.text for x in mine).split())
+        inner = first.root < 0 or len(first.path) > first.root + 1
+        out[container] = (hash64(*first.path, text) if inner else 0), first, text
+    return out
+
 
+def described(page: str) -> tuple[int, list[dict]]:
+    """What is counted of a page: a hash of the text that cannot be template, and of each element
+    its unit, its path (null within an article) and how much text it has."""
+    has_root, found = pieces(page)
+    listed = units(found).values()
+    rest = hash64(*(text for unit, _, text in listed if not unit))
+    return rest, [{"unit": unit, "path": None if has_root else "".join(f"{x}\n" for x in piece.path),
+                   "n": len(text)} for unit, piece, text in listed if unit or not has_root]
 
-def _widened(path: tuple[str, ...], volume: dict[tuple[str, ...], int]) -> tuple[str, ...]:
-    """The container of most text, or one around it that adds little more, such as a title."""
 
-    def inside(top: tuple[str, ...]) -> int:
-        return sum(n for p, n in volume.items() if p[: len(top)] == top)
+def _widened(path: tuple[str, ...], shared: dict[int, int]) -> tuple[str, ...]:
+    """The container of most text, or one around it that adds little more, such as a title.
+    ``shared``: how much text has exactly so many containers in common with the path."""
+
+    def inside(depth: int) -> int:
+        return sum(n for d, n in shared.items() if d >= depth)
 
     while path and path[-2:-1] and path[-2].split(" ", 1)[0] not in ("html", "body") and (
-            inside(path[:-1]) <= 1.3 * inside(path)):
+            inside(len(path) - 1) <= 1.3 * inside(len(path))):
         path = path[:-1]
     return path
 
 
-@lru_cache(4096)
+@lru_cache(256)
 def _parsed(rules: str) -> tuple[tuple[str, ...] | None, frozenset]:
     said = json.loads(rules)
-    main = tuple(said["main"]) if said["main"] is not None else None
-    return main, frozenset(map(tuple, said["fixed"]))
+    main = said.get("main")
+    if main is not None:
+        main = _widened(tuple(main.split("\n")[:-1]), {x["depth"]: x["n"] for x in said["shared"]})
+    return main, frozenset(said.get("fixed") or ())
 
 
 def main_text(page: str | None, rules: str | None) -> str:
@@ -344,49 +386,78 @@ def main_text(page: str | None, rules: str | None) -> str:
     if not page:
         return ""
     main, fixed = _parsed(rules) if rules else (None, frozenset())
-    articles: list[str] = []
-    elsewhere: list[tuple[tuple[str, ...], str]] = []
-    has_root = False
-    for kind, value, path in events(page):
-        if kind != "text":
-            if value not in INLINE:
-                articles.append(" ")
-                elsewhere.append((path, " "))
-            has_root = has_root or (kind == "open" and _is_root(value) and not _by_name(path)[0])
-            continue
-        out, root = _by_name(path)
-        if out or path in fixed:
-            continue
-        if root >= 0:
-            articles.append(html.unescape(value))
-        else:
-            elsewhere.append((path, html.unescape(value)))
-    if has_root:
-        return " ".join("".join(articles).split())
-    inside = [said for path, said in elsewhere if main is None or path[: len(main)] == main]
-    text = " ".join("".join(inside).split())
-    if not text and main is not None:  # a page unlike its host's others
-        text = " ".join("".join(said for _, said in elsewhere).split())
-    return text
+    has_root, found = pieces(page)
+    if not has_root and main is not None:
+        inside = [x for x in found if x.container is None or x.path[: len(main)] == main]
+        if any(not x.text.isspace() for x in inside):  # else a page unlike its host's others
+            found = inside
+    if fixed:
+        listed = units(found)
+        template = {c for c, (unit, _, _) in listed.items() if unit in fixed}
+        # What holds most of a page's text is not template, however often it is met.
+        if 2 * sum(len(listed[c][2]) for c in template) <= sum(len(x[2]) for x in listed.values()):
+            found = [x for x in found if x.container not in template]
+    return " ".join("".join(x.text for x in found).split())
+
+
+def _hosted(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
+    return pages.select(urls.host(F.col(url_col)).alias("host"),
+                        F.coalesce(F.col(html_col), F.lit("")).alias("html")).where("html <> ''")
 
 
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html",
              sample: int = SAMPLE) -> DataFrame:
-    """``host, rules, wrapper`` per host, from at most ``sample`` of its pages, chosen by hash."""
-    hosted = pages.select(urls.host(F.col(url_col)).alias("host"),
-                          F.coalesce(F.col(html_col), F.lit("")).alias("html")).where("html <> ''")
-    chosen = bounded_sample(hosted, "host", sample, F.xxhash64("html"))
+    """``host, wrapper`` per host, from at most ``sample`` of its pages, chosen by hash."""
+    chosen = bounded_sample(_hosted(pages, url_col, html_col), "host", sample, F.xxhash64("html"))
 
     def learn(table: pa.Table) -> pa.Table:
-        texts = sorted(table.column("html").to_pylist())
-        wrapper = infer(texts)
-        return pa.table({
-            "host": table.column("host").slice(0, 1),
-            "rules": [json.dumps(rules_of(wrapper, len(texts)))],
-            "wrapper": [" ".join(map(str, wrapper))]})
+        wrapper = infer(sorted(table.column("html").to_pylist()))
+        return pa.table({"host": table.column("host").slice(0, 1),
+                         "wrapper": [" ".join(map(str, wrapper))]})
 
     return chosen.select("host", "html").groupBy("host").applyInArrow(
-        learn, "host string, rules string, wrapper string")
+        learn, "host string, wrapper string")
+
+
+def rules(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``host, rules`` per host, counted over all of its pages.
+
+    ``fixed``: units (element's place and text) that at least ``TEMPLATE`` of the pages have, and three
+    pages, if the text that they leave still takes three forms; copies of one page have no
+    template. ``main``: the container of most other text on pages without an article.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [described(page.as_py()) for page in batch.column("html")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("host"), pa.array([x[0] for x in found], pa.int64()),
+                 pa.array([x[1] for x in found], _COUNTED)], ["host", "rest", "listed"])
+
+    seen = materialize(in_small_batches(_hosted(pages, url_col, html_col)).mapInArrow(
+        count, "host string, rest bigint, listed array<struct<unit:bigint,path:string,n:bigint>>"))
+    hosts = seen.groupBy("host").agg(F.count("*").alias("pages"))
+    met = seen.select("host", F.explode(F.array_distinct("listed.unit")).alias("unit")).where(
+        "unit <> 0").groupBy("host", "unit").agg(F.count("*").alias("met"))
+    often = materialize(hosts.join(met, "host").where(
+        (F.col("met") >= 3) & (F.col("met") >= TEMPLATE * F.col("pages"))).groupBy("host").agg(
+            F.sort_array(F.collect_list("unit")).alias("often")))
+    left = seen.join(often, "host", "left").withColumn("left", F.filter(
+        "listed", lambda x: ~F.coalesce(F.array_contains(F.col("often"), x["unit"]), F.lit(False))))
+    forms = left.where("often is not null").groupBy("host").agg(F.count_distinct(F.aggregate(
+        F.array_distinct("left.unit"), F.col("rest"), lambda a, x: a.bitwiseXOR(x))).alias("forms"))
+    volume = materialize(left.select("host", F.explode("left").alias("x")).where(
+        "x.path is not null").groupBy("host", "x.path").agg(F.sum("x.n").alias("n")))
+    tops = volume.groupBy("host").agg(F.max(F.struct("n", "path"))["path"].alias("main"))
+    names = F.split("main", "\n")
+    depth = F.size(F.filter(
+        F.sequence(F.lit(1), F.size(names)), lambda k: (k < F.size(names)) & F.startswith(
+            F.col("path"), F.concat(F.array_join(F.slice(names, 1, k), "\n"), F.lit("\n")))))
+    shared = volume.join(tops, "host").groupBy("host", "main", depth.alias("depth")).agg(
+        F.sum("n").alias("n")).groupBy("host", "main").agg(
+            F.collect_list(F.struct("depth", "n")).alias("shared"))
+    fixed = often.join(forms, "host").where("forms >= 3").select("host", F.col("often").alias("fixed"))
+    return hosts.select("host").join(shared, "host", "left").join(fixed, "host", "left").select(
+        "host", F.to_json(F.struct("main", "shared", "fixed")).alias("rules"))
 
 
 def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html",
@@ -398,19 +469,18 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html",
     its containers alone.
     """
     base = in_small_batches(pages).drop("text", "n_chars")
-    host, rules = free_name(base, "page_host"), free_name(base, "page_rules")
-    # Stored without the wrappers' own text, so that its size is known and Spark broadcasts it only
-    # if it is small.
-    learned = materialize(wrappers(pages, url_col, html_col, sample).select(
-        F.col("host").alias(host), F.col("rules").alias(rules)))
+    host, said = free_name(base, "page_host"), free_name(base, "page_rules")
+    # Stored, so that its size is known and Spark broadcasts it only if it is small.
+    learned = materialize(rules(pages, url_col, html_col).select(
+        F.col("host").alias(host), F.col("rules").alias(said)))
     joined = base.withColumn(host, urls.host(F.col(url_col))).join(learned, host, "left").drop(host)
     kept = [c for c in base.columns if c != html_col]
     types = {f.name: f.dataType.simpleString() for f in base.schema.fields}
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(page.as_py(), said.as_py()) for page, said in zip(
-                batch.column(html_col), batch.column(rules), strict=True)]
+            texts = [main_text(page.as_py(), told.as_py()) for page, told in zip(
+                batch.column(html_col), batch.column(said), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in kept]
                 + [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],

@@ -71,6 +71,27 @@ def test_copies_on_one_host_keep_their_text(spark):
     assert {r.text for r in extract.extract(df).collect()} == {"Copied words"}
 
 
+def test_template_is_counted_over_all_pages(spark):
+    def row(n: int, body: str, rest: str = "") -> tuple:
+        return n, f"https://g.org/{n}", f"<html><body><article>{body}</article>{rest}</body></html>"
+
+    rows = [row(n, f"<p>Words of page number {n}</p><section>"
+                   f"{'Terms apply' if n >= 15 else f'Real text {n}'}</section>") for n in range(400)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = {r.page_id: r.text for r in extract.extract(df).collect()}
+    for n in range(400):
+        assert found[n] == f"Words of page number {n}" + (f" Real text {n}" if n < 15 else "")
+    # Copies of one article, also under other menus or titles, keep it.
+    body = "<div class='body'><p>The one article that all pages hold</p></div>"
+    rows = [row(n, body, f"<nav>Menu {n}</nav><div class='x'>Other {n}</div>") for n in range(40)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert {r.text for r in extract.extract(df).collect()} == {"The one article that all pages hold"}
+    rows = [row(n, f"<h1>T {n}</h1>{body}") for n in range(40)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert {r.text for r in extract.extract(df).collect()} == {
+        f"T {n} The one article that all pages hold" for n in range(40)}
+
+
 def test_extraction_odd_rows(spark):
     long = "<article>" + "<p>word &eacute; </p>" * 50_000 + "</article>"
     rows = [(1, None, None), (2, "http://e.org/", ""), (3, "http://e.org/", "plain &amp; words"),
