@@ -3,13 +3,13 @@
 A page becomes a stream of tags and text. Repeats in a row are folded into repeated groups. Streams of
 a bounded sample of a host's pages are then aligned one after the other: text that differs becomes
 a slot, tags that one side lacks an optional group, and a group met more or less often a repeated one.
-What results, the wrapper, tells template from content: which containers hold slots, how much
-text fills them, and which hold the same words on every page.
 
-The wrapper decides where a host's main text is: in its article elements; without any, in the
-container whose slots hold most text. Containers that say by name that they are menus, adverts, forms
-or comments are left out, and so are inner containers whose text never changes. Text of the page that
-lies in the rest is returned whole.
+Every page is then matched against its host's wrapper, which tells the place of each text. Text that
+nearly all pages of the host have in the same place is template and left out, if it is an inner
+container's whole text; text in slots and stretches that the wrapper does not fit are kept.
+Containers that say by name that they are menus, adverts, forms or comments are left out. The main text
+is what is then left in the article elements; without any, in the container that holds most of the
+host's other text.
 """
 
 from __future__ import annotations
@@ -293,6 +293,126 @@ def _by_name(path: tuple[str, ...]) -> tuple[bool, int]:
     return False, root
 
 
+@dataclass
+class Step:
+    """A part of a wrapper as pages are matched against it: a token's number, or a group's steps."""
+
+    kind: str
+    token: int = -1
+    cell: int = 0
+    body: list["Step"] = field(default_factory=list)
+    firsts: frozenset = frozenset()
+
+
+def encoded(wrapper: list[Node]) -> str:
+    """A wrapper without its texts: the tokens it knows, and its parts as numbers of tokens."""
+    paths: dict[tuple, int] = {}
+    tokens: dict[tuple, int] = {}
+
+    def part(node: Node) -> int | list:
+        if node.kind in ("tag", "text"):
+            key = node.kind, node.name, paths.setdefault(node.path, len(paths))
+            return tokens.setdefault(key, len(tokens))
+        return [node.kind, *map(part, node.body)]
+
+    parts = [part(node) for node in wrapper]
+    return json.dumps([list(map(list, paths)), list(map(list, tokens)), parts])
+
+
+class Plan:
+    """A wrapper that pages are matched against. Each element of it that holds text is a cell."""
+
+    def __init__(self, said: str):
+        paths, tokens, parts = json.loads(said)
+        self.keys = [(kind, name, tuple(paths[k])) for kind, name, k in tokens]
+        self.numbers = {key: n for n, key in enumerate(self.keys)}
+        self.opened: dict[tuple, int] = {}
+        self.cells = 0
+        self.steps = [self._step(part) for part in parts]
+
+    def _step(self, part: int | list) -> Step:
+        if isinstance(part, list):
+            body = [self._step(x) for x in part[1:]]
+            firsts: set[int] = set()
+            for step in body:
+                firsts |= step.firsts
+                if step.kind != "optional":
+                    break
+            return Step(part[0], body=body, firsts=frozenset(firsts))
+        kind, name, path = self.keys[part]
+        if kind == "tag":
+            self.cells += 1
+            self.opened[(*path, name)] = self.cells
+            return Step(kind, part, firsts=frozenset([part]))
+        return Step(kind, part, self.opened.get(path, 0), firsts=frozenset([part]))
+
+    def _all(self, steps: list[Step], seen: list[int], at: int, marks: list) -> int:
+        """Where the steps end if they fit ``seen`` from ``at`` on, else -1."""
+        for step in steps:
+            if step.body:
+                end = self._group(step, seen, at, marks)
+                if end == at and step.kind == "repeat":
+                    return -1
+                at = end
+            elif at < len(seen) and seen[at] == step.token:
+                if step.kind == "text":
+                    marks.append((at, step.cell))
+                at += 1
+            else:
+                return -1
+        return at
+
+    def _group(self, group: Step, seen: list[int], at: int, marks: list) -> int:
+        while at < len(seen) and seen[at] in group.firsts:
+            held = len(marks)
+            end = self._all(group.body, seen, at, marks)
+            if end <= at:
+                del marks[held:]
+                break
+            at = end
+            if group.kind == "optional":
+                break
+        return at
+
+    def match(self, tokens: list[tuple]) -> dict[int, int]:
+        """The cell of each text of a page that the wrapper fits. Where page and wrapper differ, both go on
+        at the nearest places that are alike, and what lies between stays unmatched."""
+        seen = [self.numbers.get(token, -1) for token in tokens]
+        marks: list[tuple[int, int]] = []
+        i = j = 0
+        while i < len(self.steps) and j < len(seen):
+            step = self.steps[i]
+            end = (self._group(step, seen, j, marks) if step.body
+                   else max(self._all([step], seen, j, marks), j))
+            if end > j or step.kind == "optional":
+                i, j = i + 1, end
+                continue
+            near = _nearest(self.steps[i : i + LOOK_AHEAD], seen, j)
+            if near is None:
+                break
+            i, j = i + near[0], j + near[1]
+        return dict(marks)
+
+
+def _nearest(steps: list[Step], seen: list[int], at: int) -> tuple[int, int] | None:
+    """How many steps and tokens to pass over until both are alike."""
+    first: dict[int, int] = {}
+    later: dict[int, int] = {}
+    for a, step in enumerate(steps):
+        for token in step.firsts:
+            first.setdefault(token, a)
+            if a:
+                later.setdefault(token, a)
+    best = None
+    for b in range(len(seen) - at):
+        if best and b >= sum(best):
+            break
+        a = (first if b else later).get(seen[at + b])
+        if a is not None and (best is None or a + b < sum(best)):
+            best = a, b
+    return best
+
+
 def hash64(*said: str) -> int:
     digest = hashlib.blake2b("\0".join(said).encode("utf-8", "surrogatepass"), digest_size=8)
     return int.from_bytes(digest.digest(), "big", signed=True) or 1
@@ -301,18 +421,21 @@ def hash64(*said: str) -> int:
 @dataclass
 class Piece:
     """A text of a page, or the white space of a block's edge (``container`` is None): which element
-    of the page it lies in, the containers around, and where on the path an article begins."""
+    of the page it lies in, the containers around, where on the path an article begins, and
+    which token of the page it is."""
 
     text: str
     container: int | None = None
     path: tuple[str, ...] = ()
     root: int = -1
+    token: int = -1
 
 
-def pieces(page: str) -> tuple[bool, list[Piece]]:
-    """Whether the page has an article, and in order the texts that names leave in: those of the
-    article, or all without one."""
+def pieces(page: str) -> tuple[bool, list[Piece], list[tuple]]:
+    """Whether the page has an article; in order the texts that names leave in: those of the
+    article, or all without one; and the page's tokens, as a wrapper names them."""
     found: list[Piece] = []
+    tokens: list[tuple] = []
     inside: list[int] = []
     has_root, last_open = False, -1
     for number, (kind, value, path) in enumerate(events(page)):
@@ -322,38 +445,50 @@ def pieces(page: str) -> tuple[bool, list[Piece]]:
         if kind == "open":
             last_open = number
         if kind != "text":
+            tokens.append(("tag", value if kind == "open" else f"/{value}", path))
             if value not in INLINE:
                 found.append(Piece(" "))
             has_root = has_root or (kind == "open" and _is_root(value) and not _by_name(path)[0])
             continue
+        said = html.unescape(value)
+        if said and not said.isspace():
+            tokens.append(("text", "", path))
         out, root = _by_name(path)
         if not out:
-            found.append(Piece(html.unescape(value), inside[-1] if inside else -1, path, root))
+            found.append(Piece(said, inside[-1] if inside else -1, path, root, len(tokens) - 1))
     if has_root:
         found = [x for x in found if x.container is None or x.root >= 0]
-    return has_root, found
+    return has_root, found, tokens
 
 
-def units(found: list[Piece]) -> dict[int, tuple[int, Piece, str]]:
+def units(found: list[Piece], tokens: list[tuple], plan: Plan | None) -> dict[int, tuple[int, Piece, str]]:
     """Per element with text of its own: its unit, a piece of it, and its text. The unit is a hash of
-    the place and the text, 0 for what is never template: the article element itself."""
+    the wrapper's cell and the text. It is 0 for what is never template: the article element itself,
+    and elements whose texts the wrapper does not fit or deals out to several cells."""
     own: dict[int, list[Piece]] = defaultdict(list)
     for piece in found:
         if piece.container is not None and not piece.text.isspace():
             own[piece.container].append(piece)
+    cells: dict[int, int] | None = None
     out = {}
     for container, mine in own.items():
         first, text = mine[0], " ".join(" ".join(x.text for x in mine).split())
-        inner = first.root < 0 or len(first.path) > first.root + 1
-        out[container] = (hash64(*first.path, text) if inner else 0), first, text
+        unit = 0
+        if plan and (first.root < 0 or len(first.path) > first.root + 1):
+            if cells is None:
+                cells = plan.match(tokens)
+            met = {cells.get(x.token, -1) for x in mine}
+            if len(met) == 1 and -1 not in met:
+                unit = hash64(str(met.pop()), text)
+        out[container] = unit, first, text
     return out
 
 
-def described(page: str) -> tuple[int, list[dict]]:
+def described(page: str, wrapper: str | None) -> tuple[int, list[dict]]:
     """What is counted of a page: a hash of the text that cannot be template, and of each element
     its unit, its path (null within an article) and how much text it has."""
-    has_root, found = pieces(page)
-    listed = units(found).values()
+    has_root, found, tokens = pieces(page)
+    listed = units(found, tokens, _planned(wrapper) if wrapper else None).values()
     rest = hash64(*(text for unit, _, text in listed if not unit))
     return rest, [{"unit": unit, "path": None if has_root else "".join(f"{x}\n" for x in piece.path),
                    "n": len(text)} for unit, piece, text in listed if unit or not has_root]
@@ -372,6 +507,11 @@ def _widened(path: tuple[str, ...], shared: dict[int, int]) -> tuple[str, ...]:
     return path
 
 
+@lru_cache(64)
+def _planned(wrapper: str) -> Plan:
+    return Plan(wrapper)
+
+
 @lru_cache(256)
 def _parsed(rules: str) -> tuple[tuple[str, ...] | None, frozenset]:
     said = json.loads(rules)
@@ -381,18 +521,18 @@ def _parsed(rules: str) -> tuple[tuple[str, ...] | None, frozenset]:
     return main, frozenset(said.get("fixed") or ())
 
 
-def main_text(page: str | None, rules: str | None) -> str:
+def main_text(page: str | None, rules: str | None, wrapper: str | None = None) -> str:
     """The page's main text: white space as single spaces, blocks in order, references decoded."""
     if not page:
         return ""
     main, fixed = _parsed(rules) if rules else (None, frozenset())
-    has_root, found = pieces(page)
+    has_root, found, tokens = pieces(page)
     if not has_root and main is not None:
         inside = [x for x in found if x.container is None or x.path[: len(main)] == main]
         if any(not x.text.isspace() for x in inside):  # else a page unlike its host's others
             found = inside
-    if fixed:
-        listed = units(found)
+    if fixed and wrapper:
+        listed = units(found, tokens, _planned(wrapper))
         template = {c for c, (unit, _, _) in listed.items() if unit in fixed}
         # What holds most of a page's text is not template, however often it is met.
         if 2 * sum(len(listed[c][2]) for c in template) <= sum(len(x[2]) for x in listed.values()):
@@ -407,33 +547,38 @@ def _hosted(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
 
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html",
              sample: int = SAMPLE) -> DataFrame:
-    """``host, wrapper`` per host, from at most ``sample`` of its pages, chosen by hash."""
+    """``host, wrapper, parts`` per host (in words, and as pages are matched against it), from at most ``sample`` of its pages, chosen by hash."""
     chosen = bounded_sample(_hosted(pages, url_col, html_col), "host", sample, F.xxhash64("html"))
 
     def learn(table: pa.Table) -> pa.Table:
         wrapper = infer(sorted(table.column("html").to_pylist()))
         return pa.table({"host": table.column("host").slice(0, 1),
-                         "wrapper": [" ".join(map(str, wrapper))]})
+                         "wrapper": [" ".join(map(str, wrapper))],
+                         "parts": [encoded(wrapper)]})
 
     return chosen.select("host", "html").groupBy("host").applyInArrow(
-        learn, "host string, wrapper string")
+        learn, "host string, wrapper string, parts string")
 
 
-def rules(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``host, rules`` per host, counted over all of its pages.
+def rules(pages: DataFrame, learned: DataFrame, url_col: str = "url",
+          html_col: str = "html") -> DataFrame:
+    """``host, rules, parts`` per host, counted over all of its pages, each matched against the
+    host's wrapper in ``learned`` (``host, parts``).
 
-    ``fixed``: units (element's place and text) that at least ``TEMPLATE`` of the pages have, and three
+    ``fixed``: units (the wrapper's cell and the text) that at least ``TEMPLATE`` of the pages have, and three
     pages, if the text that they leave still takes three forms; copies of one page have no
     template. ``main``: the container of most other text on pages without an article.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [described(page.as_py()) for page in batch.column("html")]
+            found = [described(page.as_py(), parts.as_py()) for page, parts in zip(
+                batch.column("html"), batch.column("parts"), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("host"), pa.array([x[0] for x in found], pa.int64()),
                  pa.array([x[1] for x in found], _COUNTED)], ["host", "rest", "listed"])
 
-    seen = materialize(in_small_batches(_hosted(pages, url_col, html_col)).mapInArrow(
+    hosted = in_small_batches(_hosted(pages, url_col, html_col))
+    seen = materialize(hosted.join(learned, "host", "left").mapInArrow(
         count, "host string, rest bigint, listed array<struct<unit:bigint,path:string,n:bigint>>"))
     hosts = seen.groupBy("host").agg(F.count("*").alias("pages"))
     met = seen.select("host", F.explode(F.array_distinct("listed.unit")).alias("unit")).where(
@@ -456,8 +601,11 @@ def rules(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> Dat
         F.sum("n").alias("n")).groupBy("host", "main").agg(
             F.collect_list(F.struct("depth", "n")).alias("shared"))
     fixed = often.join(forms, "host").where("forms >= 3").select("host", F.col("often").alias("fixed"))
-    return hosts.select("host").join(shared, "host", "left").join(fixed, "host", "left").select(
-        "host", F.to_json(F.struct("main", "shared", "fixed")).alias("rules"))
+    # Hosts without template need no wrapper any more.
+    return hosts.select("host").join(shared, "host", "left").join(fixed, "host", "left").join(
+        learned, "host", "left").select(
+            "host", F.to_json(F.struct("main", "shared", "fixed")).alias("rules"),
+            F.when(F.col("fixed").isNotNull(), F.col("parts")).alias("parts"))
 
 
 def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html",
@@ -465,22 +613,24 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html",
     """``pages`` without the html, with ``text`` and ``n_chars``; columns of those names are replaced.
 
     A null or empty html gives an empty text. Pages whose url is null or has no host share the
-    wrapper of the empty host. A page that does not fit its host's wrapper is judged by the names of
-    its containers alone.
+    wrapper of the empty host. Stretches of a page that its host's wrapper does not fit are judged by
+    the names of their containers alone.
     """
     base = in_small_batches(pages).drop("text", "n_chars")
     host, said = free_name(base, "page_host"), free_name(base, "page_rules")
-    # Stored, so that its size is known and Spark broadcasts it only if it is small.
-    learned = materialize(rules(pages, url_col, html_col).select(
-        F.col("host").alias(host), F.col("rules").alias(said)))
+    wrapped = free_name(base, "page_wrapper")
+    # Both stored, so that their size is known and Spark broadcasts them only if they are small.
+    inferred = materialize(wrappers(pages, url_col, html_col, sample).select("host", "parts"))
+    learned = materialize(rules(pages, inferred, url_col, html_col).select(
+        F.col("host").alias(host), F.col("rules").alias(said), F.col("parts").alias(wrapped)))
     joined = base.withColumn(host, urls.host(F.col(url_col))).join(learned, host, "left").drop(host)
     kept = [c for c in base.columns if c != html_col]
     types = {f.name: f.dataType.simpleString() for f in base.schema.fields}
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(page.as_py(), told.as_py()) for page, told in zip(
-                batch.column(html_col), batch.column(said), strict=True)]
+            texts = [main_text(page.as_py(), told.as_py(), parts.as_py()) for page, told, parts in zip(
+                batch.column(html_col), batch.column(said), batch.column(wrapped), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in kept]
                 + [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],

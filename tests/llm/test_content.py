@@ -92,6 +92,37 @@ def test_template_is_counted_over_all_pages(spark):
         f"T {n} The one article that all pages hold" for n in range(40)}
 
 
+def test_wrapper_decides_what_is_template(spark):
+    # The sections have one path; only their place in the wrapper tells them apart.
+    rows = [(n, f"https://w.org/{n}", (
+        f"<html><body><article><h1>Title {n}</h1><p>Words of page {n}</p><section><p>Terms apply</p>"
+        f"</section><hr>{f'<section><p>Real text {n}</p></section>' if n % 2 else ''}"
+        f"{'<section><p>Terms apply</p></section>' if n == 8 else ''}"
+        f"</article></body></html>")) for n in range(40)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = {r.page_id: r.text for r in extract.extract(df).collect()}
+    for n in range(40):
+        assert found[n] == f"Title {n} Words of page {n}" + (f" Real text {n}" if n % 2 else "") + (
+            " Terms apply" if n == 8 else "")
+
+
+def test_pages_are_matched_against_the_wrapper():
+    pages = [f"<article><section>A</section>{'<ul><li>x</li></ul>' * k}<section>{k}</section></article>"
+             for k in (1, 2, 3)]
+    plan = extract.Plan(extract.encoded(extract.infer(pages)))
+
+    def cells(page: str) -> list[int | None]:
+        _, found, tokens = extract.pieces(page)
+        met = plan.match(tokens)
+        return [met.get(x.token) for x in found if x.container is not None]
+
+    known = [cells(p) for p in pages]
+    assert [len(x) for x in known] == [3, 4, 5] and all(None not in x for x in known)
+    assert len({(x[0], x[1], x[-1]) for x in known}) == 1 and len(set(known[2])) == 3
+    odd = cells(pages[0].replace("<ul>", "<blockquote>new</blockquote><ul>"))
+    assert odd == [known[0][0], None, known[0][1], known[0][2]]
+
+
 def test_extraction_odd_rows(spark):
     long = "<article>" + "<p>word &eacute; </p>" * 50_000 + "</article>"
     rows = [(1, None, None), (2, "http://e.org/", ""), (3, "http://e.org/", "plain &amp; words"),
