@@ -7,8 +7,8 @@ a slot, tags that one side lacks an optional group, and a group met more or less
 Every page is then matched against its host's wrapper, which tells the place of each text. Text that
 nearly all pages of the host have in the same place is template and left out, if it is an inner
 container's whole text; text in slots and stretches that the wrapper does not fit are kept.
-Containers that say by name that they are menus, adverts, forms or comments are left out. The main text
-is what is then left in the article elements; without any, in the container that holds most of the
+Containers that say by name that they are menus, adverts, forms or comments are left out, unless they
+hold most of the page's text. The main text is what is then left in the article elements; without any, in the container that holds most of the
 host's other text.
 """
 
@@ -57,13 +57,21 @@ CLOSED_BY_NEXT = {"p": frozenset(["p", *CONTAINERS]), "li": frozenset(["li"]),
                   "dd": frozenset(["dd", "dt"]), "dt": frozenset(["dd", "dt"])}
 NEVER_BY_NAME = frozenset(["html", "body", "main", "article"])
 VOID_LEFT_OUT = frozenset(["header"])
+# A class, id or role names a left-out container if all its words are known and one of them says so.
 NAMES_LEFT_OUT = re.compile(
-    r"(?<![a-z])((ads?|nav|share|sharing|social|sponsor(ed|s)?|promo(tion|s)?|banners?|menus?"
+    r"ads?|nav|navbar|navigation|share|sharing|social|sponsor(ed|s)?|promo(tion|s)?|banners?|menus?"
     r"|widgets?|masthead|consent|notices?|alerts?|modal|overlay|replies|respond|disqus|search"
     r"|related|recommend(ed|ations)?|pagination|pager|toolbar|contentinfo|complementary|hidden"
-    r"|sign-?up|log-?in|subscription)(?![a-z])"
-    r"|(advert|navbar|navigation|breadcrumb|side-?bar|footer|site-?header|page-?header|cookie|pop-?up"
-    r"|comment|newsletter|subscribe))")
+    r"|signup|login|subscription|advert(s|isement|isements|ising)?|breadcrumbs?|sidebars?|footers?"
+    r"|siteheader|pageheader|cookies?|cookiebar|popups?|comments?|commentlist|newsletters?|subscribe")
+WORDS_BESIDE = frozenset(
+    "9 a and area article articles aside bar big block blog body bottom box button buttons card cards"
+    " column container content desktop dropdown entry fb field footer for form global google group"
+    " header holder icon icons inline inner input item items layer left level link links list lists"
+    " local main media mobile module my nav news of on outer page panel popular post posts primary"
+    " responsive right row secondary section site slot small stories story tab text the thread title"
+    " to toggle top topbar twitter unit us user video wrap wrapper".split())
+_JOINED = re.compile(r"\b(site|page|side|pop|sign|log|nav)[-_](header|bar|up|in)\b")
 NAMES_ROOT = re.compile(r"(?<![a-z])(article|post|entry|story)-?(body|content|text|main)?(?![a-z-])")
 
 _TOKEN = re.compile(
@@ -264,11 +272,23 @@ def infer(pages: list[str]) -> list[Node]:
     return wrapper
 
 
+def _says_left_out(name: str) -> bool:
+    said = [x for x in re.split("[-_]+", _JOINED.sub(r"\1\2", name)) if x]
+    named = [bool(NAMES_LEFT_OUT.fullmatch(x)) for x in said]
+    return any(named) and all(n or x in WORDS_BESIDE for n, x in zip(named, said, strict=True))
+
+
 @lru_cache(100_000)
 def _left_out(sign: str) -> bool:
     tag, _, names = sign.partition(" ")
-    return tag in LEFT_OUT or bool(
-        names and tag not in NEVER_BY_NAME and NAMES_LEFT_OUT.search(names))
+    return tag in LEFT_OUT or (
+        tag not in NEVER_BY_NAME and any(map(_says_left_out, names.split())))
+
+
+def _soft(sign: str) -> bool:
+    """Left out by a name, or a form: such a container can also stand around the main text."""
+    tag = sign.split(" ", 1)[0]
+    return _left_out(sign) and (tag == "form" or tag not in LEFT_OUT)
 
 
 @lru_cache(100_000)
@@ -279,18 +299,29 @@ def _is_root(sign: str) -> bool:
 
 
 @lru_cache(200_000)
-def _by_name(path: tuple[str, ...]) -> tuple[bool, int]:
-    """Whether names alone leave the path out, and at which depth an article begins (or -1). A header
-    is left out unless it lies within an article."""
-    root = -1
+def _by_name(path: tuple[str, ...]) -> tuple[str, int, int]:
+    """What names say of a path: ``in``; ``out``; ``around``, if a container that a name leaves out stands
+    around an article; or ``soft``, if one does without an article in it and nothing else leaves the
+    path out. Then at which depth the article begins (or -1) and the first such container is (or
+    -1). A header is left out unless it lies within an article; ``main``, of which a page has
+    one, is never left out by a name around it."""
+    root = soft = around = -1
     for depth, sign in enumerate(path):
+        tag = sign.split(" ", 1)[0]
         if _left_out(sign):
-            return True, root
-        if root < 0 and sign.split(" ", 1)[0] in VOID_LEFT_OUT:
-            return True, root
-        if root < 0 and _is_root(sign):
-            root = depth
-    return False, root
+            if not _soft(sign):
+                return "out", root, -1
+            soft = depth if soft < 0 else soft
+        elif tag in VOID_LEFT_OUT and root < 0:
+            return "out", root, -1
+        elif (root < 0 or soft >= 0) and _is_root(sign):
+            if soft >= 0 and tag != "main":
+                around = soft
+            root, soft = depth, -1
+    if soft >= 0:
+        alone = root < 0 and not any(map(_left_out, path[soft + 1 :]))
+        return ("soft" if alone else "out"), root, soft
+    return ("around" if around >= 0 else "in"), root, around
 
 
 @dataclass
@@ -433,11 +464,18 @@ class Piece:
 
 def pieces(page: str) -> tuple[bool, list[Piece], list[tuple]]:
     """Whether the page has an article; in order the texts that names leave in: those of the
-    article, or all without one; and the page's tokens, as a wrapper names them."""
-    found: list[Piece] = []
+    article, or all without one; and the page's tokens, as a wrapper names them.
+
+    A name does not leave out a container that holds most of the page's text: articles in such
+    containers count if they hold more than the other articles do, and without any article the
+    largest such container does if it holds more than what names leave in.
+    """
+    found: list[tuple[str, int, Piece]] = []
     tokens: list[tuple] = []
     inside: list[int] = []
     has_root, last_open = False, -1
+    volume: dict[str, int] = defaultdict(int)
+    held: dict[int, int] = defaultdict(int)
     for number, (kind, value, path) in enumerate(events(page)):
         del inside[len(path):]
         if len(inside) < len(path):
@@ -447,18 +485,29 @@ def pieces(page: str) -> tuple[bool, list[Piece], list[tuple]]:
         if kind != "text":
             tokens.append(("tag", value if kind == "open" else f"/{value}", path))
             if value not in INLINE:
-                found.append(Piece(" "))
-            has_root = has_root or (kind == "open" and _is_root(value) and not _by_name(path)[0])
+                found.append(("", -1, Piece(" ")))
+            has_root = has_root or (
+                kind == "open" and _is_root(value) and _by_name((*path, value))[0] == "in")
             continue
         said = html.unescape(value)
         if said and not said.isspace():
             tokens.append(("text", "", path))
-        out, root = _by_name(path)
-        if not out:
-            found.append(Piece(said, inside[-1] if inside else -1, path, root, len(tokens) - 1))
-    if has_root:
-        found = [x for x in found if x.container is None or x.root >= 0]
-    return has_root, found, tokens
+        how, root, depth = _by_name(path)
+        if how != "out":
+            top = inside[depth] if how == "soft" else -1
+            found.append((how, top, Piece(said, inside[-1] if inside else -1, path, root, len(tokens) - 1)))
+            size = len(said.strip())
+            held[top] += size if how == "soft" else 0
+            volume["article" if how == "in" and root >= 0 else how] += size
+    kept = {"", "in"}
+    if volume["around"] > volume["article"]:
+        kept.add("around")
+        has_root = True
+    largest = max(held, key=held.__getitem__, default=-1)
+    if not has_root and held[largest] > volume["in"]:
+        kept.add("soft")
+    return has_root, [x for how, top, x in found if how in kept and (how != "soft" or top == largest) and (
+        not has_root or x.container is None or x.root >= 0)], tokens
 
 
 def units(found: list[Piece], tokens: list[tuple], plan: Plan | None) -> dict[int, tuple[int, Piece, str]]:

@@ -123,6 +123,30 @@ def test_pages_are_matched_against_the_wrapper():
     assert odd == [known[0][0], None, known[0][1], known[0][2]]
 
 
+@pytest.mark.parametrize("around", [
+    "div class='layout has-sidebar'", "div class='no-sidebar'", "div class='with-comments x'", "form action='/'",
+    "div id='sticky-footer'", "div class='sidebar'", "div role='search' class='newsletter'"])
+def test_names_leave_out_no_article(around):
+    close = around.split()[0]
+    article = "<article><p>All of the text</p><div class='share'>Share</div></article>"
+    for body in (article, article.replace("article", "main"), f"<main>{article}</main>"):
+        page = f"<body><nav>Menu</nav><{around}>{body}<div class='related'>More</div></{close}></body>"
+        assert extract.main_text(page, None) == "All of the text"
+    page = f"<body><main><{around}>{article}</{close}</main></body>"
+    assert extract.main_text(page, None) == "All of the text"
+    plain = f"<body><nav>Menu</nav><{around}><p>All of the text</p><div class='ad'>Buy</div></{close}></body>"
+    assert extract.main_text(plain, None) == "All of the text"
+
+
+def test_names_still_leave_out_what_is_beside():
+    article = "<article><p>All of the text, at some length</p></article>"
+    for name in ("related-posts", "comments-area", "sidebar", "share-buttons", "cookie-notice", "page-footer"):
+        beside = f"<div class='{name}'><article>A teaser</article></div>"
+        assert extract.main_text(article + beside, None) == "All of the text, at some length"
+        assert extract.main_text(f"<p>All of the text</p><div class='{name}'>Beside</div>", None) == (
+            "All of the text")
+
+
 def test_extraction_odd_rows(spark):
     long = "<article>" + "<p>word &eacute; </p>" * 50_000 + "</article>"
     rows = [(1, None, None), (2, "http://e.org/", ""), (3, "http://e.org/", "plain &amp; words"),
