@@ -244,17 +244,18 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def training_sample(documents: DataFrame, how: Training = Training(), id_col: str = "doc_id",
                     text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, str]]:
-    """Stretches of labelled texts outside the held-out part: at most ``how.texts`` texts per
-    language, chosen by a hash of the text, and ``how.pieces`` stretches at hashed places of each."""
+    """Stretches of labelled texts outside the held-out part: ``how.texts`` different texts per
+    language, or all if there are fewer, chosen by a hash of the text, and ``how.pieces`` stretches
+    at hashed places of each. Copies of a text count once."""
+    order = F.xxhash64(F.lit(how.seed), "text")
     usable = documents.where(
         F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()
         & ~held_out(id_col)).select(F.col(lang_col).cast("string").alias("lang"),
-                                    F.col(text_col).alias("text"))
-    # Stored, so that Spark knows how small the counts are and moves them instead of the texts.
-    sizes = materialize(usable.groupBy("lang").agg(F.count("*").alias("have")))
-    order = F.xxhash64(F.lit(how.seed), "text")
-    # A first, cheap cut keeps about three times the sample, so that no task gets more.
-    share = F.least(F.lit(1.0), F.lit(3.0 * how.texts) / F.col("have"))
+                                    F.col(text_col).alias("text")).withColumn("order", order)
+    # Hashes are ranked, not texts. Stored, so that Spark knows how few are chosen and moves them.
+    chosen = materialize(usable.select("lang", "order").distinct().withColumn(
+        "rank", F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    ).where(F.col("rank") <= how.texts))
     places = F.transform(
         F.sequence(F.lit(1), F.lit(how.pieces)),
         lambda k: F.substring(
@@ -262,11 +263,8 @@ def training_sample(documents: DataFrame, how: Training = Training(), id_col: st
             (F.pmod(F.xxhash64(F.col("order"), k),
                     F.greatest(F.length("text") - how.stretch, F.lit(0)) + 1) + 1).cast("int"),
             F.lit(how.stretch)))
-    ranked = usable.withColumn("order", order).join(sizes, "lang").where(
-        F.pmod(F.col("order"), F.lit(1 << 20)) <= share * (1 << 20)
-    ).select("lang", "order", places.alias("pieces")).withColumn(
-        "rank", F.row_number().over(Window.partitionBy("lang").orderBy("order", "pieces"))
-    ).where(F.col("rank") <= how.texts)
+    ranked = usable.join(F.broadcast(chosen), ["lang", "order"]).select(
+        "lang", "rank", places.alias("pieces")).distinct()
     rows = ranked.orderBy("lang", "rank").select("lang", F.explode("pieces").alias("piece")).collect()
     return [(r.piece, r.lang) for r in rows]
 

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from groundsill.llm import decontaminate, extract, neighbours, queries, tokens, warc
+from groundsill.llm import decontaminate, extract, langid, neighbours, queries, tokens, warc
 from groundsill.llm.tables import table
 from groundsill.session import materialize, shared_dir
 
@@ -332,6 +332,23 @@ def _gzip(data: bytes) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
+def test_language_sample_takes_different_texts(spark):
+    how = langid.Training(texts=15)
+    few = spark.range(6000).selectExpr("id doc_id", "concat('copied text ', id % 20) text", "'aa' lang")
+    # A text that comes first in the order, and very often, takes one place only.
+    first = spark.range(300).selectExpr("id doc_id", "concat('own text ', id) text").where(
+        ~langid.held_out()).orderBy(F.xxhash64(F.lit(how.seed), "text")).first().text
+    often = spark.range(300).selectExpr("id doc_id", "concat('own text ', id) text", "'bb' lang")
+    copies = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.lit(first).alias("text"), F.lit("bb").alias("lang"))
+    alone = spark.range(40).selectExpr("id doc_id", "concat('only ', id % 3) text", "'cc' lang")
+    rows = langid.training_sample(few.union(often).union(copies).union(alone), how)
+    seen = {lang: [t for t, x in rows if x == lang] for lang in ("aa", "bb", "cc")}
+    assert {x: len(set(t)) for x, t in seen.items()} == {"aa": 15, "bb": 15, "cc": 3}
+    assert {x: len(t) for x, t in seen.items()} == {
+        "aa": 15 * how.pieces, "bb": 15 * how.pieces, "cc": 3 * how.pieces}
+
+
 def test_pipeline_stages(spark):
     assert shared_dir(spark)
     docs = table(spark, helpers.SF_DIR, "documents")
