@@ -7,8 +7,9 @@ pass by an Aho-Corasick automaton, give every place where a leak can be. Each su
 then decided by Myers' bit-parallel distance.
 
 Texts and items are compared in lower case with white space runs as single spaces. Items travel in
-blocks of bounded size, one pass over the documents per block, so nothing that is sent to tasks grows
-with the benchmark. No step shuffles documents.
+blocks of bounded size, one scan of the documents per block. The scans are chained in one stage: the
+plan holds all blocks, and a task runs a Python worker and an automaton for each at the same time,
+so memory grows with the number of blocks. No step shuffles documents.
 """
 
 from __future__ import annotations
@@ -128,7 +129,7 @@ class Matcher:
 
 def _blocks(items: DataFrame, id_col: str, text_col: str, chars: int) -> Iterator[list]:
     """The items in id order, cut into blocks of about ``chars`` characters; an item that is longer
-    is a block of its own. Only one block is on the driver at a time."""
+    is a block of its own. Only one block is collected at a time; ``mark_leaks`` keeps them all in its plan."""
     block, held = [], 0
     ordered = items.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).where(
         "i is not null and t is not null").orderBy("i", "t")
