@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from groundsill.llm import (
     decontaminate,
     extract,
+    fim,
     langid,
     minhash,
     mixing,
@@ -94,6 +95,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("fim_text", 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("form"), F.col("fim_text")), 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_html_extraction": op2_html_extraction,
@@ -105,6 +114,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_language_id": op9_language_id,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -113,4 +123,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_poisson_mix": mixing.sql("documents"),
     "op8_warc": warc.SQL,
     "op10_substring_dedup": substring.sql(),
+    "op11_fill_in_middle": fim.sql(),
 }
