@@ -15,6 +15,7 @@ from groundsill.llm import (
     minhash,
     mixing,
     neighbours,
+    phrases,
     substring,
     tokens,
     urls,
@@ -103,6 +104,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(fim.restored(F.col("form"), F.col("fim_text")), 256).alias("restored_sha256"))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_html_extraction": op2_html_extraction,
@@ -115,6 +120,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_phrase_collocations": op12_phrase_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -124,4 +130,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_warc": warc.SQL,
     "op10_substring_dedup": substring.sql(),
     "op11_fill_in_middle": fim.sql(),
+    "op12_phrase_collocations": phrases.sql(),
 }
