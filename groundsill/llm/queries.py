@@ -16,6 +16,7 @@ from groundsill.llm import (
     mixing,
     neighbours,
     phrases,
+    pii,
     substring,
     tokens,
     urls,
@@ -108,6 +109,18 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rules = F.filter("pii", lambda s: s["by_rule"])
+    kinds = F.transform(rules, lambda s: s["kind"])
+    return found.select(
+        "doc_id",
+        *[(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("bigint").alias(f"n_{kind}")
+          for kind in pii.KINDS],
+        F.sha2(pii.listed(rules), 256).alias("base_sha256"),
+        pii.listed(F.col("pii")).alias("spans"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_html_extraction": op2_html_extraction,
@@ -121,6 +134,7 @@ QUERIES = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_personal_data": op13_personal_data,
 }
 
 ORACLE_SQL: dict[str, str] = {
