@@ -29,7 +29,7 @@ from groundsill.operators import (
 )
 from groundsill.plans.stages import GATE, PIN, POLICY, RETRIEVAL, RUN_ID, Stages
 from groundsill.schemas import CHUNK, enforce
-from groundsill.sources import index_store
+from groundsill.sources import gold, index_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -87,6 +87,17 @@ def register(fn: Callable[[Stages], DataFrame]) -> Callable[[Stages], DataFrame]
     return fn
 
 
+# --- CSV lines ---------------------------------------------------------------------------
+@register
+def gold_csv_scan(s: Stages) -> DataFrame:
+    return gold.good_rows(gold.parse_lines(s.input("csv_lines").select("line"), "incident"), "incident")
+
+
+@register
+def gold_corrupt_split(s: Stages) -> DataFrame:
+    return gold.rejected_lines(gold.parse_lines(s.input("csv_lines").select("line"), "incident"))
+
+
 # --- knowledge ---------------------------------------------------------------------------
 def _narrated(kind: str) -> None:
     def query(s: Stages) -> DataFrame:

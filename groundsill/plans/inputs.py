@@ -18,6 +18,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from groundsill.sources.gold import GOLD_COLUMNS
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages"
     " benchmark labels conversations"
@@ -184,6 +186,36 @@ def build(d: Dialect) -> dict[str, str]:
           text AS content_text
         FROM {d.of('documents')}"""
 
+    # The incidents as lines of header CSV, as files of many origins bring them: some with commas and
+    # quotes inside of fields, some with fields too many or too few, open quotes, headers and blanks.
+    q["csv_incidents"] = """
+        SELECT * FROM (
+          SELECT incident_id, incident_date, equipment_name, equipment_type, line_id, failure_type,
+            failure_category, root_cause, downtime_minutes,
+            CASE WHEN incident_key % 5 = 0 THEN resolution_action || ', then "tested"'
+              WHEN incident_key % 5 = 1 THEN '"sealed" ' || resolution_action
+              ELSE resolution_action END AS resolution_action,
+            severity, shift, reported_by, verified_by, environmental_temp_c, humidity_percent,
+            production_impact_units, labor_hours, parts_cost_usd, mttr_minutes, mtbf_hours,
+            incident_key,
+            CASE WHEN incident_key % 43 = 1 THEN 'more' WHEN incident_key % 47 = 2 THEN 'fewer'
+              WHEN incident_key % 53 = 3 THEN 'open' WHEN incident_key % 59 = 4 THEN 'blank'
+              WHEN incident_key % 61 = 5 THEN 'header' ELSE 'good' END AS damage
+          FROM (SELECT *, CAST(substr(incident_id, 5) AS BIGINT) AS incident_key FROM gold_incident)
+          AS keyed) AS named"""
+    quoted = " || ',' || ".join(
+        f"""CASE WHEN {c} IS NULL THEN '' ELSE '"' || replace({c}, '"', '""') || '"' END"""
+        for c in GOLD_COLUMNS["incident"])
+    few = " || ',' || ".join(f"coalesce({c}, '')" for c in GOLD_COLUMNS["incident"][:4])
+    q["csv_lines"] = f"""
+        SELECT incident_key, damage, CASE damage WHEN 'more' THEN {quoted} || ',"extra",more'
+            WHEN 'fewer' THEN {few}
+            WHEN 'open' THEN {quoted} || ',"never closed'
+            WHEN 'blank' THEN repeat(' ', CAST(incident_key % 3 AS INT))
+            WHEN 'header' THEN '{",".join(GOLD_COLUMNS["incident"])}'
+            ELSE {quoted} END AS line
+        FROM csv_incidents"""
+
     # Knowledge and chunks by document: five types, some missing, some texts not worth keeping.
     q["doc_knowledge"] = f"""
         SELECT doc_id, 'DOC_' || {_string('doc_id')} AS knowledge_id,

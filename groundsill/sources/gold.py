@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,3 +81,58 @@ def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col(first).alias("first_field"), F.col(CORRUPT).alias("raw_line")
     )
     return good, bad
+
+
+LINE_REASONS = [
+    "BLANK_LINE", "HEADER_LINE", "OPEN_QUOTE", "TOO_FEW_FIELDS", "TOO_MANY_FIELDS", "MALFORMED"]
+_CSV = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "quote": '"', "escape": '"'}
+_QUOTED = '"(?:[^"]|"")*"'
+
+
+def count_fields(line: Column) -> Column:
+    """Fields of a CSV line: commas outside of quotes, and one."""
+    bare = F.regexp_replace(line, _QUOTED, "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+
+def parse_lines(lines: DataFrame, kind: str, line_col: str = "line") -> DataFrame:
+    """Lines of header CSV, from wherever they come, as the columns of a source.
+
+    Other columns stay. Adds ``n_fields`` and ``reject_reason`` (null = good), the first of
+    ``LINE_REASONS`` that holds; a rejected line's fields are null, so that no value ends up in
+    a column beside its own. Repeated header lines, one per file, are rejected like all that is no data.
+    An empty field is null. Null lines count as blank. Columns named like the source's are replaced.
+    """
+    names = GOLD_COLUMNS[kind]
+    text = F.col(line_col)
+    schema = ", ".join(f"`{n}` STRING" for n in [*names, CORRUPT])
+    header = ",".join(names)
+    n, quotes = F.col("n_fields"), F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
+    kept = [c for c in lines.columns if c not in {*names, "n_fields", "reject_reason"}]
+    read = lines.select(*kept).withColumn("n_fields", count_fields(text)).withColumn(
+        "_fields", F.from_csv(text, schema, _CSV))
+    reason = (
+        F.when(text.isNull() | (F.trim(text) == ""), LINE_REASONS[0])
+        .when(F.replace(F.trim(text), F.lit('"'), F.lit("")) == header, LINE_REASONS[1])
+        .when(quotes % 2 == 1, LINE_REASONS[2])
+        .when(n < len(names), LINE_REASONS[3])
+        .when(n > len(names), LINE_REASONS[4])
+        .when(F.col(f"_fields.{CORRUPT}").isNotNull(), LINE_REASONS[5])
+    )
+    judged = read.withColumn("reject_reason", reason)
+    good = F.col("reject_reason").isNull()
+    return judged.select(
+        *kept, *[F.when(good, F.col(f"_fields.`{name}`")).alias(name) for name in names],
+        F.when(~F.coalesce(F.trim(text) == "", F.lit(True)), n).alias("n_fields"), "reject_reason")
+
+
+def good_rows(parsed: DataFrame, kind: str) -> DataFrame:
+    """The columns of the source, of lines that hold them all."""
+    return parsed.where(F.col("reject_reason").isNull()).select(*GOLD_COLUMNS[kind])
+
+
+def rejected_lines(parsed: DataFrame, line_col: str = "line") -> DataFrame:
+    """The other side: what was read, how many fields it has, and why it is no row."""
+    return parsed.where(F.col("reject_reason").isNotNull()).select(
+        F.col(line_col).alias("raw_line"), F.col("n_fields").cast("int").alias("n_fields"),
+        "reject_reason")

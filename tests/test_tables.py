@@ -196,3 +196,27 @@ def test_retention_drops_old_rows(spark, tmp_path):
     kept = spark.read.parquet(str(tmp_path / "kept"))
     assert sorted(r.id for r in kept.collect()) == list(range(9, 100))
     assert kept.select("log_day").distinct().count() == 91
+
+
+def test_csv_lines_keep_columns_in_place(spark):
+    names = gold.GOLD_COLUMNS["sop"]
+    full = ",".join(f'"v{i}"' for i in range(len(names)))
+    lines = [
+        (1, full), (2, full.replace('"v1"', '"a, ""b"" c"').replace('"v2"', "")), (3, full + ",x"),
+        (4, "a,b"), (5, full + ',"open'), (6, ",".join(names)), (7, "   "), (8, None), (9, ""),
+        (10, full.replace('"v3"', '"two, commas, in quotes"')), (10, full), (11, "x" * 50_000)]
+    df = spark.createDataFrame([(i, t, "old") for i, t in lines], "id int, line string, sop_id string")
+    parsed = gold.parse_lines(df, "sop")
+    rows = {(r.id, r.line): r for r in parsed.collect()}
+    assert len(rows) == len(lines)
+    reasons = {i: r.reject_reason for (i, _), r in rows.items()}
+    assert reasons == {1: None, 2: None, 3: "TOO_MANY_FIELDS", 4: "TOO_FEW_FIELDS", 5: "OPEN_QUOTE",
+                       6: "HEADER_LINE", 7: "BLANK_LINE", 8: "BLANK_LINE", 9: "BLANK_LINE", 10: None,
+                       11: "TOO_FEW_FIELDS"}
+    by_id = {i: r for (i, _), r in rows.items()}
+    assert by_id[2].document_title == 'a, "b" c' and by_id[2].document_type is None
+    assert all(by_id[3][n] is None for n in names) and by_id[3].n_fields == len(names) + 1
+    assert by_id[1].sop_id == "v0" and by_id[7].n_fields is None
+    assert gold.good_rows(parsed, "sop").columns == names
+    assert gold.good_rows(parsed, "sop").count() == 4 and gold.rejected_lines(parsed).count() == 8
+    assert gold.parse_lines(df.limit(0), "sop").collect() == []
