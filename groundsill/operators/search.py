@@ -1,14 +1,20 @@
-"""Exact top-k cosine search of a table of queries against a table of vectors.
+"""Exact top-k cosine search of a table of queries against a table of vectors, pruned by bounds.
 
-The comparison work is the product of both sides; what moves is not. Vectors are dealt out by their
-id, once. Every partition of vectors then sees the queries stream past, scores them in blocks by a
-matrix product and keeps at most k hits per query, so what goes on is (partitions x queries x k)
-small rows and never a pair list. There is one plan for every size, and building it runs nothing.
+Vectors are dealt to cells around pivots, and a cell remembers how near and how far from its pivot they
+lie. Angles between unit vectors are a metric, so the angle from a query to a cell's pivot bounds the score
+of everything in the cell. A query first visits the cells nearest to it that hold k vectors; their k-th
+score is a floor. Then it visits those of the other cells whose bound reaches the floor, and no others;
+within a task a rising floor leaves out cells once more. Nothing is approximate: where vectors have no
+structure all cells are visited.
+
+Neighbouring cells share a part, large cells are cut over several, so that parts hold equally many vectors
+whatever the data, and a query travels once to each part it needs, with the list of its cells there.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -16,49 +22,87 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from groundsill.session import ship_with_tasks
+from groundsill.session import materialize, ship_with_tasks
 
 ship_with_tasks(__name__)
 
 # Matrix products may round differently from a plain sum by a few units in the last place;
 # anything this close to the cut is scored again exactly.
 _SLACK = 1e-9
+# An angle is told from its cosine with an error of up to the root of the cosine's.
+_ANGLE_SLACK = 1e-6
 _QUERY_BLOCK = 256
+_HELD_PAIRS = 1 << 18
+MAX_CELLS = 1024
+MAX_PIVOT_BYTES = 32 << 20
+"""What a task and the driver hold of the pivots; wider vectors get fewer of them."""
+
+
+@dataclass(frozen=True)
+class Cells:
+    """Pivots as rows, the least and largest angle and the number of vectors of each cell, and the
+    first and last part its vectors are in."""
+
+    pivots: np.ndarray
+    near: np.ndarray
+    far: np.ndarray
+    count: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+
+    def bounds(self, queries: np.ndarray) -> np.ndarray:
+        """Per query and cell a score that nothing in the cell exceeds; no number for a query that
+        has none."""
+        angle = _angles(queries, self.pivots)
+        closest = np.maximum(np.maximum(angle - self.far, self.near - angle) - _ANGLE_SLACK, 0)
+        return np.where(self.count > 0, np.cos(np.minimum(closest, np.pi)) + _SLACK, -np.inf)
+
+
+def _angles(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    with np.errstate(invalid="ignore", over="ignore"):
+        return np.arccos(np.clip(vectors @ pivots.T, -1.0, 1.0))
+
+
+def _matrix(column: pd.Series, dimension: int) -> np.ndarray:
+    if len(column) == 0:
+        return np.zeros((0, dimension))
+    return np.stack(column.to_list()).astype(np.float64, copy=False)
 
 
 class _Best:
-    """The k best vectors seen so far for each query of a block, by (score desc, id asc)."""
-
-    def __init__(self, ids: list[str], vectors: np.ndarray, k: np.ndarray):
-        self.ids = np.asarray(ids, dtype=object)
-        self.vectors = vectors
-        self.k = k.astype(np.int64)
-        self.cut = np.full(len(ids), -np.inf)
-        self.rows = pd.DataFrame(
-            {"q": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64"),
-             "item": pd.Series(dtype="object")}
-        )
-
-    def add(self, items: np.ndarray, tile: np.ndarray) -> None:
-        if len(items) == 0:
-            return
-        for start in range(0, len(self.ids), _QUERY_BLOCK):
-            self._add_block(slice(start, start + _QUERY_BLOCK), items, tile)
+    """The k best vectors seen so far for each query, by (score desc, id asc).
 
-    def _add_block(self, block: slice, items: np.ndarray, tile: np.ndarray) -> None:
+    ``floor`` is a score that the k-th best of all vectors is known to reach.
+    """
+
+    def __init__(self, vectors: np.ndarray, k: np.ndarray, floor: np.ndarray):
+        self.vectors, self.k = vectors, k.astype(np.int64)
+        self.cut = floor.copy()
+        self.kept = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))]
+        self.pairs = self.held = 0
+
+    def add(self, only: np.ndarray, items: np.ndarray, tile: np.ndarray) -> None:
+        """Vectors of a tile, numbered ``items`` in the order of their ids, for some queries."""
+        for start in range(0, len(only), _QUERY_BLOCK):
+            self._add_block(only[start : start + _QUERY_BLOCK], items, tile)
+            if self.held > _HELD_PAIRS:
+                self._settle()
+
+    def _add_block(self, block: np.ndarray, items: np.ndarray, tile: np.ndarray) -> None:
         queries, k = self.vectors[block], self.k[block]
+        self.pairs += len(block) * len(items)
         with np.errstate(invalid="ignore", over="ignore"):
             approx = tile @ queries.T
         # A score that is no number is no hit and must not raise the cut.
         approx[~np.isfinite(approx)] = -np.inf
-        cut = self.cut[block].copy()
+        cut, width = self.cut[block], len(items)
         # The k-th best of this tile alone is a valid lower bound for the k-th best overall.
-        width = len(items)
         for size in np.unique(k):
             if 0 < size <= width:
                 same = np.flatnonzero(k == size)
                 kth = np.partition(approx[:, same], width - size, axis=0)[width - size]
                 cut[same] = np.maximum(cut[same], kth)
+        self.cut[block] = cut
         rows, cols = np.nonzero((approx >= cut - _SLACK) & (approx > -np.inf) & (k > 0))
         if len(rows) == 0:
             return
@@ -66,87 +110,255 @@ class _Best:
         for d in range(tile.shape[1]):
             # Same order and rounding as a plain sum over the array's elements.
             exact += tile[rows, d] * queries[cols, d]
-        found = pd.DataFrame({"q": cols + block.start, "score": exact, "item": items[rows]})
-        low, high = block.start, block.start + len(queries)
-        inside = (self.rows["q"] >= low) & (self.rows["q"] < high)
-        merged = pd.concat([self.rows[inside], found], ignore_index=True).sort_values(
-            ["q", "score", "item"], ascending=[True, False, True], kind="stable"
-        )
-        place = merged.groupby("q", sort=False).cumcount().to_numpy()
-        query = merged["q"].to_numpy()
-        merged = merged[place < self.k[query]]
-        self.rows = pd.concat([self.rows[~inside], merged], ignore_index=True)
-        last = merged.groupby("q")["score"].agg(["size", "min"])
-        full = last[last["size"].to_numpy() >= self.k[last.index.to_numpy()]]
-        self.cut[full.index.to_numpy()] = full["min"].to_numpy()
-
-    def frame(self, slot: int) -> pd.DataFrame:
-        query = self.rows["q"].to_numpy(dtype=np.int64)
-        return pd.DataFrame({
-            "query_id": self.ids[query], "item_id": self.rows["item"].to_numpy(),
-            "score": self.rows["score"].to_numpy(), "k": self.k[query].astype("int32"),
-            "slot": np.full(len(query), slot, "int32"),
-        })
+        self.kept.append((block[cols], exact, items[rows]))
+        self.held += len(rows)
 
+    def _settle(self) -> None:
+        query, score, item = (np.concatenate(c) for c in zip(*self.kept, strict=True))
+        order = np.lexsort((item, -score, query))
+        query, score, item = query[order], score[order], item[order]
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        last = place == self.k[query] - 1
+        self.cut[query[last]] = np.maximum(self.cut[query[last]], score[last])
+        among = place < self.k[query]
+        self.kept, self.held = [(query[among], score[among], item[among])], 0
 
-def _matrix(column: pd.Series, dimension: int) -> np.ndarray:
-    if len(column) == 0:
-        return np.zeros((0, dimension))
-    return np.stack(column.to_list()).astype(np.float64, copy=False)
+    def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        self._settle()
+        return self.kept[0]
 
 
 _HITS = "query_id string, item_id string, score double, k int, slot int"
+_DEALT = "id string, vec array<double>, cell int, angle double"
+_SENT = "part int, id string, vec array<double>, k int, floor double, cells array<int>, pairs bigint"
 
 
-def knn_topk(queries: DataFrame, vectors: DataFrame, dimension: int, *,
-             query_id: str = "request_id", query_vector: str = "query_vector",
-             k: str = "candidate_k", item_id: str = "chunk_id",
-             item_vector: str = "unit_vector", partitions: int | None = None) -> DataFrame:
-    """The ``k`` best items per query by similarity descending, then item id ascending.
+@dataclass(frozen=True)
+class Search:
+    """``hits`` and what they took: ``visits`` has ``query_id`` and ``pairs``, the number of vectors
+    in the cells that the query was sent to, in one row per journey; ``vectors`` is their number."""
 
-    Both sides must hold unit vectors of ``dimension`` and unique ids; ``k`` is a column, so
-    every query asks for its own number. Returns query id, ``rank`` from 0, item id and
-    ``similarity``. ``partitions`` (by default ``spark.sql.shuffle.partitions``) is to be set so
-    that a partition's vectors fit into a task; queries only pass through. A vector with a
-    component that is no finite number is no hit.
+    hits: DataFrame
+    visits: DataFrame
+    vectors: int
+
+    def share(self) -> float:
+        """Of all pairs of a query and a vector, those that were sent to be scored."""
+        found = self.visits.agg(
+            F.sum("pairs").alias("pairs"), F.count_distinct("query_id").alias("queries")).first()
+        return (found.pairs or 0) / max((found.queries or 0) * self.vectors, 1)
+
+
+def _deal(vectors: DataFrame, pivots: np.ndarray, dimension: int) -> DataFrame:
+    def nearest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            angle = _angles(_matrix(frame["vec"], dimension), pivots)
+            usable = np.isfinite(angle).all(axis=1)
+            angle = angle[usable]
+            cell = angle.argmin(axis=1) if len(angle) else np.zeros(0, np.int64)
+            yield frame[usable].assign(
+                cell=cell.astype("int32"), angle=angle[np.arange(len(angle)), cell])
+
+    return vectors.mapInPandas(nearest, _DEALT)
+
+
+def _chain(pivots: np.ndarray) -> list[int]:
+    """The cells in an order in which neighbours follow each other: always to the nearest one left."""
+    left, order = set(range(len(pivots))), []
+    at = 0
+    while left:
+        left.discard(at)
+        order.append(at)
+        if left:
+            rest = np.fromiter(left, np.int64)
+            at = int(rest[(pivots[rest] @ pivots[at]).argmax()])
+    return order
+
+
+def _layout(pivots: np.ndarray, stats: list, parts: int) -> Cells:
+    """Cells laid end to end along the chain and cut into parts of equally many vectors."""
+    n = len(pivots)
+    near, far, count = np.zeros(n), np.zeros(n), np.zeros(n, np.int64)
+    for row in stats:
+        near[row.cell], far[row.cell], count[row.cell] = row.near, row.far, row.n
+    each = max(-(-int(count.sum()) // parts), 1)
+    first, last, so_far = np.zeros(n, np.int64), np.zeros(n, np.int64), 0
+    for cell in _chain(pivots):
+        first[cell] = min(so_far // each, parts - 1)
+        so_far += int(count[cell])
+        last[cell] = max(min((so_far - 1) // each, parts - 1), first[cell])
+    return Cells(pivots, near, far, count, first, last)
+
+
+def _send(queries: DataFrame, cells: Cells, dimension: int, seeds: bool) -> DataFrame:
+    """Queries to the parts of the cells they are to visit.
+
+    ``seeds``: the cells of highest bound, nearest pivot first among equal ones, that hold k vectors
+    together; otherwise all other cells that can reach the floor.
     """
-    spark = vectors.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    v = vectors.select(
-        F.pmod(F.xxhash64(F.col(item_id).cast("string")), F.lit(parts)).cast("int").alias("part"),
-        F.lit(0).alias("asks"), F.col(item_id).cast("string").alias("id"),
-        F.col(item_vector).cast("array<double>").alias("vec"), F.lit(0).alias("k"),
-    )
-    q = queries.select(
-        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(1).alias("asks"),
-        F.col(query_id).cast("string").alias("id"),
-        F.col(query_vector).cast("array<double>").alias("vec"), F.col(k).cast("int").alias("k"),
-    )
+    columns = [c.split()[0] for c in _SENT.split(", ")]
+
+    def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            vectors, k = _matrix(frame["vec"], dimension), frame["k"].to_numpy()
+            bound, angle = cells.bounds(vectors), _angles(vectors, cells.pivots)
+            usable = np.isfinite(angle).all(axis=1) & (k > 0)
+            order = np.lexsort((angle, -bound), axis=1)
+            place = np.arange(len(frame))[:, None]
+            held = np.cumsum(cells.count[order], axis=1)
+            early = np.zeros(bound.shape, bool)
+            early[place, order] = held - cells.count[order] < k[:, None]
+            wanted = early if seeds else ~early & (bound >= frame["floor"].to_numpy()[:, None])
+            wanted &= usable[:, None] & (cells.count > 0)
+            q, cell = np.nonzero(wanted)
+            if not len(q):
+                continue
+            # One row per part of each cell, gathered to one row per part and query.
+            span = cells.last[cell] - cells.first[cell] + 1
+            row = np.repeat(np.arange(len(q)), span)
+            step = np.arange(len(row)) - np.repeat(np.cumsum(span) - span, span)
+            q, cell, part = q[row], cell[row], cells.first[cell[row]] + step
+            pairs = np.where(step == 0, cells.count[cell], 0)
+            order = np.lexsort((cell, q, part))
+            q, cell, part, pairs = q[order], cell[order], part[order], pairs[order]
+            edge = np.flatnonzero((np.diff(part) != 0) | (np.diff(q) != 0)) + 1
+            start = np.concatenate([[0], edge])
+            yield frame.iloc[q[start]].assign(
+                part=part[start].astype("int32"), cells=np.split(cell.astype("int32"), edge),
+                pairs=np.add.reduceat(pairs, start))[columns]
+
+    return queries.mapInPandas(choose, _SENT)
+
+
+def _meet(dealt: DataFrame, sent: DataFrame, cells: Cells, parts: int, dimension: int) -> DataFrame:
+    """Hits of each query in each part it was sent to."""
+    spans = [[c, int(a), int(b - a + 1)] for c, (a, b) in enumerate(
+        zip(cells.first, cells.last, strict=True))]
+    spark = dealt.sparkSession
+    where = spark.createDataFrame(spans, "cell int, first int, parts int")
+    v = dealt.join(F.broadcast(where), "cell").select(
+        (F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts"))).cast("int").alias("part"),
+        F.lit(0).alias("asks"), "id", "vec", F.lit(0).alias("k"), F.lit(0.0).alias("floor"),
+        F.array("cell").alias("cells"))
+    q = sent.select("part", F.lit(1).alias("asks"), "id", "vec", "k", "floor", "cells")
     slots = max(1, int(parts**0.5))
 
-    def meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, tiles = None, []
+    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, held, tiles, names = None, [], {}, None
         for frame in frames:
             for (at, asks), rows in frame.groupby(["part", "asks"], sort=False):
                 if at != part:
-                    part, tiles = at, []
+                    part, held, tiles, names = at, [], {}, None
                 if not asks:
-                    tiles.append((rows["id"].to_numpy(), _matrix(rows["vec"], dimension)))
+                    held.append((rows["id"].to_numpy(), _matrix(rows["vec"], dimension),
+                                 np.array([c[0] for c in rows["cells"]])))
                     continue
-                best = _Best(rows["id"].to_list(), _matrix(rows["vec"], dimension),
-                             rows["k"].to_numpy())
-                for items, tile in tiles:
-                    best.add(items, tile)
-                yield best.frame(int(at) % slots)
-
-    hits = (
-        v.unionByName(q).repartition(parts, "part").sortWithinPartitions("part", "asks")
-        .mapInPandas(meet, _HITS)
-    )
-    return _merge(hits).select(
+                if names is None and held:
+                    names, tiles = _tiles(held)
+                    held = []
+                if not tiles:
+                    continue
+                yield _answers(rows, tiles, names, cells, dimension, int(at) % slots)
+
+    return (
+        v.unionByName(q).repartitionById(parts, "part").sortWithinPartitions("part", "asks")
+        .mapInPandas(score, _HITS))
+
+
+def _tiles(held: list) -> tuple[np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """The ids of a part in order, and per cell its vectors with the places of their ids."""
+    ids = np.concatenate([h[0] for h in held]).astype(object)
+    vectors = np.concatenate([h[1] for h in held])
+    cell = np.concatenate([h[2] for h in held])
+    order = sorted(range(len(ids)), key=ids.__getitem__)
+    names, vectors, cell = ids[order], vectors[order], cell[order]
+    return names, {int(c): (np.flatnonzero(cell == c), vectors[cell == c]) for c in np.unique(cell)}
+
+
+def _answers(rows: pd.DataFrame, tiles: dict, names: np.ndarray, cells: Cells, dimension: int,
+             slot: int) -> pd.DataFrame:
+    vectors, k = _matrix(rows["vec"], dimension), rows["k"].to_numpy()
+    best = _Best(vectors, k, rows["floor"].to_numpy())
+    bound = cells.bounds(vectors)
+    wanted = np.zeros(bound.shape, bool)
+    for q, chosen in enumerate(rows["cells"]):
+        wanted[q, np.asarray(chosen)] = True
+    # Cells of high bounds first, so that the cut rises early.
+    here = sorted(tiles, key=lambda c: -np.where(wanted[:, c], bound[:, c], 0).sum())
+    for cell in here:
+        only = np.flatnonzero(wanted[:, cell] & (bound[:, cell] >= best.cut - _SLACK))
+        if len(only):
+            best.add(only, *tiles[cell])
+    query, score, item = best.result()
+    return pd.DataFrame({
+        "query_id": rows["id"].to_numpy()[query], "item_id": names[item], "score": score,
+        "k": k[query].astype("int32"), "slot": np.full(len(query), slot, "int32")})
+
+
+def search(queries: DataFrame, vectors: DataFrame, dimension: int, *,
+           query_id: str = "request_id", query_vector: str = "query_vector",
+           k: str = "candidate_k", item_id: str = "chunk_id",
+           item_vector: str = "unit_vector", partitions: int | None = None,
+           cells: int | None = None) -> Search:
+    """The ``k`` best items per query by similarity descending, then item id ascending.
+
+    Both sides must hold unit vectors of ``dimension`` and unique ids; ``k`` is a column, so
+    every query asks for its own number. Hits have query id, ``rank`` from 0, item id and
+    ``similarity``. ``partitions`` (by default ``spark.sql.shuffle.partitions``) is to be set so
+    that a partition's vectors fit into a task; queries only pass through. ``cells`` is the number of
+    pivots, vectors that a hash of their ids puts first: at most ``MAX_CELLS``, and no more than fit
+    ``MAX_PIVOT_BYTES``; by default four a partition, 16 at least. A vector with a component that is no
+    finite number is no hit; a query that has one, or has no vector, gets none.
+
+    Sampling the pivots and summing up the cells are jobs of their own, run at once, as is the first
+    round of visits.
+    """
+    spark = vectors.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    v = vectors.select(
+        F.col(item_id).cast("string").alias("id"), F.col(item_vector).cast("array<double>").alias("vec"))
+    q = queries.where(F.col(query_vector).isNotNull()).select(
+        F.col(query_id).cast("string").alias("id"),
+        F.col(query_vector).cast("array<double>").alias("vec"), F.col(k).cast("int").alias("k"))
+    most = min(cells or max(4 * parts, 16), MAX_CELLS, max(MAX_PIVOT_BYTES // (8 * dimension), 1))
+    finite = ~F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    sample = v.where(finite).orderBy(F.xxhash64("id"), "id").limit(most).toPandas()
+    if sample.empty:
+        none = q.select("id").limit(0)
+        return Search(
+            none.select(F.col("id").alias(query_id), F.lit(0).alias("rank"), F.col("id").alias(item_id),
+                        F.lit(0.0).alias("similarity")),
+            none.select(F.col("id").alias("query_id"), F.lit(0).cast("bigint").alias("pairs")), 0)
+    pivots = np.unique(_matrix(sample["vec"], dimension), axis=0)
+    dealt = materialize(_deal(v, pivots, dimension))
+    stats = dealt.groupBy("cell").agg(
+        F.count("*").alias("n"), F.min("angle").alias("near"), F.max("angle").alias("far")).collect()
+    laid = _layout(pivots, stats, parts)
+    dealt = dealt.drop("angle")
+
+    # Written once: the queries with their vectors are sent out two times.
+    q = materialize(q)
+    no_floor = F.lit(float("-inf"))
+    seeds = _send(q.withColumn("floor", no_floor), laid, dimension, seeds=True)
+    # Written once: their k-th score is the floor of the second round, and they are hits themselves.
+    early = materialize(_merge(_meet(dealt, seeds, laid, parts, dimension)))
+    floors = early.groupBy("query_id").agg(
+        F.when(F.count("*") >= F.max("k"), F.min("score")).alias("floor"))
+    again = q.join(floors, q["id"] == floors["query_id"], "left").select(
+        "id", "vec", "k", F.coalesce("floor", no_floor).alias("floor"))
+    sent = _send(again, laid, dimension, seeds=False)
+    late = _meet(dealt, sent, laid, parts, dimension)
+    hits = _merge(early.select("query_id", "item_id", "score", "k", F.lit(0).alias("slot"))
+                  .unionByName(late)).select(
         F.col("query_id").alias(query_id), "rank", F.col("item_id").alias(item_id),
-        F.col("score").alias("similarity"),
-    )
+        F.col("score").alias("similarity"))
+    visits = seeds.unionByName(sent).select(F.col("id").alias("query_id"), "pairs")
+    return Search(hits, visits, int(laid.count.sum()))
+
+
+def knn_topk(queries: DataFrame, vectors: DataFrame, dimension: int, **columns) -> DataFrame:
+    """The hits of ``search``."""
+    return search(queries, vectors, dimension, **columns).hits
 
 
 def _merge(hits: DataFrame) -> DataFrame:

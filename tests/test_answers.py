@@ -88,13 +88,60 @@ def test_vector_that_is_no_number_hides_no_hit(spark):
         None, None, [0.6, 0.8]]
 
 
-def test_building_a_search_starts_no_job(spark):
-    tracker = spark.sparkContext.statusTracker()
-    before = set(tracker.getJobIdsForGroup(None))
-    asked = vectors(spark, np.eye(4), "q").toDF("request_id", "query_vector").withColumn(
-        "candidate_k", F.lit(2))
-    search.knn_topk(asked, vectors(spark, np.eye(4)), 4)
-    assert set(tracker.getJobIdsForGroup(None)) == before
+def clustered(rng, groups, each, dimension, spread=0.05):
+    centres = unit(rng.normal(size=(groups, dimension)))
+    return unit(np.repeat(centres, each, axis=0) + spread * rng.normal(size=(groups * each, dimension)))
+
+
+@pytest.mark.parametrize("cells", [1, 7, 64])
+def test_pruned_search_equals_brute_force_on_clusters(spark, cells):
+    rng = np.random.default_rng(4)
+    matrix = clustered(rng, 20, 30, 12)
+    queries = np.vstack([matrix[::60] + 0.01, unit(rng.normal(size=(6, 12)))])
+    queries = unit(queries)
+    ks = [1 + 11 * (i % 5) for i in range(len(queries))]
+    assert run_search(spark, queries, ks, matrix, cells=cells, partitions=6) == brute_force(
+        queries, ks, matrix)
+
+
+def test_bounds_leave_out_most_pairs_of_clustered_vectors(spark):
+    rng = np.random.default_rng(5)
+    matrix = clustered(rng, 60, 50, 16)
+    asked = vectors(spark, matrix[::37], "q").toDF("request_id", "query_vector").withColumn(
+        "candidate_k", F.lit(10))
+    found = search.search(asked, vectors(spark, matrix), 16, partitions=8, cells=128)
+    assert found.vectors == len(matrix) and found.share() < 0.15
+    rough = unit(rng.normal(size=(800, 16)))
+    asked = vectors(spark, rough[::37], "q").toDF("request_id", "query_vector").withColumn(
+        "candidate_k", F.lit(10))
+    assert search.search(asked, vectors(spark, rough), 16, partitions=8).share() <= 1
+
+
+def test_no_bound_is_below_a_score():
+    rng = np.random.default_rng(6)
+    matrix, pivots = unit(rng.normal(size=(400, 6))), unit(rng.normal(size=(9, 6)))
+    angle = search._angles(matrix, pivots)
+    cell = angle.argmin(axis=1)
+    stats = [type("Row", (), {"cell": c, "n": int((cell == c).sum()), "near": angle[cell == c, c].min(),
+                              "far": angle[cell == c, c].max()}) for c in np.unique(cell)]
+    laid = search._layout(pivots, stats, 4)
+    queries = np.vstack([unit(rng.normal(size=(50, 6))), pivots, matrix[:50]])
+    bounds = laid.bounds(queries)
+    scores = queries @ matrix.T
+    for c in np.unique(cell):
+        assert (scores[:, cell == c] <= bounds[:, [c]]).all()
+    assert laid.count.sum() == 400 and (laid.first <= laid.last).all() and laid.last.max() < 4
+
+
+def test_search_without_vectors_or_queries(spark):
+    matrix = unit(np.random.default_rng(7).normal(size=(5, 3)))
+    assert run_search(spark, matrix[:2], [1, 1], matrix[:0].reshape(0, 3)) == {}
+    asked = spark.createDataFrame(
+        [("a", None, 2), ("b", [0.0, float("nan"), 1.0], 2), ("c", [1.0, 0.0, 0.0], 2)],
+        "request_id string, query_vector array<double>, candidate_k int")
+    hits = search.knn_topk(asked, vectors(spark, matrix), 3)
+    assert {r.request_id for r in hits.collect()} == {"c"}
+    assert search.knn_topk(asked.limit(0), vectors(spark, matrix), 3).collect() == []
 
 
 def test_fewer_vectors_than_k_and_k_zero(spark):
