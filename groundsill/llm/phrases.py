@@ -269,7 +269,8 @@ def collocations(documents: DataFrame, how: Phrases = Phrases(), text_col: str =
     first. Products are decimals of 38 digits. Ranks go by score, count and the phrase's bytes.
     """
     known = phrase_counts(documents, how, text_col, lang_col)
-    total = known.where(F.size("words") == 0).select("lang", F.col("f").alias("n"))
+    # Stored, so that Spark knows how few languages there are and moves them instead of the phrases.
+    total = materialize(known.where(F.size("words") == 0).select("lang", F.col("f").alias("n")))
     found = known.where(F.size("words") > 1).select("lang", "words", "phrase", F.col("f").alias("a"))
     sides = known.where(F.size("words") > 0).select("lang", "phrase", "f")
     cuts = found.select(
