@@ -46,7 +46,7 @@ def sanitize(text: Column) -> Column:
 def is_noise(text: Column, min_chars: int = 200, min_letter_share: float = 0.10,
              repeat: int = 30) -> Column:
     """Empty, or long with hardly any letters, or one character repeated past ``repeat``."""
-    letters = F.length(F.regexp_replace(text, r"[^\p{L}]", ""))
+    letters = F.length(F.regexp_replace(text, r"[^\p{L}]+", ""))
     mostly_symbols = (F.length(text) >= min_chars) & (
         letters / F.greatest(F.length(text), F.lit(1)) < min_letter_share
     )
@@ -65,7 +65,8 @@ def has_injection(text: Column) -> Column:
 
 def tokens_chars4(text: Column) -> Column:
     """Characters after collapsing white space, divided by four, cut to an integer."""
-    collapsed = F.regexp_replace(text, r"\s+", " ")
+    # A single blank of any kind counts one either way, so only longer runs are replaced.
+    collapsed = F.regexp_replace(text, r"\s\s+", " ")
     return (F.length(collapsed) / fixed.CHARS_PER_TOKEN).cast("int")
 
 
@@ -142,7 +143,9 @@ def overlaps(left: Column, right: Column, left_key: Column, right_key: Column,
 def is_placeholder(text: Column) -> Column:
     """Missing, blank, or nothing but a placeholder word."""
     bare = F.trim(text)
-    return text.isNull() | (bare == "") | F.lower(bare).rlike(
+    # Lengths first, so that only short texts are matched. Lower-casing may change them a little.
+    longest = 2 * max(map(len, fixed.PLACEHOLDERS))
+    return text.isNull() | (bare == "") | (F.length(bare) <= longest) & F.lower(bare).rlike(
         f"^(?:{any_of(fixed.PLACEHOLDERS)})$"
     )
 

@@ -10,6 +10,7 @@ from groundsill import fixed
 from groundsill.functions import vectors as vx
 from groundsill.operators.numbering import dense_numbers
 from groundsill.policy import EmbeddingPin
+from groundsill.session import materialize
 
 
 def eligible_chunks(chunks: DataFrame) -> DataFrame:
@@ -175,12 +176,15 @@ def export_index(rows: DataFrame) -> DataFrame:
 
     ``vector_id`` runs 0..n-1 by chunk id. Only narrow keys are numbered; vectors and texts join
     their number. Rows whose vector cannot be searched are in ``rejected_vectors``.
+
+    Rows are written once before they are numbered, as keys are read for the ranges, for the numbers
+    and for the join: ``rows`` is usually a join of three tables.
     """
-    unit = rows.select(
+    unit = materialize(rows.select(
         "chunk_id", vx.normalize(F.col("embedding_vector")).alias("unit_vector"),
         "knowledge_id", "knowledge_type", "event_date", "equipment_id", "line_id",
         "source_reference", "chunk_text",
-    ).where(F.col("unit_vector").isNotNull())
+    ).where(F.col("unit_vector").isNotNull()))
     numbers = dense_numbers(unit.select("chunk_id"), "chunk_id", "vector_id")
     return unit.join(numbers, "chunk_id")
 

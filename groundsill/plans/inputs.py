@@ -431,15 +431,9 @@ def needed(name: str, queries: dict[str, str]) -> list[str]:
     return [n for n in names if n in wanted]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a table out over all cores if its files give fewer splits than there are cores, as one
-    row group does; a table with more splits stays where it is read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    """A table as its files are split; how fine is the session's setting."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -117,7 +117,8 @@ class Stages:
 
     @cached_property
     def export(self) -> DataFrame:
-        return index.export_index(self.index_input)
+        # Written once: search, metadata, probes and publishing read columns of their own from it.
+        return materialize(index.export_index(self.index_input))
 
     @cached_property
     def validated(self) -> DataFrame:
