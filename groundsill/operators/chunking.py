@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -51,8 +52,8 @@ def eligibility_summary(knowledge: DataFrame) -> DataFrame:
     )
 
 
-def to_chunks(pieces: DataFrame, created_at: Column) -> DataFrame:
-    """Bring rows with ``chunk_index`` and ``chunk_text`` to the chunk contract."""
+def to_chunks(pieces: DataFrame, created_at: Column, also: Sequence[str] = ()) -> DataFrame:
+    """Bring rows with ``chunk_index`` and ``chunk_text`` to the chunk contract, and keep ``also``."""
     return pieces.select(
         chunk_key(F.col("knowledge_id"), F.col("chunk_index"), F.col("chunk_text")).alias(
             "knowledge_chunk_id"
@@ -64,7 +65,7 @@ def to_chunks(pieces: DataFrame, created_at: Column) -> DataFrame:
         "chunk_text",
         tx.tokens_chars4(F.col("chunk_text")).alias("chunk_token_count"),
         "business_domain", "equipment_id", "line_id", "event_date", "source_reference",
-        created_at.cast("timestamp").alias("created_at"),
+        created_at.cast("timestamp").alias("created_at"), *also,
     )
 
 
@@ -75,17 +76,19 @@ def _of_types(knowledge: DataFrame, types: list[str] | None) -> DataFrame:
 
 
 def single_chunks(knowledge: DataFrame, created_at: Column,
-                  types: list[str] | None = fixed.SINGLE_CHUNK_TYPES) -> DataFrame:
+                  types: list[str] | None = fixed.SINGLE_CHUNK_TYPES,
+                  also: Sequence[str] = ()) -> DataFrame:
     """One row, one chunk."""
     rows = _of_types(knowledge, types)
     return to_chunks(
         rows.withColumn("chunk_index", F.lit(0)).withColumnRenamed("content_text", "chunk_text"),
-        created_at,
+        created_at, also,
     )
 
 
 def section_chunks(knowledge: DataFrame, created_at: Column,
-                   types: list[str] | None = fixed.SECTION_TYPES) -> DataFrame:
+                   types: list[str] | None = fixed.SECTION_TYPES,
+                   also: Sequence[str] = ()) -> DataFrame:
     """Cut at headings that start a line. The heading is consumed; blank sections are dropped
     but keep their ordinal."""
     rows = _of_types(knowledge, types)
@@ -94,7 +97,7 @@ def section_chunks(knowledge: DataFrame, created_at: Column,
         F.posexplode(F.split("content_text", SECTION_PATTERN)).alias("chunk_index", "piece"),
     )
     trimmed = cut.withColumn("chunk_text", F.trim("piece")).where(F.col("chunk_text") != "")
-    return to_chunks(trimmed.drop("piece"), created_at)
+    return to_chunks(trimmed.drop("piece"), created_at, also)
 
 
 def pack_sections(text: Column, max_chars: int = fixed.PACK_CHARS) -> Column:
@@ -130,7 +133,7 @@ def pack_sections(text: Column, max_chars: int = fixed.PACK_CHARS) -> Column:
 
 
 def packed_chunks(knowledge: DataFrame, created_at: Column, types: list[str] | None = None,
-                  max_chars: int = fixed.PACK_CHARS) -> DataFrame:
+                  max_chars: int = fixed.PACK_CHARS, also: Sequence[str] = ()) -> DataFrame:
     """Size-bounded pieces, numbered from 0 within each row."""
     rows = _of_types(knowledge, types)
     pieces = rows.select(
@@ -139,7 +142,7 @@ def packed_chunks(knowledge: DataFrame, created_at: Column, types: list[str] | N
             "chunk_index", "chunk_text"
         ),
     )
-    return to_chunks(pieces, created_at)
+    return to_chunks(pieces, created_at, also)
 
 
 def resplit_chunks(knowledge: DataFrame, created_at: Column, max_tokens: int,
@@ -169,15 +172,15 @@ def resplit_chunks(knowledge: DataFrame, created_at: Column, max_tokens: int,
     return to_chunks(pieces, created_at)
 
 
-def all_chunks(knowledge: DataFrame, created_at: Column) -> DataFrame:
-    """Every approved row, cut the way its type asks for."""
+def all_chunks(knowledge: DataFrame, created_at: Column, also: Sequence[str] = ()) -> DataFrame:
+    """Every approved row, cut the way its type asks for; its columns ``also`` are kept."""
     rows = approved(knowledge)
     parts = [
-        single_chunks(rows, created_at),
-        section_chunks(rows, created_at, ["maintenance"]),
-        packed_chunks(rows, created_at, ["sop"]),
+        single_chunks(rows, created_at, also=also),
+        section_chunks(rows, created_at, ["maintenance"], also=also),
+        packed_chunks(rows, created_at, ["sop"], also=also),
     ]
-    return reduce(DataFrame.unionByName, parts).select(*CHUNK.fieldNames())
+    return reduce(DataFrame.unionByName, parts).select(*CHUNK.fieldNames(), *also)
 
 
 def chunk_checks(chunks: DataFrame) -> DataFrame:
