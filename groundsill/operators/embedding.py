@@ -56,12 +56,13 @@ def batch_tracking(results: DataFrame) -> DataFrame:
     )
 
 
+NEWEST_FIRST = ["embedded_at", "embedding_model_version", "pipeline_run_id", "chunk_text_hash"]
+
+
 def merge_embeddings(current: DataFrame, changes: DataFrame) -> DataFrame:
     """New snapshot of the embedding table after a run."""
     return upsert(
-        current, changes, ["knowledge_chunk_id", "embedding_model_name"],
-        ["embedded_at", "embedding_model_version", "pipeline_run_id", "chunk_text_hash"],
-    )
+        current, changes, ["knowledge_chunk_id", "embedding_model_name"], NEWEST_FIRST)
 
 
 def embedding_checks(embeddings: DataFrame) -> DataFrame:

@@ -28,13 +28,15 @@ from groundsill.operators import (
     selection,
 )
 from groundsill.plans.stages import GATE, PIN, POLICY, RETRIEVAL, RUN_ID, Stages
-from groundsill.schemas import CHUNK, enforce
-from groundsill.sources import gold, index_store
+from groundsill.schemas import CHUNK, RETRIEVAL_REQUEST_LOG, enforce
+from groundsill.session import new_folder
+from groundsill.sources import gold, index_sink, index_store, ledger, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ON_STAGES: dict[str, Callable[[Stages], DataFrame]] = {}
 
+BUCKETS = 32
 RESPLIT_TOKENS = 300
 RETENTION_AS_OF = "2024-04-10"
 PROBES = 64
@@ -276,6 +278,17 @@ def embedding_upsert(s: Stages) -> DataFrame:
     )
 
 
+@register
+def embedding_upsert_buckets(s: Stages) -> DataFrame:
+    """The same merge into a stored table of which only the buckets with changes are rewritten."""
+    path = new_folder(s.spark)
+    keys = ["knowledge_chunk_id", "embedding_model_name"]
+    tables.create_bucketed(s.embeds, path, keys, BUCKETS)
+    tables.upsert_buckets(s.input("embed_changes"), path, keys, embedding.NEWEST_FIRST)
+    return tables.read_bucketed(s.spark, path).select(
+        *keys, "embedding_model_version", "status", "pipeline_run_id", "embedded_at", "embedding_vector")
+
+
 @register
 def embedding_checks(s: Stages) -> DataFrame:
     return embedding.embedding_checks(s.embeds)
@@ -341,6 +354,20 @@ def index_export(s: Stages) -> DataFrame:
     return s.export.drop("chunk_text")
 
 
+@register
+def index_publish(s: Stages) -> DataFrame:
+    """An export published through the sink, and read back with its manifest."""
+    root = new_folder(s.spark)
+    index_sink.publish(s.export, root, "chunks", PIN.model_version, PIN, RUN_ID, "2024-03-01T00:00:00Z")
+    manifest = index_store.read_manifests(s.spark, root).select(
+        "index_name", "index_version", "embedding_dim", "vector_count", "export_run_id")
+    loaded = index_sink.load_published(s.spark, root, "chunks", PIN.model_version)
+    named = loaded.select(
+        "vector_id", "chunk_id", "unit_vector", "knowledge_id", "knowledge_type", "source_reference",
+        F.lit("chunks").alias("index_name"), F.lit(PIN.model_version).alias("index_version"))
+    return named.join(F.broadcast(manifest), ["index_name", "index_version"])
+
+
 @register
 def index_manifest(s: Stages) -> DataFrame:
     manifest = index.build_manifest(
@@ -482,6 +509,19 @@ def retrieval_request_log(s: Stages) -> DataFrame:
     )
 
 
+@register
+def ledger_replay(s: Stages) -> DataFrame:
+    """A run added to a ledger two times, and another run after it: each is there once."""
+    path = new_folder(s.spark)
+    rows = ledgers.request_log(s.summary, s.run_ts, PIN.model_version, RETRIEVAL.min_similarity)
+    failed = rows.where("status = 'FAILED'")
+    for run, added in ((RUN_ID, rows), (RUN_ID, rows), ("run_9", failed)):
+        ledger.append_run(added, RETRIEVAL_REQUEST_LOG, path, run, ["request_id"])
+    return ledger.read_ledger(s.spark, RETRIEVAL_REQUEST_LOG, path).select(
+        "ledger_run", "request_id", "requested_at", "query_text_hash", "status", "results_returned",
+        "error_code")
+
+
 @register
 def retrieval_result_log(s: Stages) -> DataFrame:
     return ledgers.result_log(retrieval.top_results(s.judged), F.lit(PIN.model_version))

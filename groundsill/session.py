@@ -16,6 +16,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The ids a stream has seen grow with its table: on disk, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -53,6 +56,11 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A folder name in the shared folder that nothing else uses."""
+    return f"{shared_dir(spark).rstrip('/')}/groundsill/{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet into the shared folder and read it back from there.
 
@@ -61,6 +69,6 @@ def materialize(df: DataFrame) -> DataFrame:
     still prune columns and push filters down.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/groundsill/{uuid.uuid4().hex}"
+    path = new_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -10,7 +10,9 @@ from groundsill.operators import embedding, index, knowledge, ledgers, quarantin
 from groundsill.operators.numbering import dense_numbers
 from groundsill.policy import EmbeddingPin, RunLimits
 from groundsill.schemas import CHUNK, EMBEDDING, KNOWLEDGE, enforce
-from groundsill.sources import gold, index_store, tables
+from groundsill.operators.chunking import all_chunks
+from groundsill.sources import gold, index_sink, index_store, ledger, paths, tables
+from groundsill.streaming import ingest
 from groundsill.streaming.ingest import ingest_stream
 
 NOW = F.lit("2024-03-01 00:00:00").cast("timestamp")
@@ -168,25 +170,218 @@ def test_publish_is_immutable_and_checked(spark, tmp_path):
         "r1": None, "r2": "INDEX_NOT_FOUND"}
 
 
-def test_stream_can_be_replayed(spark, tmp_path):
+LOOSE = T.StructType([T.StructField(f.name, f.dataType) for f in KNOWLEDGE.fields])
+
+
+def incidents(first, n):
+    return [(f"k{i}", "incident", "operations", f"pump {i} failure, seal replaced", "r",
+             dt.date(2024, 1, 1), {"a": "b"}, None, None) for i in range(first, first + n)]
+
+
+@pytest.fixture
+def stream(spark, tmp_path):
+    """Feeds files to a source folder and runs a stream over it by the name of its checkpoint."""
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
-    rows = [(f"k{i}", "incident", "operations", f"pump {i} failure, seal replaced", "r",
-             dt.date(2024, 1, 1), {"a": "b"}, None, None) for i in range(20)]
-    spark.createDataFrame(rows, KNOWLEDGE).write.parquet(source)
-    tables.create_empty(spark, CHUNK, target)
-
-    def run(name):
-        ingest_stream(spark, source, target, str(tmp_path / name), NOW).awaitTermination()
-        return spark.read.parquet(target).count()
-
-    assert run("a") == 20
-    assert run("a") == 20
-    assert run("b") == 20
-    more = [("k99", *rows[0][1:3], "another pump leak repaired", *rows[0][4:])]
-    loose = T.StructType([T.StructField(f.name, f.dataType) for f in KNOWLEDGE.fields])
-    spark.createDataFrame(more + [(None, *rows[0][1:])], loose).write.mode("append").parquet(source)
-    assert run("a") == 21
+
+    def feed(rows):
+        spark.createDataFrame(rows, LOOSE).coalesce(1).write.mode("append").parquet(source)
+
+    def run(name, **options):
+        ingest_stream(spark, source, target, str(tmp_path / name), NOW, **options).awaitTermination()
+        rows = ingest.read_ingested(spark, target).collect()
+        assert len({r.knowledge_chunk_id for r in rows}) == len(rows)
+        return len(rows)
+
+    return feed, run, target
+
+
+@pytest.mark.parametrize("options", [{}, {"remember": "30 days"}, {"max_files": 1}])
+def test_stream_can_be_replayed(spark, stream, options):
+    feed, run, target = stream
+    feed(incidents(0, 20))
+    assert run("a", **options) == 20
+    assert run("a", **options) == 20
+    feed(incidents(10, 15) + [(None, *incidents(0, 1)[0][1:])])
+    assert run("a", **options) == 25
     assert spark.read.parquet(f"{target}_rejected").count() == 1
+    # A new checkpoint has no state; it takes over what the table held, and goes on from there.
+    feed(incidents(0, 30))
+    assert run("b", **options) == 30
+    feed(incidents(25, 10))
+    assert run("b", **options) == 35
+    assert ingest.new_chunks(spark.createDataFrame([], CHUNK), ingest.read_ingested(spark, target)).isEmpty()
+
+
+def test_stream_reads_nothing_of_its_own_table(spark, stream, monkeypatch):
+    feed, run, _ = stream
+    feed(incidents(0, 5))
+    assert run("a") == 5
+    monkeypatch.setattr(ingest, "read_ingested", None)
+    feed(incidents(3, 5))
+    with pytest.raises(TypeError):  # by the test's own look at the table, after the stream
+        run("a")
+    monkeypatch.undo()
+    assert run("a") == 8
+
+
+@pytest.mark.parametrize("dies_at", [1, 2, 3])
+def test_stream_killed_between_its_writes(spark, stream, monkeypatch, dies_at):
+    """Before the first write, before the second one, and before the marker."""
+    feed, run, target = stream
+    feed(incidents(0, 6) + [(None, *incidents(0, 1)[0][1:])])
+    assert run("a") == 6
+    feed(incidents(4, 6) + [(None, *incidents(1, 1)[0][1:])])
+    real, calls = ingest._write, []
+
+    def dying(df, path, fmt):
+        calls.append(path)
+        if len(calls) == dies_at:
+            raise RuntimeError("killed")
+        real(df, path, fmt)
+
+    def dying_touch(spark, path):
+        if dies_at == 3 and ingest.COMMITS in path:
+            raise RuntimeError("killed")
+        touch(spark, path)
+
+    touch = paths.touch
+    monkeypatch.setattr(ingest, "_write", dying)
+    monkeypatch.setattr(paths, "touch", dying_touch)
+    with pytest.raises(Exception, match="killed"):
+        run("a")
+    assert ingest.read_ingested(spark, target).count() == 6
+    monkeypatch.undo()
+    assert run("a") == 10
+    assert spark.read.parquet(f"{target}_rejected").count() == 2
+    assert run("a") == 10
+
+
+def test_stream_adds_to_a_table_of_plain_files(spark, stream):
+    feed, run, target = stream
+    old = all_chunks(spark.createDataFrame(incidents(0, 4), KNOWLEDGE), NOW)
+    tables.append(old, CHUNK, target)
+    feed(incidents(2, 4))
+    assert run("a") == 6
+
+
+# --- tables in buckets -------------------------------------------------------------------
+KEYED = "id string, model string, value int, at int"
+
+
+def test_bucketed_upsert_leaves_other_buckets_alone(spark, tmp_path):
+    path, keys = str(tmp_path / "t"), ["id", "model"]
+    rows = [(f"c{i}", "m", i, 0) for i in range(200)] + [(None, "m", 7, 0)]
+    tables.create_bucketed(spark.createDataFrame(rows, KEYED), path, keys, 16)
+
+    def listing():
+        return {d: paths.files(spark, f"{path}/{d}") for d in paths.children(spark, path) if "=" in d}
+
+    before = listing()
+    assert len(before) == 16
+    changes = [("c3", "m", -3, 1), ("c3", "m", -33, 2), ("c5", "other", 55, 1), (None, "m", 8, 1)]
+    changed = spark.createDataFrame(changes, KEYED)
+    touched = tables.upsert_buckets(changed, path, keys, ["at"])
+    after = listing()
+    assert 0 < len(touched) <= 3
+    for folder, found in before.items():
+        same = int(folder.split("=")[1]) not in touched
+        assert (after[folder] == found) == same
+    expected = {(i, m): v for i, m, v, _ in rows} | {("c3", "m"): -33, ("c5", "other"): 55, (None, "m"): 8}
+    table = tables.read_bucketed(spark, path)
+    assert table.columns == ["id", "model", "value", "at"]
+    assert {(r.id, r.model): r.value for r in table.collect()} == expected
+    assert table.count() == len(expected)
+    # Again: the same rows; and a merge of nothing touches nothing.
+    assert tables.upsert_buckets(changed, path, keys, ["at"]) == touched
+    assert {(r.id, r.model): r.value for r in tables.read_bucketed(spark, path).collect()} == expected
+    last = listing()
+    assert tables.upsert_buckets(changed.limit(0), path, keys, ["at"]) == [] and listing() == last
+    with pytest.raises(ValueError, match="not a bucketed table"):
+        tables.upsert_buckets(changed, str(tmp_path), keys, ["at"])
+
+
+# --- ledgers -----------------------------------------------------------------------------
+LEDGER = T.StructType([T.StructField("request_id", T.StringType(), False),
+                       T.StructField("status", T.StringType())])
+
+
+def test_a_run_is_added_to_a_ledger_once(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+
+    def run(run_id, rows):
+        return ledger.append_run(
+            spark.createDataFrame(rows, "request_id string, status string"), LEDGER, path, run_id,
+            ["request_id"])
+
+    assert ledger.read_ledger(spark, LEDGER, path).collect() == []
+    assert run("r1", [("a", "OK"), ("b", None)]) is True
+    assert run("r1", [("a", "OK"), ("b", None)]) is False
+    assert run("r2", []) is True
+    with pytest.raises(ledger.DuplicateKeys):
+        run("r3", [("a", "OK"), ("a", "OTHER")])
+    with pytest.raises(Exception, match="null in required column"):
+        run("r4", [(None, "OK")])
+    assert run("r3", [("a", "LATE")]) is True
+    rows = ledger.read_ledger(spark, LEDGER, path)
+    assert sorted((r.ledger_run, r.request_id, r.status) for r in rows.collect()) == [
+        ("r1", "a", "OK"), ("r1", "b", None), ("r3", "a", "LATE")]
+    assert ledger.read_ledger(spark, LEDGER, path, ["r3"]).count() == 1
+    assert paths.children(spark, f"{path}/{ledger.STAGING}") == []
+    for bad in ("", "a/b", "a=b", "_x"):
+        with pytest.raises(ValueError):
+            run(bad, [])
+
+
+# --- published versions ------------------------------------------------------------------
+EXPORT = "vector_id bigint, chunk_id string, unit_vector array<double>, knowledge_id string"
+
+
+def numbered(spark, n, dimension=2):
+    return spark.createDataFrame(
+        [(i, f"c{i}", [1.0] * dimension, "k") for i in range(n)], EXPORT).repartition(5)
+
+
+def test_published_by_the_sink(spark, tmp_path):
+    root, pin = str(tmp_path), EmbeddingPin("m", "v", 2)
+    for version, n in (("v1", 40), ("v0", 0)):
+        index_sink.publish(numbered(spark, n), root, "idx", version, pin, "run", "2024-01-01")
+        loaded = index_sink.load_published(spark, root, "idx", version)
+        assert sorted(r.vector_id for r in loaded.collect()) == list(range(n))
+    manifests = index_store.read_manifests(spark, root)
+    assert {r.index_version: (r.vector_count, r.embedding_dim, r.embedding_model_name)
+            for r in manifests.collect()} == {"v1": (40, 2, "m"), "v0": (0, 2, "m")}
+    one = manifests.where("index_version = 'v1'")
+    assert index.manifest_checks(one, index_sink.load_published(
+        spark, root, "idx", "v1")).first().error_code is None
+    with pytest.raises(Exception, match="already exists"):
+        index_sink.publish(numbered(spark, 3), root, "idx", "v1", pin, "run", "2024-01-01")
+    assert index_sink.load_published(spark, root, "idx", "v1").count() == 40
+    assert [c for c in paths.children(spark, f"{root}/index_name=idx/index_version=v1")] == [
+        "manifest", "vectors"]
+
+
+@pytest.mark.parametrize("broken", ["task", "ids", "dimensions"])
+def test_a_failed_publish_leaves_no_version(spark, tmp_path, broken):
+    root, pin = str(tmp_path), EmbeddingPin("m", "v", 2)
+    export = numbered(spark, 50)
+    if broken == "task":
+        export = export.withColumn("chunk_id", F.when(
+            F.col("vector_id") == 33, F.raise_error(F.lit("lost")).cast("string")).otherwise(F.col("chunk_id")))
+    elif broken == "ids":
+        export = export.withColumn("vector_id", F.col("vector_id") * 2)
+    else:
+        export = export.withColumn("unit_vector", F.when(
+            F.col("vector_id") == 3, F.array(F.lit(1.0))).otherwise(F.col("unit_vector")))
+    with pytest.raises(Exception):
+        index_sink.publish(export, root, "idx", "v1", pin, "run", "2024-01-01")
+    left = paths.children(spark, f"{root}/index_name=idx/index_version=v1")
+    assert all(name.startswith("_staging-") for name in left) and (broken == "task" or left == [])
+    with pytest.raises(ValueError, match="no such index version"):
+        index_sink.load_published(spark, root, "idx", "v1")
+    # What a killed driver leaves behind is in nobody's way.
+    (tmp_path / "index_name=idx/index_version=v1/_staging-dead").mkdir(parents=True)
+    index_sink.publish(numbered(spark, 3), root, "idx", "v1", pin, "run", "2024-01-01")
+    assert index_sink.load_published(spark, root, "idx", "v1").count() == 3
 
 
 def test_retention_drops_old_rows(spark, tmp_path):
