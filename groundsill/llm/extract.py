@@ -19,9 +19,8 @@ import html
 import json
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -62,14 +61,14 @@ NAMES_LEFT_OUT = re.compile(
     r"ads?|nav|navbar|navigation|share|sharing|social|sponsor(ed|s)?|promo(tion|s)?|banners?|menus?"
     r"|widgets?|masthead|consent|notices?|alerts?|modal|overlay|replies|respond|disqus|search"
     r"|related|recommend(ed|ations)?|pagination|pager|toolbar|contentinfo|complementary|hidden"
-    r"|signup|login|subscription|advert(s|isement|isements|ising)?|breadcrumbs?|sidebars?|footers?"
+    r"|gdpr|feedback|disclaimers?|tags|taglist|signup|login|subscription|advert(s|isement|isements|ising)?|breadcrumbs?|sidebars?|footers?"
     r"|siteheader|pageheader|cookies?|cookiebar|popups?|comments?|commentlist|newsletters?|subscribe")
 WORDS_BESIDE = frozenset(
     "9 a and area article articles aside bar big block blog body bottom box button buttons card cards"
     " column container content desktop dropdown entry fb field footer for form global google group"
     " header holder icon icons inline inner input item items layer left level link links list lists"
     " local main media mobile module my nav news of on outer page panel popular post posts primary"
-    " responsive right row secondary section site slot small stories story tab text the thread title"
+    " reader readers responsive right row secondary section site slot small stories story tab text the thread title"
     " to toggle top topbar twitter unit us user video wrap wrapper".split())
 _JOINED = re.compile(r"\b(site|page|side|pop|sign|log|nav)[-_](header|bar|up|in)\b")
 NAMES_ROOT = re.compile(r"(?<![a-z])(article|post|entry|story)-?(body|content|text|main)?(?![a-z-])")
@@ -77,8 +76,9 @@ NAMES_ROOT = re.compile(r"(?<![a-z])(article|post|entry|story)-?(body|content|te
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.S | re.I)
-_ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(
+    r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s\"'>]+)))?")
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 
 
 @dataclass
@@ -107,11 +107,34 @@ class Node:
 
 
 def _signature(tag: str, attributes: str) -> str:
-    names = [next(filter(None, m.groups()[1:]), "") for m in _ATTRIBUTE.finditer(attributes)]
-    if _HIDDEN.search(_ATTRIBUTE.sub("", attributes)):
-        names.append("hidden")
+    """The tag, ``hidden`` if its attributes say so, and all words of its class, id and role."""
+    names, hidden = [], False
+    for m in _ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), next(filter(None, m.groups()[1:]), "")
+        if name in ("class", "id", "role"):
+            names.append(value)
+        hidden = hidden or name == "hidden" or (
+            name == "aria-hidden" and value.strip().lower() == "true") or (
+            name == "style" and _UNSEEN.search(value) is not None)
     words = re.sub(r"\d+", "9", " ".join(names).lower()).split()
-    return " ".join([tag, *words[:8]])
+    return " ".join([tag, *(["hidden"] if hidden else []), *words])
+
+
+def _remembered(most: int) -> Callable[[Callable], Callable]:
+    """A cache of at most ``most`` answers that travels with the task's code, as the function does."""
+    def around(answer: Callable) -> Callable:
+        known: dict = {}
+
+        def look(asked):
+            if asked not in known:
+                if len(known) >= most:
+                    known.clear()
+                known[asked] = answer(asked)
+            return known[asked]
+
+        return look
+
+    return around
 
 
 _SIGNATURES: dict[tuple[str, str], str] = {}
@@ -278,7 +301,7 @@ def _says_left_out(name: str) -> bool:
     return any(named) and all(n or x in WORDS_BESIDE for n, x in zip(named, said, strict=True))
 
 
-@lru_cache(100_000)
+@_remembered(100_000)
 def _left_out(sign: str) -> bool:
     tag, _, names = sign.partition(" ")
     return tag in LEFT_OUT or (
@@ -291,14 +314,14 @@ def _soft(sign: str) -> bool:
     return _left_out(sign) and (tag == "form" or tag not in LEFT_OUT)
 
 
-@lru_cache(100_000)
+@_remembered(100_000)
 def _is_root(sign: str) -> bool:
     tag, _, names = sign.partition(" ")
     return tag in ROOTS or bool(names and tag not in NEVER_BY_NAME and not _left_out(sign)
                                 and NAMES_ROOT.search(names))
 
 
-@lru_cache(200_000)
+@_remembered(200_000)
 def _by_name(path: tuple[str, ...]) -> tuple[str, int, int]:
     """What names say of a path: ``in``; ``out``; ``around``, if a container that a name leaves out stands
     around an article; or ``soft``, if one does without an article in it and nothing else leaves the
@@ -556,12 +579,12 @@ def _widened(path: tuple[str, ...], shared: dict[int, int]) -> tuple[str, ...]:
     return path
 
 
-@lru_cache(64)
+@_remembered(64)
 def _planned(wrapper: str) -> Plan:
     return Plan(wrapper)
 
 
-@lru_cache(256)
+@_remembered(256)
 def _parsed(rules: str) -> tuple[tuple[str, ...] | None, frozenset]:
     said = json.loads(rules)
     main = said.get("main")

@@ -400,3 +400,18 @@ def test_pipeline_stage_on_odd_rows(spark, name, stage):
     if name in expected:
         assert sorted(found, key=lambda d: (d is None, d)) == expected[name]
     assert stage(spark, df.limit(0), helpers.SF_DIR).collect() == []
+
+
+@pytest.mark.parametrize(("attributes", "stays"), [
+    ('style="overflow:hidden"', True), ('aria-hidden="false"', True), ('data-state="not hidden"', True),
+    ('class="a1 b c d e f g h" hidden', False), ('class="u v w x y z k m sidebar"', False),
+    ('aria-hidden="true"', False), ("aria-hidden=true", False), ('style="color:red; display: none"', False),
+    ('style="visibility:hidden"', False), ("hidden", False), ('hidden=""', False),
+    ('style="backface-visibility:hidden"', True), ('title="hidden" data-hidden="1"', True),
+    ('class="reader-comments"', False), ('class="gdpr-notice"', False), ('id="gdpr"', False),
+    ('class="disclaimer"', False), ('class="popular-posts-widget"', False), ('class="feedback"', False),
+    ('class="b1 b2 b3 b4 b5 b6 b7 b8 b9"', True), ("class='x' style='overflow-x:hidden' id=k", True),
+])
+def test_attributes_that_hide_a_container(attributes, stays):
+    page = f"<body><article><p>One.</p><div {attributes}><p>Two.</p></div><p>Three.</p></article></body>"
+    assert extract.main_text(page, None) == ("One. Two. Three." if stays else "One. Three.")
