@@ -26,13 +26,16 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundsill.llm import bloom, words
+from groundsill.llm import bloom
 from groundsill.llm.tables import free_name, in_small_batches
+from groundsill.llm.words import Words, hash_words, mix, runs_hash, slices, together
 from groundsill.session import materialize, ship_with_tasks
 
 ship_with_tasks(__name__)
 
-LEAF = np.dtype([("node", "<u8"), ("doc", "<i8"), ("start", "<i4")])
+# A leaf: node, document, which of several texts under the document's id, first word.
+LEAF = ["<u8", "<i8", "<i8", "<i4"]
+PLACE = LEAF[1:]
 KEY_BITS = 20
 BLOCK_BYTES = 3 << 20
 _LADDER = (1, 2, 4, 8, 16)
@@ -63,22 +66,23 @@ def depths(window: int) -> list[int]:
 
 
 def _key(prefix_hash: np.ndarray) -> np.ndarray:
-    return (words.mix(prefix_hash) >> np.uint64(64 - KEY_BITS)).astype(np.int64)
+    return (mix(prefix_hash) >> np.uint64(64 - KEY_BITS)).astype(np.int64)
 
 
 class _Block:
     """All suffixes of some rows that are at least ``window`` words long."""
 
-    def __init__(self, docs: np.ndarray, found: words.Words, window: int):
+    def __init__(self, docs: np.ndarray, copies: np.ndarray, found: Words, window: int):
         self.hashes = found.hashes
         count = np.maximum(found.count() - window + 1, 0)
         self.doc = np.repeat(docs, count)
+        self.copy = np.repeat(copies, count)
         before = np.cumsum(count) - count
         self.start = np.arange(count.sum()) - np.repeat(before, count)
         self.at = self.start + np.repeat(found.first[:-1], count)
 
     def prefix(self, depth: int, which: np.ndarray) -> np.ndarray:
-        return words.runs_hash(self.hashes, depth, self.at[which])
+        return runs_hash(self.hashes, depth, self.at[which])
 
 
 def _blocks(batch: pa.RecordBatch, window: int) -> Iterator[_Block]:
@@ -91,21 +95,46 @@ def _blocks(batch: pa.RecordBatch, window: int) -> Iterator[_Block]:
         end = max(int(np.searchsorted(ends, most, "right")), row + 1)
         part = batch.slice(row, end - row)
         part = part.filter(part.column("doc").is_valid())
-        part = part.take(pa.compute.sort_indices(part.column("doc")))
-        hashed = [words.hash_words(data, offsets, lower=False)
-                  for _, _, data, offsets in words.slices(part.column("text"))]
+        part = part.take(pa.compute.sort_indices(
+            part, sort_keys=[("doc", "ascending"), ("copy", "ascending")]))
+        hashed = [hash_words(data, offsets, lower=False)
+                  for _, _, data, offsets in slices(part.column("text"))]
         if hashed:
-            yield _Block(part.column("doc").to_numpy(), words.together(hashed), window)
+            yield _Block(part.column("doc").to_numpy(), part.column("copy").to_numpy(),
+                         together(hashed), window)
         row = end
 
 
-def _texts(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return in_small_batches(documents).select(F.col(id_col).cast("long").alias("doc"),
-                                              F.col(text_col).cast("string").alias("text"))
+def _several(documents: DataFrame, id_col: str, text_col: str) -> DataFrame | None:
+    """The ids that stand for more than one text, or None if there are none, as it should be."""
+    said = F.xxhash64(F.col(text_col).cast("string"))
+    found = materialize(
+        documents.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("_several"))
+        .agg(F.min(said).alias("low"), F.max(said).alias("high")).where("low <> high").select("_several"))
+    return None if found.isEmpty() else found
 
 
-def heavy_prefixes(documents: DataFrame, window: int, id_col: str, text_col: str,
-                   group_suffixes: int, resolution: int) -> tuple[int, list[np.ndarray]]:
+def _told_apart(documents: DataFrame, several: DataFrame | None, id_col: str, text_col: str,
+                copy: str) -> DataFrame:
+    """``documents`` with a column ``copy``: a hash of the text where the id stands for several, else 0."""
+    if several is None:
+        return documents.withColumn(copy, F.lit(0).cast("bigint"))
+    own = F.col(id_col).cast("long")
+    key, built = F.when(own.isNotNull(), F.xxhash64(own)), bloom.build(several, F.xxhash64("_several"))
+    met = bloom.maybe_in(documents, key, built).join(several, own == F.col("_several"), "left")
+    return met.withColumn(copy, F.when(
+        F.col("_several").isNotNull(), F.xxhash64(F.col(text_col).cast("string"))).otherwise(F.lit(0))
+    ).drop("_several").unionByName(
+        bloom.not_in(documents, key, built).withColumn(copy, F.lit(0).cast("bigint")))
+
+
+def _texts(documents: DataFrame, several: DataFrame | None, id_col: str, text_col: str) -> DataFrame:
+    return _told_apart(in_small_batches(documents).select(
+        F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")),
+        several, "doc", "text", "copy")
+
+
+def heavy_prefixes(texts: DataFrame, window: int, group_suffixes: int, resolution: int) -> tuple[int, list[np.ndarray]]:
     """How many groups the suffixes need, and which prefixes are too frequent for one group.
 
     A prefix that starts more than a share s of all suffixes also starts more than s/2 of them in
@@ -137,7 +166,7 @@ def heavy_prefixes(documents: DataFrame, window: int, id_col: str, text_col: str
                 [pa.array(out_depth, pa.int32()), pa.array(out_key, pa.int64()),
                  pa.array(out_n, pa.int64())], ["depth", "key", "n"])
 
-    counted = _texts(documents, id_col, text_col).mapInArrow(
+    counted = texts.mapInArrow(
         count, "depth int, key bigint, n bigint").groupBy("depth", "key").agg(F.sum("n").alias("n"))
     total = 0
     rows = []
@@ -163,36 +192,49 @@ def _runs(starts: np.ndarray) -> bytes:
 
 def repeats(documents: DataFrame, window: int = 20, id_col: str = "doc_id",
             text_col: str = "text", group_suffixes: int = 1 << 19,
-            resolution: int = 4096) -> DataFrame:
-    """Per document with repeats: ``doc`` and ``runs``, the starts of all windows of ``window``
-    words that also start earlier (smaller id, or same id and earlier start), as packed int32
-    pairs [first start, end start). Rows with a null id are left out."""
+            resolution: int = 4096, several: DataFrame | None = None) -> DataFrame:
+    """Per document with repeats: ``doc``, ``copy`` and ``runs``, the starts of all windows of
+    ``window`` words that also start earlier (smaller id, or same document and earlier start), as
+    packed int32 pairs [first start, end start). Rows with a null id are left out.
+
+    Rows that share id and text are one document. ``several`` lists the ids (``_several``) that stand
+    for different texts: those are documents of their own, told apart and ordered among each
+    other by ``copy``, a hash of the text; it is 0 for all others, and so are its bytes in a leaf."""
     if window < 1:
         raise ValueError("window must be at least 1")
-    groups, heavy = heavy_prefixes(documents, window, id_col, text_col, group_suffixes, resolution)
+    texts = _texts(documents, several, id_col, text_col)
+    groups, heavy = heavy_prefixes(texts, window, group_suffixes, resolution)
     ladder = depths(window)
     buckets = max(groups, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-    def by_bucket(doc: np.ndarray, start: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    def by_bucket(doc: np.ndarray, copy: np.ndarray, start: np.ndarray) -> Iterator[tuple[int, bytes]]:
         if not len(doc):
             return
-        bucket = (words.mix(doc.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        bucket = (mix(doc.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         edge = np.flatnonzero(np.diff(bucket[order])) + 1
         for part in np.split(order, edge):
-            yield int(bucket[part[0]]), pack([doc[part], start[part].astype("<i4")])
+            yield int(bucket[part[0]]), pack([doc[part], copy[part], start[part].astype("<i4")])
+
+    def repeated(node: np.ndarray, doc: np.ndarray, copy: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """Of leaves in order, those that are not their node's first, nor that same one again."""
+        head = np.ones(len(node), bool)
+        head[1:] = node[1:] != node[:-1]
+        first = np.maximum.accumulate(np.where(head, np.arange(len(node)), 0))
+        return (doc != doc[first]) | (copy != copy[first]) | (start != start[first])
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in _blocks(batch, window):
                 if not len(block.at):
                     continue
-                node = words.mix(block.prefix(window, slice(None)))
+                node = mix(block.prefix(window, slice(None)))
                 order = np.argsort(node, kind="stable")
                 ordered = node[order]
                 first = np.ones(len(order), bool)
                 first[1:] = ordered[1:] != ordered[:-1]
-                later = np.sort(order[~first])
+                later = np.sort(order[repeated(
+                    ordered, block.doc[order], block.copy[order], block.start[order])])
                 keep = np.sort(order[first])
                 chosen = np.zeros(len(keep), np.uint64)
                 open_ = np.arange(len(keep))
@@ -204,17 +246,18 @@ def repeats(documents: DataFrame, window: int = 20, id_col: str = "doc_id",
                     open_ = open_[heavy[k][keys]]
                     if not len(open_):
                         break
-                group = (words.mix(chosen) % np.uint64(groups)).astype(np.int64)
+                group = (mix(chosen) % np.uint64(groups)).astype(np.int64)
                 by_group = np.lexsort((node[keep], group))
                 edge = np.flatnonzero(np.diff(group[by_group])) + 1
                 rows = [
                     (int(group[part[0]]), False,
-                     pack([node[keep[part]], block.doc[keep[part]],
+                     pack([node[keep[part]], block.doc[keep[part]], block.copy[keep[part]],
                            block.start[keep[part]].astype("<i4")]))
                     for part in np.split(by_group, edge)
                 ]
                 rows += [(b % groups, True, data)
-                         for b, data in by_bucket(block.doc[later], block.start[later])]
+                         for b, data in by_bucket(
+                             block.doc[later], block.copy[later], block.start[later])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int64()),
                      pa.array([r[1] for r in rows], pa.bool_()),
@@ -223,14 +266,14 @@ def repeats(documents: DataFrame, window: int = 20, id_col: str = "doc_id",
     def nodes(table: pa.Table) -> pa.Table:
         settled = table.column("settled").to_pylist()
         data = table.column("data").to_pylist()
-        parts = [unpack(d, ["<u8", "<i8", "<i4"])
+        parts = [unpack(d, LEAF)
                  for d, s in zip(data, settled, strict=True) if not s]
         out: list[tuple[int, bytes]] = []
-        done = [unpack(d, ["<i8", "<i4"]) for d, s in zip(data, settled, strict=True) if s]
+        done = [unpack(d, PLACE) for d, s in zip(data, settled, strict=True) if s]
         if done:
             out += by_bucket(*(np.concatenate(c) for c in zip(*done, strict=True)))
         if parts:
-            node, doc, start = (np.concatenate(c) for c in zip(*parts, strict=True))
+            node, doc, copy, start = (np.concatenate(c) for c in zip(*parts, strict=True))
             order = np.argsort(node, kind="stable")
             ordered = node[order]
             same = ordered[1:] == ordered[:-1]
@@ -238,27 +281,28 @@ def repeats(documents: DataFrame, window: int = 20, id_col: str = "doc_id",
             shared[1:] |= same
             shared[:-1] |= same
             order = order[shared]
-            order = order[np.lexsort((start[order], doc[order], node[order]))]
-            later = order[1:][node[order[1:]] == node[order[:-1]]]
-            out += by_bucket(doc[later], start[later])
+            order = order[np.lexsort((start[order], copy[order], doc[order], node[order]))]
+            later = order[repeated(node[order], doc[order], copy[order], start[order])]
+            out += by_bucket(doc[later], copy[later], start[later])
         return pa.table({"bucket": pa.array([b for b, _ in out], pa.int64()),
                          "data": pa.array([d for _, d in out], pa.binary())})
 
     def per_document(table: pa.Table) -> pa.Table:
-        parts = [unpack(d, ["<i8", "<i4"]) for d in table.column("data").to_pylist()]
-        doc, start = (np.concatenate(c) for c in zip(*parts, strict=True))
-        order = np.lexsort((start, doc))
-        doc, start = doc[order], start[order]
-        edge = np.flatnonzero(np.diff(doc)) + 1
-        ids = doc[np.concatenate([[0], edge])]
-        return pa.table({"doc": pa.array(ids, pa.int64()),
+        parts = [unpack(d, PLACE) for d in table.column("data").to_pylist()]
+        doc, copy, start = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.lexsort((start, copy, doc))
+        doc, copy, start = doc[order], copy[order], start[order]
+        edge = np.flatnonzero((np.diff(doc) != 0) | (np.diff(copy) != 0)) + 1
+        head = np.concatenate([[0], edge])
+        return pa.table({"doc": pa.array(doc[head], pa.int64()),
+                         "copy": pa.array(copy[head], pa.int64()),
                          "runs": pa.array([_runs(s) for s in np.split(start, edge)], pa.binary())})
 
     return (
-        _texts(documents, id_col, text_col)
+        texts
         .mapInArrow(leaves, "part bigint, settled boolean, data binary")
         .groupBy("part").applyInArrow(nodes, "bucket bigint, data binary")
-        .groupBy("bucket").applyInArrow(per_document, "doc bigint, runs binary")
+        .groupBy("bucket").applyInArrow(per_document, "doc bigint, copy bigint, runs binary")
     )
 
 
@@ -291,15 +335,19 @@ def remove_repeats(documents: DataFrame, window: int = 20, id_col: str = "doc_id
     by one space; without it the text column is dropped.
 
     A null text has no words and stays null. A null id cannot be ordered: such rows are returned
-    untouched. Rows that repeat an id are one document as far as order goes and are cut alike.
-    Columns whose names clash with the added ones are replaced.
+    untouched. Rows that repeat an id and its text are one document and cut alike; different texts under one
+    id are different documents, in the order of a hash of their texts. Columns whose names clash with the added ones are replaced.
     """
     added = ["n_words", "n_removed", "removed_spans", "kept_sha256"]
-    found = repeats(documents, window, id_col, text_col, **settings)
+    several = _several(documents, id_col, text_col)
+    found = repeats(documents, window, id_col, text_col, several=several, **settings)
     base = documents.drop(*added)
     carried = [c for c in base.columns if c != text_col]
-    runs, doc = free_name(base, "runs"), free_name(base, "doc")
-    found = found.select(F.col("doc").alias(doc), F.col("runs").alias(runs))
+    kept_columns = base.columns if with_text else carried
+    types = dict((f.name, f.dataType.simpleString()) for f in base.schema.fields)
+    runs, doc, copy, own = (free_name(base, n) for n in ("runs", "doc", "copy", "own_copy"))
+    base = _told_apart(base, several, id_col, text_col, own)
+    found = found.select(F.col("doc").alias(doc), F.col("copy").alias(copy), F.col("runs").alias(runs))
     # Only texts that may have repeats are shuffled to meet them; the others, and null ids, are cut
     # where they were read.
     found = materialize(found)
@@ -307,11 +355,10 @@ def remove_repeats(documents: DataFrame, window: int = 20, id_col: str = "doc_id
     key = F.when(F.col(id_col).isNotNull(), key)
     built = bloom.build(found, F.xxhash64(doc))
     joined = bloom.maybe_in(base, key, built).join(
-        found.hint("shuffle_hash"), F.col(id_col).cast("long") == F.col(doc), "left"
-    ).drop(doc).unionByName(
+        found.hint("shuffle_hash"),
+        (F.col(id_col).cast("long") == F.col(doc)) & (F.col(own) == F.col(copy)), "left"
+    ).drop(doc, copy).unionByName(
         bloom.not_in(base, key, built).withColumn(runs, F.lit(None).cast("binary")))
-    kept_columns = base.columns if with_text else carried
-    types = dict((f.name, f.dataType.simpleString()) for f in base.schema.fields)
     schema = ", ".join(
         [f"`{c}` {'string' if c == text_col else types[c]}" for c in kept_columns]
         + ["n_words bigint", "n_removed bigint", "removed_spans array<array<int>>",

@@ -163,3 +163,33 @@ def test_substring_odd_rows(spark):
     assert by[10][0].text == long
     empty = substring.remove_repeats(df.limit(0), 3)
     assert empty.collect() == []
+
+
+@pytest.mark.parametrize("window", [4, 20])
+def test_substring_told_apart_under_one_id(spark, window):
+    """Different texts under one id are documents of their own; equal rows are one document."""
+    chance = random.Random(window)
+    passage = " ".join(f"p{i}" for i in range(window + 5))
+    rows = [(1, f"{passage} end"), (7, f"q1 {passage}"), (7, "u1 " + " ".join(f"u{i}" for i in range(60))),
+            (7, "u1 " + " ".join(f"u{i}" for i in range(60))), (None, passage), (None, f"n {passage}"),
+            (9, " ".join(f"w{i}" for i in range(50))), (9, " ".join(f"w{i}" for i in range(50)))]
+    for i in range(20, 60):
+        words = [chance.choice("abc") for _ in range(chance.randint(0, 40))]
+        rows.append((i // 3, " ".join(words)))
+    df = spark.createDataFrame([(i, t, 5, "c") for i, t in rows],
+                               "doc_id bigint, text string, copy int, RUNS string").repartition(5)
+    hashes = {r.text: r.h for r in df.selectExpr("text", "xxhash64(text) as h").collect()}
+    several = {i for i, _ in rows if i is not None and len({t for j, t in rows if j == i}) > 1}
+    # Documents in order, each once, then cut by brute force under numbers of their own.
+    documents = sorted({(i, hashes[t] if i in several else 0, t) for i, t in rows if i is not None})
+    expected = helpers.cut_repeats([(n, t) for n, (_, _, t) in enumerate(documents)], window)
+    kept = {(i, t): expected[n][1] for n, (i, _, t) in enumerate(documents)}
+    found = substring.remove_repeats(df.withColumn("again", F.col("text")), window=window)
+    assert found.columns == ["doc_id", "text", "copy", "RUNS", "again", "n_words", "n_removed",
+                             "removed_spans", "kept_sha256"]
+    got = found.collect()
+    assert len(got) == len(rows)
+    for r in got:
+        words = kept[r.doc_id, r.again] if r.doc_id is not None else r.again.split()
+        assert r.kept_sha256 == hashlib.sha256(" ".join(words).encode()).hexdigest(), (r.doc_id, r.again)
+        assert r.n_words - r.n_removed == len(words) and r["copy"] == 5
