@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from groundsill.llm import words
 from groundsill.llm.tables import in_small_batches
+from groundsill.llm.words import slices, text_bytes
 from groundsill.session import materialize, ship_with_tasks
 
 ship_with_tasks(__name__)
@@ -201,7 +201,7 @@ def train(texts: list[str], labels: list[str], how: Training = Training()) -> Ne
     net = Network(names, how.window, [0.3 * draw(256, 3 * h) for _ in (0, 1)],
                   [draw(h, 3 * h) / h**0.5 for _ in (0, 1)], 0.3 * draw(len(names), 2 * h),
                   np.zeros(len(names), np.float32))
-    data, offsets = words.text_bytes(pa.array(texts, pa.string()))
+    data, offsets = text_bytes(pa.array(texts, pa.string()))
     cut, row, filled = windows(*read(data, offsets), how.window)
     target = np.array([names.index(x) for x in labels])[row]
     by_label = [np.flatnonzero(target == k) for k in range(len(names))]
@@ -287,7 +287,7 @@ def predict(documents: DataFrame, net: Network | None, text_col: str = "text") -
         for batch in batches:
             best, score = [], []
             column = batch.column(text_col)
-            for row, end, data, offsets in words.slices(column):
+            for row, end, data, offsets in slices(column):
                 texts = column.slice(row, end - row).to_pylist()
                 if net is None:
                     best += [UNKNOWN] * len(texts)

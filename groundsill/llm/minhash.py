@@ -24,9 +24,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundsill.llm import bloom, words
+from groundsill.llm import bloom
 from groundsill.llm.components import components
 from groundsill.llm.tables import in_small_batches
+from groundsill.llm.words import MULTIPLIERS, hash_words, mix, runs_hash, slices
 from groundsill.session import materialize, ship_with_tasks
 
 ship_with_tasks(__name__)
@@ -67,19 +68,19 @@ _ODD = _SEED.integers(0, 2**31, 1024, dtype=np.uint32) * np.uint32(2) + np.uint3
 
 def _sets(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of all rows end to end, and where each row's begin."""
-    found = words.hash_words(data, offsets, lower=True)
+    found = hash_words(data, offsets, lower=True)
     count = found.count()
     full = np.maximum(count - length + 1, 0)
     before = np.cumsum(full) - full
     at = np.arange(full.sum()) - np.repeat(before, full) + np.repeat(found.first[:-1], full)
-    hashed = words.mix(words.runs_hash(found.hashes, length, at))
+    hashed = mix(runs_hash(found.hashes, length, at))
     pieces, first = [], np.zeros(len(count) + 1, np.int64)
     for r in range(len(count)):
         if full[r]:
             one = np.unique(hashed[before[r] : before[r] + full[r]])
         elif count[r]:
-            one = words.runs_hash(found.hashes, int(count[r]), found.first[r : r + 1])
-            one = words.mix(one + words.MULTIPLIERS[254:255] * count[r : r + 1].astype(np.uint64))
+            one = runs_hash(found.hashes, int(count[r]), found.first[r : r + 1])
+            one = mix(one + MULTIPLIERS[254:255] * count[r : r + 1].astype(np.uint64))
         else:
             one = hashed[:0]
         pieces.append(one)
@@ -132,7 +133,7 @@ def marks(documents: DataFrame, how: MinHash, id_col: str = "doc_id",
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, end, data, offsets in words.slices(batch.column("text")):
+            for row, end, data, offsets in slices(batch.column("text")):
                 values, first = _sets(data, offsets, how.shingle)
                 size = np.diff(first)
                 some = np.flatnonzero(size)
@@ -144,14 +145,14 @@ def marks(documents: DataFrame, how: MinHash, id_col: str = "doc_id",
                     low = _minima(values, starts, how.functions)
                     for turn in (1, 2):
                         columns.append(np.add.reduceat(
-                            words.mix(values * words.MULTIPLIERS[turn]), starts[:-1]).view(np.int64))
+                            mix(values * MULTIPLIERS[turn]), starts[:-1]).view(np.int64))
                     columns += _planes(low, how.bits, how.longs)
                     keys = np.empty((len(some), how.bands), np.int64)
                     for band in range(how.bands):
-                        total = np.full(len(some), band, np.uint64) * words.MULTIPLIERS[200]
+                        total = np.full(len(some), band, np.uint64) * MULTIPLIERS[200]
                         for r in range(how.rows):
-                            total += low[band * how.rows + r].astype(np.uint64) * words.MULTIPLIERS[r]
-                        keys[:, band] = words.mix(total).view(np.int64)
+                            total += low[band * how.rows + r].astype(np.uint64) * MULTIPLIERS[r]
+                        keys[:, band] = mix(total).view(np.int64)
                 else:
                     columns = [np.zeros(0, np.int64)] * (2 + len(names))
                     keys = np.zeros((0, how.bands), np.int64)
@@ -171,7 +172,7 @@ def shingle_sets(documents: DataFrame, how: MinHash) -> DataFrame:
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, end, data, offsets in words.slices(batch.column("text"), 1 << 20):
+            for row, end, data, offsets in slices(batch.column("text"), 1 << 20):
                 values, first = _sets(data, offsets, how.shingle)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc").slice(row, end - row),
