@@ -208,6 +208,34 @@ def chunk_checks(chunks: DataFrame) -> DataFrame:
     return totals.withColumn("ids_unique", F.col("total_rows") == F.col("distinct_ids"))
 
 
+SKETCH_ITEMS = 4096
+"""Exact up to so many rows a group; beyond, ranks are off by less than a thousandth."""
+
+
+def token_sketches(chunks: DataFrame, part: str = "event_date", items: int = SKETCH_ITEMS) -> DataFrame:
+    """Per type and ``part`` (a day, a run) what is needed to merge token statistics later: counts,
+    extremes and a quantile sketch of bounded size. New parts are added without reading old rows."""
+    return chunks.groupBy("knowledge_type_effective", part).agg(
+        F.count("*").alias("rows"), F.min("chunk_token_count").alias("min_tokens"),
+        F.max("chunk_token_count").alias("max_tokens"),
+        F.kll_sketch_agg_bigint(F.col("chunk_token_count").cast("bigint"), items).alias("sketch"))
+
+
+def merge_token_sketches(stored: DataFrame, items: int = SKETCH_ITEMS) -> DataFrame:
+    """Token statistics by type over any set of stored parts. Quantiles are values that occur."""
+    merged = stored.groupBy("knowledge_type_effective").agg(
+        F.sum("rows").alias("rows"), F.min("min_tokens").alias("min_tokens"),
+        F.max("max_tokens").alias("max_tokens"),
+        F.kll_merge_agg_bigint("sketch", items).alias("sketch"))
+
+    def quantile(share: float) -> Column:
+        return F.kll_sketch_get_quantile_bigint("sketch", F.lit(share))
+
+    return merged.select(
+        "knowledge_type_effective", "rows", "min_tokens", quantile(0.5).alias("p50_tokens"),
+        quantile(0.95).alias("p95_tokens"), "max_tokens")
+
+
 def token_stats(chunks: DataFrame) -> DataFrame:
     """Smallest, median and largest token count by type. The median keeps one counter per
     distinct count, so its state is bounded by the longest text, not by the rows."""

@@ -15,6 +15,7 @@ from groundsill.functions import vectors as vx
 from groundsill.operators import (
     assembly,
     chunking,
+    drift,
     embedding,
     grounding,
     index,
@@ -29,7 +30,7 @@ from groundsill.operators import (
 )
 from groundsill.plans.stages import GATE, PIN, POLICY, RETRIEVAL, RUN_ID, Stages
 from groundsill.schemas import CHUNK, RETRIEVAL_REQUEST_LOG, enforce
-from groundsill.session import new_folder
+from groundsill.session import materialize, new_folder
 from groundsill.sources import gold, index_sink, index_store, ledger, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -220,6 +221,12 @@ def token_stats(s: Stages) -> DataFrame:
     return chunking.token_stats(s.chunks)
 
 
+@register
+def token_stats_rollup(s: Stages) -> DataFrame:
+    """Statistics by type merged from one stored sketch a type and day."""
+    return chunking.merge_token_sketches(materialize(chunking.token_sketches(s.chunks)))
+
+
 @register
 def chunk_contract(s: Stages) -> DataFrame:
     return enforce(s.chunks, CHUNK)
@@ -703,6 +710,18 @@ def prompt_hash(s: Stages) -> DataFrame:
     return s.prompts.select("request_id", "prompt_hash")
 
 
+@register
+def prompt_drift(s: Stages) -> DataFrame:
+    """A second run of the prompts with some changed, left out and added, against the first one."""
+    first = materialize(s.prompts.select("request_id", "build_status", "prompt_text", "prompt_hash"))
+    asked = F.col("request_id")
+    second = first.where(~asked.endswith("3-0")).withColumn(
+        "prompt_text", F.when(asked.endswith("1-0"), F.concat("prompt_text", F.lit("."))).otherwise(
+            F.col("prompt_text"))).unionByName(
+        first.where(asked.endswith("7-0")).withColumn("request_id", F.concat(F.lit("new-"), asked)))
+    return drift.changes(first, second, ["request_id"])
+
+
 # --- grounding ---------------------------------------------------------------------------
 @register
 def citation_extract(s: Stages) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from groundsill.operators import embedding, index, knowledge, ledgers, quarantine
+from groundsill.operators import chunking, drift, embedding, index, knowledge, ledgers, quarantine
 from groundsill.operators.numbering import dense_numbers
 from groundsill.policy import EmbeddingPin, RunLimits
 from groundsill.schemas import CHUNK, EMBEDDING, KNOWLEDGE, enforce
@@ -415,3 +415,63 @@ def test_csv_lines_keep_columns_in_place(spark):
     assert gold.good_rows(parsed, "sop").columns == names
     assert gold.good_rows(parsed, "sop").count() == 4 and gold.rejected_lines(parsed).count() == 8
     assert gold.parse_lines(df.limit(0), "sop").collect() == []
+
+
+# --- sketches and digests ----------------------------------------------------------------
+def test_merged_sketches_stay_within_their_rank_error(spark):
+    rows = spark.range(200_000).select(
+        F.when(F.col("id") % 3 == 0, "sop").otherwise("incident").alias("knowledge_type_effective"),
+        F.expr("date_add(date'2024-01-01', cast(id % 40 as int))").alias("event_date"),
+        F.pmod(F.xxhash64("id"), F.lit(100_000)).cast("int").alias("chunk_token_count"))
+    stored = chunking.token_sketches(rows)
+    assert stored.count() == 80 and stored.agg(F.max(F.length("sketch"))).first()[0] < 200_000
+    merged = {r.knowledge_type_effective: r for r in chunking.merge_token_sketches(stored).collect()}
+    whole = {r.knowledge_type_effective: r for r in rows.groupBy("knowledge_type_effective").agg(
+        F.count("*").alias("rows"), F.min("chunk_token_count").alias("low"),
+        F.max("chunk_token_count").alias("high")).collect()}
+    for kind, found in merged.items():
+        assert (found.rows, found.min_tokens, found.max_tokens) == tuple(whole[kind])[1:]
+        for share, value in ((0.5, found.p50_tokens), (0.95, found.p95_tokens)):
+            of = rows.where(F.col("knowledge_type_effective") == kind)
+            below = of.where(F.col("chunk_token_count") <= value).count() / found.rows
+            assert abs(below - share) < 0.002
+    # A new day is merged without the rows of the others; few rows are told exactly.
+    few = spark.createDataFrame([("sop", dt.date(2024, 1, d), n) for d, n in ((1, 5), (1, 7), (2, 9))],
+                                "knowledge_type_effective string, event_date date, chunk_token_count int")
+    parts = [chunking.token_sketches(few.where(F.dayofmonth("event_date") == d)) for d in (1, 2)]
+    (row,) = chunking.merge_token_sketches(parts[0].unionByName(parts[1])).collect()
+    assert tuple(row) == ("sop", 3, 5, 7, 9, 9)
+
+
+DRIFT = "id string, part int, said array<string>, n double"
+
+
+def test_digests_find_where_tables_differ(spark):
+    rows = [(f"k{i}", i % 3, ["a", None] if i % 2 else None, i / 7) for i in range(500)]
+    rows += [(None, 1, [], None), ("twice", 1, [], 1.0), ("twice", 1, [], 1.0)]
+    first = spark.createDataFrame(rows, DRIFT)
+    keys = ["id", "part"]
+
+    def digest(df):
+        return drift.whole(drift.fingerprint(df, keys, ranges=64)).first()
+
+    again = spark.createDataFrame(rows[::-1], DRIFT).repartition(7)
+    assert digest(first) == digest(again) and digest(first).rows == len(rows)
+    halves = [drift.fingerprint(first.where(c), keys, ranges=64) for c in ("part = 1", "part <> 1")]
+    assert drift.whole(halves[0].unionByName(halves[1])).first() == digest(first)
+    assert drift.changes(first, again, keys).collect() == []
+    other = dict(enumerate(rows))
+    other[3] = ("k3", 0, ["a", ""], 3 / 7)  # a null became an empty string
+    other[500] = (None, 1, [], 0.0)
+    del other[501], other[10]
+    other[600] = ("fresh", 2, None, None)
+    second = spark.createDataFrame(list(other.values()), DRIFT)
+    found = drift.changes(first, second, keys, ranges=64).collect()
+    assert sorted((r.id or "", r.part, r.change) for r in found) == [
+        ("", 1, "CHANGED"), ("fresh", 2, "ADDED"), ("k10", 1, "REMOVED"), ("k3", 0, "CHANGED"),
+        ("twice", 1, "CHANGED")]
+    apart = drift.differing(drift.fingerprint(first, keys), drift.fingerprint(second, keys))
+    assert 1 <= apart.count() <= 5
+    assert drift.changes(first.limit(0), first.limit(0), keys).collect() == []
+    assert {r.change for r in drift.changes(first.limit(0), first, keys).collect()} == {"ADDED"}
+    assert drift.whole(drift.fingerprint(first.limit(0), keys)).first().rows == 0
