@@ -1,7 +1,7 @@
 """Which candidates become evidence, and a reason for each one that does not.
 
 One shuffle by request serves every step: later windows and the fold use the same
-distribution. A request has at most as many candidates as the search width allows, so the
+distribution. Texts are looked at once each, not once per request, and stay out of that shuffle. A request has at most as many candidates as the search width allows, so the
 arrays that the fold works on are bounded.
 """
 
@@ -15,6 +15,7 @@ from groundsill import fixed
 from groundsill.functions import bind
 from groundsill.functions import text as tx
 from groundsill.policy import SelectionPolicy
+from groundsill.session import materialize
 
 CANDIDATE = [
     "rank", "chunk_id", "similarity", "knowledge_id", "knowledge_type", "equipment_id",
@@ -77,12 +78,11 @@ def _filter_reason(policy: SelectionPolicy) -> Column:
     dated = F.col("date_from").isNotNull() | F.col("date_to").isNotNull()
     asks_equipment = F.col("required_equipment").isNotNull()
     typed = F.coalesce(F.array_contains("allowed_types", kind), F.lit(False))
-    clean = F.col("clean_text")
     return (
         F.when(low_top, fixed.DROP_LOW_TOP)
         .when(~_finite(sim) | (sim < policy.min_chunk_similarity), fixed.DROP_FLOOR)
-        .when(clean.isNull() | (clean == ""), fixed.DROP_EMPTY)
-        .when(tx.is_noise(clean), fixed.DROP_NOISE)
+        .when(~F.coalesce("usable", F.lit(False)), fixed.DROP_EMPTY)
+        .when(F.col("noise"), fixed.DROP_NOISE)
         .when(F.col("allowed_types").isNotNull() & ~typed, fixed.DROP_TYPE)
         .when(asks_equipment & F.col("equipment_id").isNull(), fixed.DROP_EQUIPMENT_NULL)
         .when(asks_equipment & (F.col("equipment_id") != F.col("required_equipment")),
@@ -93,11 +93,38 @@ def _filter_reason(policy: SelectionPolicy) -> Column:
     )
 
 
-def filter_candidates(candidates: DataFrame, policy: SelectionPolicy,
-                      constraints: DataFrame | None = None) -> DataFrame:
-    """Adds cleaned text, best score of the request, and ``drop_reason`` of the checks, the
-    duplicate rule and the per-knowledge cap. Best ranked copies are kept."""
-    rows = candidates.select("request_id", *CANDIDATE)
+def text_facts(texts: DataFrame, policy: SelectionPolicy) -> DataFrame:
+    """What selection asks of a text, found once however many requests met it.
+
+    ``texts`` has distinct ``text_key, chunk_text``. Shingles are kept as a sorted set of 64-bit hashes
+    with its leading part, so that the fold compares numbers.
+    """
+    clean = F.col("clean_text")
+    usable = F.coalesce(clean != "", F.lit(False))
+    cleaned = texts.withColumn("clean_text", tx.sanitize(F.col("chunk_text"))).withColumn(
+        # Cleaned text has single blanks only.
+        "_words", F.when(usable, F.split(clean, " ")))
+    hashed = F.sort_array(F.transform(tx.word_shingles(F.col("_words")), lambda s: F.xxhash64(s)))
+    return cleaned.select(
+        "text_key", "chunk_text", "clean_text", usable.alias("usable"),
+        tx.is_noise(clean).alias("noise"), tx.has_injection(clean).alias("injected"),
+        F.size("_words").alias("tokens"), F.when(usable, hashed).alias("all"),
+    ).withColumn("key", tx.overlap_key(F.col("all"), policy.overlap_ratio_threshold))
+
+
+def _keyed(candidates: DataFrame, policy: SelectionPolicy) -> tuple[DataFrame, DataFrame]:
+    """Candidates by text key without their texts, and the facts of the texts. Facts are written once:
+    the checks, the fold and the result read columns of their own from them."""
+    rows = candidates.select("request_id", *CANDIDATE).withColumn(
+        "text_key", F.sha2("chunk_text", 256))
+    texts = rows.where(F.col("text_key").isNotNull()).select("text_key", "chunk_text").distinct()
+    return rows.drop("chunk_text"), materialize(text_facts(texts, policy))
+
+
+def _checked(rows: DataFrame, facts: DataFrame, policy: SelectionPolicy,
+             constraints: DataFrame | None) -> DataFrame:
+    """Narrow candidates with the best score of their request and ``drop_reason`` of the checks, the
+    duplicate rule and the per-knowledge cap."""
     if constraints is None:
         rows = rows.withColumns({
             "allowed_types": F.lit(None).cast("array<string>"),
@@ -106,13 +133,11 @@ def filter_candidates(candidates: DataFrame, policy: SelectionPolicy,
         })
     else:
         rows = rows.join(constraints.select("request_id", *CONSTRAINTS), "request_id", "left")
+    rows = rows.join(facts.select("text_key", "usable", "noise", "injected"), "text_key", "left")
     whole = Window.partitionBy("request_id")
     scored = F.when(~F.isnan("similarity"), F.col("similarity"))
-    # The cleaned text is computed after the window so that it is not sorted along.
-    cleaned = rows.withColumn("top_similarity", F.max(scored).over(whole)).withColumn(
-        "clean_text", tx.sanitize(F.col("chunk_text"))
-    )
-    checked = cleaned.withColumn("drop_reason", _filter_reason(policy))
+    checked = rows.withColumn("top_similarity", F.max(scored).over(whole)).withColumn(
+        "drop_reason", _filter_reason(policy))
     alive = F.col("drop_reason").isNull()
 
     def nth(*keys: str) -> Column:
@@ -132,7 +157,20 @@ def filter_candidates(candidates: DataFrame, policy: SelectionPolicy,
             fixed.DROP_KNOWLEDGE_CAP,
         ).otherwise(F.col("drop_reason")),
     )
-    return capped.drop("_nth", *CONSTRAINTS)
+    return capped.drop("_nth", "usable", "noise", *CONSTRAINTS)
+
+
+def _with_texts(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    return rows.join(facts.select("text_key", "chunk_text", "clean_text"), "text_key", "left").drop(
+        "text_key")
+
+
+def filter_candidates(candidates: DataFrame, policy: SelectionPolicy,
+                      constraints: DataFrame | None = None) -> DataFrame:
+    """Adds cleaned text, best score of the request, and ``drop_reason`` of the checks, the
+    duplicate rule and the per-knowledge cap. Best ranked copies are kept."""
+    rows, facts = _keyed(candidates, policy)
+    return _with_texts(_checked(rows, facts, policy, constraints), facts)
 
 
 def _fold(rows: Column, policy: SelectionPolicy) -> Column:
@@ -144,95 +182,81 @@ def _fold(rows: Column, policy: SelectionPolicy) -> Column:
     cap, budget = policy.per_chunk_tokens, policy.max_evidence_tokens
     threshold = policy.overlap_ratio_threshold
 
-    def fact(row: Column) -> Column:
-        # Shingles are built here, after the shuffle, so that only text travels. Cleaned text
-        # has single blanks only and is not empty.
-        words = F.when(row["drop_reason"].isNull(), F.split(row["clean_text"], " "))
-
-        def measured(w: Column) -> Column:
-            return bind(F.sort_array(tx.word_shingles(w)), lambda s: F.struct(
-                s.alias("all"), tx.overlap_key(s, threshold).alias("key"),
-                F.size(w).alias("tokens"),
-            ))
-
-        return bind(words, lambda w: F.struct(
-            row["drop_reason"].alias("reason"), F.when(w.isNotNull(), measured(w)).alias("text")
-        ))
-
-    def folded(facts: Column) -> Column:
-        # The state names kept rows by position and looks them up, so that it stays small.
-        def step(state: Column, position: Column) -> Column:
-            row = F.get(facts, position)
-            text = row["text"]
-
-            def near(kept_position: Column) -> Column:
-                kept = F.get(facts, kept_position)["text"]
-                return tx.overlaps(kept["all"], text["all"], kept["key"], text["key"], threshold)
-
-            repeated = row["reason"].isNull() & F.exists(state["kept"], near)
-            trimmed = F.least(text["tokens"], F.lit(cap))
-            no_room = (F.size(state["kept"]) >= policy.max_chunks) | (
-                state["used"] + trimmed > budget
-            )
+    # The state names kept rows by position and looks them up, so that it stays small.
+    def step(state: Column, position: Column) -> Column:
+        row = F.get(rows, position)
 
-            def decide(is_repeat: Column) -> Column:
-                reason = (
-                    F.when(row["reason"].isNotNull(), row["reason"])
-                    .when(is_repeat, F.lit(fixed.DROP_OVERLAP))
-                    .when(no_room, F.lit(fixed.DROP_BUDGET))
-                )
-                distinct = row["reason"].isNull() & ~is_repeat
-                taken = distinct & ~no_room
-                decision = F.struct(
-                    reason.alias("reason"),
-                    F.when(taken, text["tokens"] > cap).alias("needs_trim"),
-                    F.when(taken, trimmed).alias("reserved_tokens"),
-                )
-                return F.struct(
-                    F.when(distinct, F.concat(state["kept"], F.array(position)))
-                    .otherwise(state["kept"]).alias("kept"),
-                    (state["used"] + F.when(taken, trimmed).otherwise(F.lit(0))).alias("used"),
-                    F.concat(state["out"], F.array(decision)).alias("out"),
-                )
-
-            return bind(repeated, decide)
-
-        start = F.struct(
-            F.expr("cast(array() as array<int>)").alias("kept"), F.lit(0).alias("used"),
-            F.expr(
-                "cast(array() as array<struct<reason:string,needs_trim:boolean,"
-                "reserved_tokens:int>>)"
-            ).alias("out"),
+        def near(kept_position: Column) -> Column:
+            kept = F.get(rows, kept_position)
+            return tx.overlaps(kept["all"], row["all"], kept["key"], row["key"], threshold)
+
+        reason = row["drop_reason"]
+        repeated = reason.isNull() & F.exists(state["kept"], near)
+        trimmed = F.least(row["tokens"], F.lit(cap))
+        no_room = (F.size(state["kept"]) >= policy.max_chunks) | (
+            state["used"] + trimmed > budget
         )
-        positions = F.sequence(F.lit(0), F.size(facts) - 1)
-        return F.aggregate(positions, start, step, lambda state: state["out"])
 
-    return bind(F.transform(rows, fact), folded)
+        def decide(is_repeat: Column) -> Column:
+            distinct = reason.isNull() & ~is_repeat
+            taken = distinct & ~no_room
+            decision = F.struct(
+                F.when(reason.isNotNull(), reason).when(is_repeat, F.lit(fixed.DROP_OVERLAP))
+                .when(no_room, F.lit(fixed.DROP_BUDGET)).alias("reason"),
+                F.when(taken, row["tokens"] > cap).alias("needs_trim"),
+                F.when(taken, trimmed).alias("reserved_tokens"),
+            )
+            return F.struct(
+                F.when(distinct, F.concat(state["kept"], F.array(position)))
+                .otherwise(state["kept"]).alias("kept"),
+                (state["used"] + F.when(taken, trimmed).otherwise(F.lit(0))).alias("used"),
+                F.concat(state["out"], F.array(decision)).alias("out"),
+            )
+
+        return bind(repeated, decide)
+
+    start = F.struct(
+        F.expr("cast(array() as array<int>)").alias("kept"), F.lit(0).alias("used"),
+        F.expr(
+            "cast(array() as array<struct<reason:string,needs_trim:boolean,"
+            "reserved_tokens:int>>)"
+        ).alias("out"),
+    )
+    positions = F.sequence(F.lit(0), F.size(rows) - 1)
+    return F.aggregate(positions, start, step, lambda state: state["out"])
 
 
 def select_evidence(candidates: DataFrame, policy: SelectionPolicy,
                     constraints: DataFrame | None = None) -> DataFrame:
-    """Every candidate exactly once, with ``drop_reason`` (null = selected), ``needs_trim`` and
-    ``reserved_tokens``."""
-    filtered = filter_candidates(candidates, policy, constraints)
-    fields = [*CANDIDATE, "top_similarity", "clean_text", "drop_reason"]
-    grouped = filtered.groupBy("request_id").agg(
-        F.sort_array(F.collect_list(F.struct(*fields))).alias("rows")
+    """Every candidate exactly once, with ``drop_reason`` (null = selected), ``needs_trim``,
+    ``reserved_tokens``, and whether its text gives instructions (``injected``).
+
+    Texts do not travel with the candidates: what the checks ask of them are flags, what the fold
+    compares are the hashed shingles of candidates that passed, and the texts join the result.
+    """
+    rows, facts = _keyed(candidates, policy)
+    checked = _checked(rows, facts, policy, constraints)
+    passed = F.when(F.col("drop_reason").isNull(), F.col("text_key"))
+    compared = facts.select(F.col("text_key").alias("_passed"), "tokens", "all", "key")
+    fields = [*[c for c in CANDIDATE if c != "chunk_text"], "text_key", "top_similarity", "injected",
+              "drop_reason"]
+    grouped = checked.join(compared, passed == F.col("_passed"), "left").groupBy("request_id").agg(
+        F.sort_array(F.collect_list(F.struct(*fields, "tokens", "all", "key"))).alias("rows")
     )
     decided = grouped.select(
         "request_id", "rows", _fold(F.col("rows"), policy).alias("d")
     ).select("request_id", F.explode(F.arrays_zip("rows", "d")).alias("z"))
     kept = [f for f in fields if f != "drop_reason"]
-    return decided.select(
+    return _with_texts(decided.select(
         "request_id", *[F.col(f"z.rows.{f}").alias(f) for f in kept],
         F.col("z.d.reason").alias("drop_reason"),
         F.col("z.d.needs_trim").alias("needs_trim"),
         F.col("z.d.reserved_tokens").alias("reserved_tokens"),
-    )
+    ), facts)
 
 
 def selected(judged: DataFrame) -> DataFrame:
-    return judged.where(F.col("drop_reason").isNull()).drop("drop_reason", "clean_text")
+    return judged.where(F.col("drop_reason").isNull()).drop("drop_reason", "clean_text", "injected")
 
 
 def drop_events(judged: DataFrame) -> DataFrame:
@@ -301,7 +325,7 @@ def selection_metrics(judged: DataFrame, requests: DataFrame,
         F.count_if(after_filters).alias("after_filters"),
         F.count_if(after_cap).alias("after_cap"),
         F.sum("reserved_tokens").alias("tokens"),
-        F.count_if(readable & tx.has_injection(F.col("clean_text"))).alias("injected"),
+        F.count_if(readable & F.coalesce("injected", F.lit(False))).alias("injected"),
         F.size(numbers).alias("numbers"),
         F.max("top_similarity").alias("top_similarity"),
     )
