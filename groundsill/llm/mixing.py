@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from groundsill.llm.tables import free_name
 from groundsill.session import materialize
 
 PART_MEAN = 8
@@ -74,25 +75,25 @@ def mix(documents: DataFrame, weights: DataFrame | None = None, rows: int | None
     by its text instead; rows that repeat an id draw the same number.
     """
     base = documents.drop("copy", "n_copies", "mix_key")
+    of, parts, sums = (free_name(base, f"mix_{n}") for n in ("source", "parts", "sums"))
     # Stored, so that its size is known and Spark broadcasts it only if it is small.
     table = materialize(rates(base, weights, rows, source_col)).select(
-        F.col("source").alias("_mix_source"), F.col("parts").alias("_mix_parts"),
-        F.col("sums").alias("_mix_sums"))
+        F.col("source").alias(of), F.col("parts").alias(parts), F.col("sums").alias(sums))
     key = F.coalesce(F.col(id_col).cast("string"),
                      F.concat(F.lit("text "), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
 
     def drawn(part: Column) -> Column:
         u = uniform(F.lit(str(seed)), key, part.cast("string"))
         return F.aggregate(
-            F.col("_mix_sums"), F.lit(0), lambda n, s: n + F.when(s <= u, 1).otherwise(0))
+            F.col(sums), F.lit(0), lambda n, s: n + F.when(s <= u, 1).otherwise(0))
 
     copies = F.aggregate(
-        F.sequence(F.lit(1), F.col("_mix_parts")), F.lit(0), lambda n, part: n + drawn(part))
+        F.sequence(F.lit(1), F.col(parts)), F.lit(0), lambda n, part: n + drawn(part))
     order = F.conv(F.substring(F.md5(F.concat_ws(
         ":", F.lit(f"{seed} order"), key, F.col("copy").cast("string"))), 1, 15), 16, 10)
     return (
-        base.join(table, F.col(source_col).eqNullSafe(F.col("_mix_source")))
-        .withColumn("n_copies", copies).drop("_mix_source", "_mix_parts", "_mix_sums")
+        base.join(table, F.col(source_col).eqNullSafe(F.col(of)))
+        .withColumn("n_copies", copies).drop(of, parts, sums)
         .where("n_copies > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
         .withColumn("mix_key", order.cast("bigint"))

@@ -8,6 +8,7 @@ import helpers
 import numpy as np
 import pytest
 from compare import connect, difference
+from pyspark.sql import functions as F
 
 from groundsill.llm import decontaminate, langid, mixing, queries, urls
 
@@ -163,6 +164,10 @@ def test_mix_odd_rows(spark):
     assert {(r.doc_id, r.text, r.source) for r in mixed} == set(rows)
     assert len({r.n_copies for r in mixed if r.doc_id == 1}) == 1
     assert mixing.mix(df.limit(0)).collect() == []
+    named = df.withColumns({c: F.lit(5) for c in ("_mix_parts", "mix_source", "MIX_SUMS", "Parts", "have", "rate")})
+    again = mixing.mix(named, rows=500)
+    assert again.columns == [*named.columns, "n_copies", "copy", "mix_key"]
+    assert sorted(r.mix_key for r in again.collect()) == sorted(r.mix_key for r in mixed)
 
 
 def test_language_id_held_out_accuracy(spark):
