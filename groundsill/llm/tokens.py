@@ -18,7 +18,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundsill.llm.tables import in_small_batches
+from groundsill.llm.tables import free_name, in_small_batches
 from groundsill.session import ship_with_tasks
 
 ship_with_tasks(__name__)
@@ -180,18 +180,19 @@ def count_edited(documents: DataFrame, edits: Column, text_col: str = "text",
     added names are replaced.
     """
     added = ["tokens_before", "tokens_after", "n_edits", "n_pretokens", "n_reencoded"]
-    base = in_small_batches(documents).drop(*added).withColumn("_edits", edits.cast(EDITS_TYPE))
-    kept = [c for c in base.columns if c not in (text_col, "_edits")]
+    listed = free_name(documents, "edits")
+    base = in_small_batches(documents).withColumn(listed, edits.cast(EDITS_TYPE)).drop(*added)
+    kept = [c for c in base.columns if c not in (text_col, listed)]
     types = {f.name: f.dataType.simpleString() for f in base.schema.fields}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with_ = tokenizer(vocabulary)
         for batch in batches:
             rows = []
-            for text, listed in zip(batch.column(text_col), batch.column("_edits"), strict=True):
+            for text, wanted in zip(batch.column(text_col), batch.column(listed), strict=True):
                 tree = Tree(text.as_py() or "", with_)
                 before = tree.total()
-                changes = [e for e in listed.as_py() or [] if e is not None]
+                changes = [e for e in wanted.as_py() or [] if e is not None]
                 for e in changes:
                     tree.edit(e["start"] or 0, e["length"] or 0, e["replacement"] or "")
                 rows.append((before, tree.total(), len(changes), tree.pieces(), tree.encoded))

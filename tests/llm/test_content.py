@@ -224,6 +224,10 @@ def test_token_counts_odd_rows(spark):
         (0, 1, whole("q"), 0), (1, 1, 0, whole("a b")), (2, 0, 0, 0), (3, 2, whole("abc"), whole("c z")),
         (4, 0, whole("abc"), whole("abc")), (4, 1, whole("abc"), whole("xabc"))]
     assert tokens.count_edited(df.limit(0), F.col("changes")).collect() == []
+    named = df.withColumn("_edits", F.lit(1)).withColumnRenamed("changes", "Edits")
+    again = tokens.count_edited(named, F.col("Edits"))
+    assert again.columns[:4] == ["doc_id", "Edits", "_edits", "tokens_before"]
+    assert sorted(r.tokens_after for r in again.collect()) == sorted(r[3] for r in got)
 
 
 def brute(vectors: np.ndarray, ids: np.ndarray, query: int, k: int) -> list[int]:
