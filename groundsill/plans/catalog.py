@@ -93,12 +93,12 @@ def register(fn: Callable[[Stages], DataFrame]) -> Callable[[Stages], DataFrame]
 # --- CSV lines ---------------------------------------------------------------------------
 @register
 def gold_csv_scan(s: Stages) -> DataFrame:
-    return gold.good_rows(gold.parse_lines(s.input("csv_lines").select("line"), "incident"), "incident")
+    return gold.good_rows(gold.parse_lines(s.csv_lines, "incident"), "incident")
 
 
 @register
 def gold_corrupt_split(s: Stages) -> DataFrame:
-    return gold.rejected_lines(gold.parse_lines(s.input("csv_lines").select("line"), "incident"))
+    return gold.rejected_lines(gold.parse_lines(s.csv_lines, "incident"))
 
 
 # --- knowledge ---------------------------------------------------------------------------

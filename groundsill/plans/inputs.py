@@ -208,12 +208,11 @@ def build(d: Dialect) -> dict[str, str]:
         for c in GOLD_COLUMNS["incident"])
     few = " || ',' || ".join(f"coalesce({c}, '')" for c in GOLD_COLUMNS["incident"][:4])
     q["csv_lines"] = f"""
-        SELECT incident_key, damage, CASE damage WHEN 'more' THEN {quoted} || ',"extra",more'
-            WHEN 'fewer' THEN {few}
-            WHEN 'open' THEN {quoted} || ',"never closed'
+        SELECT incident_key, damage, CASE damage WHEN 'fewer' THEN {few}
             WHEN 'blank' THEN repeat(' ', CAST(incident_key % 3 AS INT))
             WHEN 'header' THEN '{",".join(GOLD_COLUMNS["incident"])}'
-            ELSE {quoted} END AS line
+            ELSE {quoted} || CASE damage WHEN 'more' THEN ',"extra",more'
+              WHEN 'open' THEN ',"never closed' ELSE '' END END AS line
         FROM csv_incidents"""
 
     # Knowledge and chunks by document: five types, some missing, some texts not worth keeping.

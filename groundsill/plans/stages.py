@@ -86,6 +86,11 @@ class Stages:
     def gold(self) -> dict[str, DataFrame]:
         return {kind: self.input(f"gold_{kind}") for kind in knowledge.NARRATORS}
 
+    @cached_property
+    def csv_lines(self) -> DataFrame:
+        # Written once, as lines come: rows to be parsed, not expressions over their fields.
+        return materialize(self.input("csv_lines").select("line"))
+
     @cached_property
     def knowledge(self) -> DataFrame:
         return knowledge.knowledge_union(self.gold)
