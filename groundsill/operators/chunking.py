@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from groundsill import fixed
 from groundsill.functions import text as tx
@@ -236,6 +237,33 @@ def merge_token_sketches(stored: DataFrame, items: int = SKETCH_ITEMS) -> DataFr
         quantile(0.95).alias("p95_tokens"), "max_tokens")
 
 
+def token_counts(chunks: DataFrame, part: str = "event_date") -> DataFrame:
+    """How many chunks of a type and ``part`` have how many tokens: what exact statistics are merged
+    from. Bounded by the distinct counts, that is by the longest text, not by the rows."""
+    return chunks.groupBy("knowledge_type_effective", part, "chunk_token_count").agg(
+        F.count("*").alias("rows"))
+
+
+def merge_token_counts(stored: DataFrame) -> DataFrame:
+    """As ``merge_token_sketches``, exact at any size: a quantile is the first value that so many
+    hundredths of the rows do not exceed."""
+    kind, tokens = "knowledge_type_effective", F.col("chunk_token_count")
+    merged = stored.groupBy(kind, "chunk_token_count").agg(F.sum("rows").alias("rows"))
+    known = F.sum(F.when(tokens.isNotNull(), F.col("rows")))
+    ranked = merged.withColumns({
+        "_upto": known.over(Window.partitionBy(kind).orderBy("chunk_token_count")),
+        "_known": known.over(Window.partitionBy(kind))})
+
+    def quantile(hundredths: int) -> Column:
+        place = F.col("_known") - F.expr(f"_known * {100 - hundredths} div 100")
+        return F.min(F.when(F.col("_upto") >= place, tokens)).cast("bigint")
+
+    return ranked.groupBy(kind).agg(
+        F.sum("rows").alias("rows"), F.min(tokens).alias("min_tokens"),
+        quantile(50).alias("p50_tokens"), quantile(95).alias("p95_tokens"),
+        F.max(tokens).alias("max_tokens"))
+
+
 def token_stats(chunks: DataFrame) -> DataFrame:
     """Smallest, median and largest token count by type. The median keeps one counter per
     distinct count, so its state is bounded by the longest text, not by the rows."""

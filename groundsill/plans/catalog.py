@@ -223,8 +223,8 @@ def token_stats(s: Stages) -> DataFrame:
 
 @register
 def token_stats_rollup(s: Stages) -> DataFrame:
-    """Statistics by type merged from one stored sketch a type and day."""
-    return chunking.merge_token_sketches(materialize(chunking.token_sketches(s.chunks)))
+    """Statistics by type merged from the stored token counts of a type and day."""
+    return chunking.merge_token_counts(materialize(chunking.token_counts(s.chunks)))
 
 
 @register

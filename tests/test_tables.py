@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from groundsill.operators import chunking, drift, embedding, index, knowledge, ledgers, quarantine
 from groundsill.operators.numbering import dense_numbers
+from groundsill.plans.catalog import ON_STAGES
 from groundsill.policy import EmbeddingPin, RunLimits
 from groundsill.schemas import CHUNK, EMBEDDING, KNOWLEDGE, enforce
 from groundsill.operators.chunking import all_chunks
@@ -443,6 +444,23 @@ def test_merged_sketches_stay_within_their_rank_error(spark):
     assert tuple(row) == ("sop", 3, 5, 7, 9, 9)
 
 
+def test_token_stats_rollup_is_exact_past_the_size_of_a_sketch(spark):
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "sop").otherwise("incident").alias("knowledge_type_effective"),
+        F.expr("date_add(date'2024-01-01', cast(id % 4 as int))").alias("event_date"),
+        F.pmod(F.xxhash64("id"), F.lit(1_000_000)).cast("int").alias("chunk_token_count"))
+    stages = type("Stages", (), {"chunks": rows})
+    found = {r.knowledge_type_effective: r for r in ON_STAGES["token_stats_rollup"](stages).collect()}
+    said = {}
+    for r in rows.collect():
+        said.setdefault(r.knowledge_type_effective, []).append(r.chunk_token_count)
+    for kind, counts in said.items():
+        counts.sort()
+        n = len(counts)
+        assert tuple(found[kind])[1:] == (
+            n, counts[0], counts[-(-n // 2) - 1], counts[-(-n * 95 // 100) - 1], counts[-1])
+
+
 DRIFT = "id string, part int, said array<string>, n double"
 
 
