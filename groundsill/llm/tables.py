@@ -7,32 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from groundsill.llm import bloom
-from groundsill.session import materialize
+from groundsill.session import in_small_batches, materialize
 
-
-BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
-_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+__all__ = ["bounded_sample", "free_name", "in_small_batches", "table", "without"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def in_small_batches(df: DataFrame) -> DataFrame:
-    """``df``, with its session told to hand rows to Python in batches of bounded size.
-
-    A row here can be a whole document. Spark's usual batch of ten thousand rows would stand in the
-    memory of a task three times over: in its own buffers, in Python, and as what Python makes of it.
-    A session that already asks for fewer rows is left alone.
-    """
-    conf = df.sparkSession.conf
-    if not 0 < int(conf.get(_ROWS)) <= BATCH_ROWS:
-        conf.set(_ROWS, str(BATCH_ROWS))
-        conf.set(_BYTES, f"{BATCH_BYTES}b")
-    return df
-
-
 def free_name(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have, also not in other capitals."""
     taken, name = {c.lower() for c in df.columns}, stem

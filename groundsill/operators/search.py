@@ -8,7 +8,9 @@ within a task a rising floor leaves out cells once more. Nothing is approximate:
 structure all cells are visited.
 
 Neighbouring cells share a part, large cells are cut over several, so that parts hold equally many vectors
-whatever the data, and a query travels once to each part it needs, with the list of its cells there.
+whatever the data, and a query travels once to each part it needs. A part's vectors fit into a task. There
+are no more parts than that asks for or than balances what is moved: a part has several tasks, each of
+which holds its vectors and takes a share of the queries. Matrices are bounded by blocks of both sides.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from groundsill.session import materialize, ship_with_tasks
+from groundsill.session import in_small_batches, materialize, ship_with_tasks
 
 ship_with_tasks(__name__)
 
@@ -32,7 +34,12 @@ _SLACK = 1e-9
 # An angle is told from its cosine with an error of up to the root of the cosine's.
 _ANGLE_SLACK = 1e-6
 _QUERY_BLOCK = 256
-_HELD_PAIRS = 1 << 18
+_TILE = 4096
+# Queries and cells, or vectors and pivots, that are looked at together.
+_BOUNDED = 1 << 18
+_TASK_PAIRS = 1 << 27
+PART_BYTES = 32 << 20
+"""What a task holds of the vectors, about three times over while it sorts them."""
 MAX_CELLS = 1024
 MAX_PIVOT_BYTES = 32 << 20
 """What a task and the driver hold of the pivots; wider vectors get fewer of them."""
@@ -50,12 +57,14 @@ class Cells:
     first: np.ndarray
     last: np.ndarray
 
-    def bounds(self, queries: np.ndarray) -> np.ndarray:
+    def bounds(self, queries: np.ndarray, only: np.ndarray | slice = slice(None)) -> np.ndarray:
         """Per query and cell a score that nothing in the cell exceeds; no number for a query that
         has none."""
-        angle = _angles(queries, self.pivots)
-        closest = np.maximum(np.maximum(angle - self.far, self.near - angle) - _ANGLE_SLACK, 0)
-        return np.where(self.count > 0, np.cos(np.minimum(closest, np.pi)) + _SLACK, -np.inf)
+        return self.reach(_angles(queries, self.pivots[only]), only)
+
+    def reach(self, angle: np.ndarray, only: np.ndarray | slice = slice(None)) -> np.ndarray:
+        closest = np.maximum(np.maximum(angle - self.far[only], self.near[only] - angle) - _ANGLE_SLACK, 0)
+        return np.where(self.count[only] > 0, np.cos(np.minimum(closest, np.pi)) + _SLACK, -np.inf)
 
 
 def _angles(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -69,6 +78,26 @@ def _matrix(column: pd.Series, dimension: int) -> np.ndarray:
     return np.stack(column.to_list()).astype(np.float64, copy=False)
 
 
+def _blocks(n: int, width: int) -> Iterator[slice]:
+    """``n`` rows in runs that make no more than ``_BOUNDED`` entries of ``width`` columns."""
+    step = max(_BOUNDED // max(width, 1), 1)
+    return (slice(start, start + step) for start in range(0, n, step))
+
+
+@dataclass(frozen=True)
+class _Part:
+    """The vectors of a task, cell by cell: ``names`` are their ids in order, ``items`` the places of the
+    ids, ``start`` where each of ``cells`` begins. Components are rows, in both precisions; ``rough`` is
+    none where single precision cannot hold them."""
+
+    names: np.ndarray
+    items: np.ndarray
+    exact: np.ndarray
+    rough: np.ndarray | None
+    cells: np.ndarray
+    start: np.ndarray
+
+
 class _Best:
     """The k best vectors seen so far for each query, by (score desc, id asc).
 
@@ -77,41 +106,54 @@ class _Best:
 
     def __init__(self, vectors: np.ndarray, k: np.ndarray, floor: np.ndarray):
         self.vectors, self.k = vectors, k.astype(np.int64)
+        self.exact = np.ascontiguousarray(vectors.T)
+        self.rough = _single(vectors)
+        self.norm = np.linalg.norm(vectors, axis=1) if self.rough is not None else None
         self.cut = floor.copy()
         self.kept = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))]
-        self.pairs = self.held = 0
-
-    def add(self, only: np.ndarray, items: np.ndarray, tile: np.ndarray) -> None:
-        """Vectors of a tile, numbered ``items`` in the order of their ids, for some queries."""
-        for start in range(0, len(only), _QUERY_BLOCK):
-            self._add_block(only[start : start + _QUERY_BLOCK], items, tile)
-            if self.held > _HELD_PAIRS:
-                self._settle()
-
-    def _add_block(self, block: np.ndarray, items: np.ndarray, tile: np.ndarray) -> None:
-        queries, k = self.vectors[block], self.k[block]
-        self.pairs += len(block) * len(items)
-        with np.errstate(invalid="ignore", over="ignore"):
-            approx = tile @ queries.T
-        # A score that is no number is no hit and must not raise the cut.
-        approx[~np.isfinite(approx)] = -np.inf
-        cut, width = self.cut[block], len(items)
+        self.held = 0
+        self.most_held = max(2 * int(self.k.sum()), _TILE)
+
+    def add(self, only: np.ndarray, part: _Part, tile: slice, wanted: np.ndarray | None) -> None:
+        """A tile of a part's vectors for some queries; ``wanted`` says which of the pairs count."""
+        cut, k = self.cut[only], self.k[only]
+        if self.rough is not None and part.rough is not None:
+            # Products of single precision are off by so much at most (dimension x unit x lengths).
+            longest = np.sqrt(np.square(part.rough[:, tile], dtype=np.float64).sum(axis=0).max())
+            unit = (len(part.exact) + 8) * 2.0**-23
+            slack = _SLACK + unit * self.norm[only] * longest
+            near = self.rough[only] @ part.rough[:, tile]
+        else:
+            slack = np.full(len(only), _SLACK)
+            with np.errstate(invalid="ignore", over="ignore"):
+                near = self.vectors[only] @ part.exact[:, tile]
+            # A score that is no number is no hit and must not raise the cut.
+            near[~np.isfinite(near)] = -np.inf
+        if wanted is not None:
+            near[~wanted] = -np.inf
+        width = near.shape[1]
+        passing = (near >= (cut - slack)[:, None]) & (near > -np.inf)
         # The k-th best of this tile alone is a valid lower bound for the k-th best overall.
-        for size in np.unique(k):
-            if 0 < size <= width:
-                same = np.flatnonzero(k == size)
-                kth = np.partition(approx[:, same], width - size, axis=0)[width - size]
-                cut[same] = np.maximum(cut[same], kth)
-        self.cut[block] = cut
-        rows, cols = np.nonzero((approx >= cut - _SLACK) & (approx > -np.inf) & (k > 0))
-        if len(rows) == 0:
+        many = passing.sum(axis=1) > 4 * k
+        for size in np.unique(k[many & (k <= width)]):
+            same = np.flatnonzero(many & (k == size))
+            kth = np.partition(near[same], width - size, axis=1)[:, width - size]
+            cut[same] = np.maximum(cut[same], kth - slack[same])
+            passing[same] &= near[same] >= (cut[same] - slack[same])[:, None]
+        self.cut[only] = cut
+        query, place = np.nonzero(passing)
+        if len(query) == 0:
             return
-        exact = np.zeros(len(rows))
-        for d in range(tile.shape[1]):
-            # Same order and rounding as a plain sum over the array's elements.
-            exact += tile[rows, d] * queries[cols, d]
-        self.kept.append((block[cols], exact, items[rows]))
-        self.held += len(rows)
+        query, place = only[query], place + tile.start
+        exact = np.zeros(len(query))
+        with np.errstate(invalid="ignore", over="ignore"):
+            for mine, theirs in zip(self.exact, part.exact, strict=True):
+                # Same order and rounding as a plain sum over the array's elements.
+                exact += theirs[place] * mine[query]
+        self.kept.append((query, exact, part.items[place]))
+        self.held += len(query)
+        if self.held > self.most_held:
+            self._settle()
 
     def _settle(self) -> None:
         query, score, item = (np.concatenate(c) for c in zip(*self.kept, strict=True))
@@ -128,9 +170,15 @@ class _Best:
         return self.kept[0]
 
 
-_HITS = "query_id string, item_id string, score double, k int, slot int"
+def _single(matrix: np.ndarray) -> np.ndarray | None:
+    """In single precision, or none where that could leave its range (or is no number)."""
+    return matrix.astype(np.float32) if matrix.size == 0 or np.abs(matrix).max() < 1e15 else None
+
+
+_HITS = "query_id string, item_id string, score double, k int"
 _DEALT = "id string, vec array<double>, cell int, angle double"
-_SENT = "part int, id string, vec array<double>, k int, floor double, cells array<int>, pairs bigint"
+_SEEDED = "id string, vec array<double>, k int, seeds array<int>"
+_SENT = "part int, id string, vec array<double>, k int, floor double, seeds array<int>, pairs bigint"
 
 
 @dataclass(frozen=True)
@@ -151,15 +199,17 @@ class Search:
 
 def _deal(vectors: DataFrame, pivots: np.ndarray, dimension: int) -> DataFrame:
     def nearest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            angle = _angles(_matrix(frame["vec"], dimension), pivots)
-            usable = np.isfinite(angle).all(axis=1)
-            angle = angle[usable]
-            cell = angle.argmin(axis=1) if len(angle) else np.zeros(0, np.int64)
-            yield frame[usable].assign(
-                cell=cell.astype("int32"), angle=angle[np.arange(len(angle)), cell])
+        for whole in frames:
+            for block in _blocks(len(whole), len(pivots)):
+                frame = whole.iloc[block]
+                angle = _angles(_matrix(frame["vec"], dimension), pivots)
+                usable = np.isfinite(angle).all(axis=1)
+                angle = angle[usable]
+                cell = angle.argmin(axis=1) if len(angle) else np.zeros(0, np.int64)
+                yield frame[usable].assign(
+                    cell=cell.astype("int32"), angle=angle[np.arange(len(angle)), cell])
 
-    return vectors.mapInPandas(nearest, _DEALT)
+    return in_small_batches(vectors).mapInPandas(nearest, _DEALT)
 
 
 def _chain(pivots: np.ndarray) -> list[int]:
@@ -190,109 +240,155 @@ def _layout(pivots: np.ndarray, stats: list, parts: int) -> Cells:
     return Cells(pivots, near, far, count, first, last)
 
 
-def _send(queries: DataFrame, cells: Cells, dimension: int, seeds: bool) -> DataFrame:
-    """Queries to the parts of the cells they are to visit.
+def _with_seeds(queries: DataFrame, cells: Cells, dimension: int) -> DataFrame:
+    """Queries that can have hits, with the cells they visit first: those of highest bound, nearest pivot
+    first among equal ones, that hold k vectors together."""
 
-    ``seeds``: the cells of highest bound, nearest pivot first among equal ones, that hold k vectors
-    together; otherwise all other cells that can reach the floor.
-    """
+    def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in frames:
+            for block in _blocks(len(whole), len(cells.pivots)):
+                frame = whole.iloc[block]
+                angle, k = _angles(_matrix(frame["vec"], dimension), cells.pivots), frame["k"].to_numpy()
+                usable = np.isfinite(angle).all(axis=1) & (k > 0)
+                frame, angle, k = frame[usable], angle[usable], k[usable]
+                if frame.empty:
+                    continue
+                order = np.lexsort((angle, -cells.reach(angle)), axis=1)
+                count = cells.count[order]
+                first = (np.cumsum(count, axis=1) - count < k[:, None]) & (count > 0)
+                yield frame.assign(seeds=[
+                    one[chosen].astype("int32") for one, chosen in zip(order, first, strict=True)])
+
+    return in_small_batches(queries).mapInPandas(choose, _SEEDED)
+
+
+def _send(queries: DataFrame, cells: Cells, dimension: int, seeds: bool) -> DataFrame:
+    """Queries to the parts of the cells they are to visit: their seeds, or else all other cells that can
+    reach the floor."""
     columns = [c.split()[0] for c in _SENT.split(", ")]
 
     def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            vectors, k = _matrix(frame["vec"], dimension), frame["k"].to_numpy()
-            bound, angle = cells.bounds(vectors), _angles(vectors, cells.pivots)
-            usable = np.isfinite(angle).all(axis=1) & (k > 0)
-            order = np.lexsort((angle, -bound), axis=1)
-            place = np.arange(len(frame))[:, None]
-            held = np.cumsum(cells.count[order], axis=1)
-            early = np.zeros(bound.shape, bool)
-            early[place, order] = held - cells.count[order] < k[:, None]
-            wanted = early if seeds else ~early & (bound >= frame["floor"].to_numpy()[:, None])
-            wanted &= usable[:, None] & (cells.count > 0)
-            q, cell = np.nonzero(wanted)
-            if not len(q):
-                continue
-            # One row per part of each cell, gathered to one row per part and query.
-            span = cells.last[cell] - cells.first[cell] + 1
-            row = np.repeat(np.arange(len(q)), span)
-            step = np.arange(len(row)) - np.repeat(np.cumsum(span) - span, span)
-            q, cell, part = q[row], cell[row], cells.first[cell[row]] + step
-            pairs = np.where(step == 0, cells.count[cell], 0)
-            order = np.lexsort((cell, q, part))
-            q, cell, part, pairs = q[order], cell[order], part[order], pairs[order]
-            edge = np.flatnonzero((np.diff(part) != 0) | (np.diff(q) != 0)) + 1
-            start = np.concatenate([[0], edge])
-            yield frame.iloc[q[start]].assign(
-                part=part[start].astype("int32"), cells=np.split(cell.astype("int32"), edge),
-                pairs=np.add.reduceat(pairs, start))[columns]
-
-    return queries.mapInPandas(choose, _SENT)
-
-
-def _meet(dealt: DataFrame, sent: DataFrame, cells: Cells, parts: int, dimension: int) -> DataFrame:
-    """Hits of each query in each part it was sent to."""
+        for whole in frames:
+            for block in _blocks(len(whole), len(cells.pivots)):
+                frame = whole.iloc[block]
+                wanted = np.zeros((len(frame), len(cells.pivots)), bool)
+                for one, chosen in zip(wanted, frame["seeds"], strict=True):
+                    one[np.asarray(chosen, np.int64)] = True
+                if not seeds:
+                    bound = cells.bounds(_matrix(frame["vec"], dimension))
+                    wanted = ~wanted & (bound >= frame["floor"].to_numpy()[:, None]) & (cells.count > 0)
+                q, cell = np.nonzero(wanted)
+                if not len(q):
+                    continue
+                # One row per part of each cell, gathered to one row per part and query.
+                span = cells.last[cell] - cells.first[cell] + 1
+                row = np.repeat(np.arange(len(q)), span)
+                step = np.arange(len(row)) - np.repeat(np.cumsum(span) - span, span)
+                q, cell, part = q[row], cell[row], cells.first[cell[row]] + step
+                pairs = np.where(step == 0, cells.count[cell], 0)
+                order = np.lexsort((q, part))
+                q, part, pairs = q[order], part[order], pairs[order]
+                start = np.flatnonzero(np.append(True, (np.diff(part) != 0) | (np.diff(q) != 0)))
+                yield frame.iloc[q[start]].assign(
+                    part=part[start].astype("int32"), pairs=np.add.reduceat(pairs, start))[columns]
+
+    return in_small_batches(queries).mapInPandas(choose, _SENT)
+
+
+def _meet(dealt: DataFrame, sent: DataFrame, cells: Cells, parts: int, dimension: int,
+          seeds: bool, slices: int = 1) -> DataFrame:
+    """Hits of each query in each part it was sent to. A part has ``slices`` tasks: its vectors go to
+    all of them, each of its queries to one."""
     spans = [[c, int(a), int(b - a + 1)] for c, (a, b) in enumerate(
         zip(cells.first, cells.last, strict=True))]
     spark = dealt.sparkSession
     where = spark.createDataFrame(spans, "cell int, first int, parts int")
-    v = dealt.join(F.broadcast(where), "cell").select(
-        (F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts"))).cast("int").alias("part"),
+    part = F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts"))
+    copies = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
+    v = dealt.join(F.broadcast(where), "cell").withColumn("slice", copies).select(
+        (part * slices + F.col("slice")).cast("int").alias("task"),
         F.lit(0).alias("asks"), "id", "vec", F.lit(0).alias("k"), F.lit(0.0).alias("floor"),
-        F.array("cell").alias("cells"))
-    q = sent.select("part", F.lit(1).alias("asks"), "id", "vec", "k", "floor", "cells")
-    slots = max(1, int(parts**0.5))
+        F.array("cell").alias("seeds"))
+    q = sent.select(
+        (F.col("part") * slices + F.pmod(F.xxhash64("id"), F.lit(slices))).cast("int").alias("task"),
+        F.lit(1).alias("asks"), "id", "vec", "k", "floor", "seeds")
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, held, tiles, names = None, [], {}, None
+        task, held, part = None, [], None
         for frame in frames:
-            for (at, asks), rows in frame.groupby(["part", "asks"], sort=False):
-                if at != part:
-                    part, held, tiles, names = at, [], {}, None
+            for (at, asks), rows in frame.groupby(["task", "asks"], sort=False):
+                if at != task:
+                    task, held, part = at, [], None
                 if not asks:
                     held.append((rows["id"].to_numpy(), _matrix(rows["vec"], dimension),
-                                 np.array([c[0] for c in rows["cells"]])))
+                                 np.array([c[0] for c in rows["seeds"]])))
                     continue
-                if names is None and held:
-                    names, tiles = _tiles(held)
-                    held = []
-                if not tiles:
+                if held:
+                    part, held = _part(held), []
+                if part is None:
                     continue
-                yield _answers(rows, tiles, names, cells, dimension, int(at) % slots)
+                for start in range(0, len(rows), _QUERY_BLOCK):
+                    yield _answers(rows.iloc[start : start + _QUERY_BLOCK], part, cells, dimension, seeds)
 
-    return (
-        v.unionByName(q).repartitionById(parts, "part").sortWithinPartitions("part", "asks")
-        .mapInPandas(score, _HITS))
+    both = v.unionByName(q).repartitionById(parts * slices, "task").sortWithinPartitions("task", "asks")
+    return in_small_batches(both).mapInPandas(score, _HITS)
 
 
-def _tiles(held: list) -> tuple[np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]]]:
-    """The ids of a part in order, and per cell its vectors with the places of their ids."""
+def _part(held: list) -> _Part:
     ids = np.concatenate([h[0] for h in held]).astype(object)
-    vectors = np.concatenate([h[1] for h in held])
     cell = np.concatenate([h[2] for h in held])
-    order = sorted(range(len(ids)), key=ids.__getitem__)
-    names, vectors, cell = ids[order], vectors[order], cell[order]
-    return names, {int(c): (np.flatnonzero(cell == c), vectors[cell == c]) for c in np.unique(cell)}
+    by_id = sorted(range(len(ids)), key=ids.__getitem__)
+    item = np.empty(len(ids), np.int64)
+    item[by_id] = np.arange(len(ids))
+    order = np.lexsort((item, cell))
+    exact = np.ascontiguousarray(np.concatenate([h[1] for h in held])[order].T)
+    present, start = np.unique(cell[order], return_index=True)
+    return _Part(ids[by_id], item[order], exact, _single(exact), present, np.append(start, len(ids)))
 
 
-def _answers(rows: pd.DataFrame, tiles: dict, names: np.ndarray, cells: Cells, dimension: int,
-             slot: int) -> pd.DataFrame:
+def _answers(rows: pd.DataFrame, part: _Part, cells: Cells, dimension: int,
+             seeds: bool) -> pd.DataFrame:
     vectors, k = _matrix(rows["vec"], dimension), rows["k"].to_numpy()
     best = _Best(vectors, k, rows["floor"].to_numpy())
-    bound = cells.bounds(vectors)
+    bound = cells.bounds(vectors, part.cells)
     wanted = np.zeros(bound.shape, bool)
-    for q, chosen in enumerate(rows["cells"]):
-        wanted[q, np.asarray(chosen)] = True
-    # Cells of high bounds first, so that the cut rises early.
-    here = sorted(tiles, key=lambda c: -np.where(wanted[:, c], bound[:, c], 0).sum())
-    for cell in here:
-        only = np.flatnonzero(wanted[:, cell] & (bound[:, cell] >= best.cut - _SLACK))
-        if len(only):
-            best.add(only, *tiles[cell])
+    for one, chosen in zip(wanted, rows["seeds"], strict=True):
+        one[:] = np.isin(part.cells, chosen)
+    if not seeds:
+        wanted = ~wanted & (bound >= best.cut[:, None])
+    # Cells of high bounds first, so that the cut rises early; runs of cells where most are wanted.
+    if wanted.mean() > 0.5:
+        size = np.diff(part.start)
+        run = np.cumsum(size) // _TILE
+        runs = [np.flatnonzero(run == r) for r in np.unique(run)]
+    else:
+        gain = np.where(wanted, bound, 0).sum(axis=0)
+        runs = [np.array([c]) for c in np.argsort(-gain) if wanted[:, c].any()]
+    for run in runs:
+        mine = wanted[:, run] & (bound[:, run] >= best.cut[:, None] - _SLACK)
+        only = np.flatnonzero(mine.any(axis=1))
+        if not len(only):
+            continue
+        mine, first, end = wanted[np.ix_(only, run)], part.start[run[0]], part.start[run[-1] + 1]
+        pairs = None if mine.all() else np.repeat(mine, np.diff(part.start)[run], axis=1)
+        for start in range(first, end, _TILE):
+            tile = slice(start, min(start + _TILE, end))
+            best.add(only, part, tile, None if pairs is None else pairs[:, start - first : tile.stop - first])
     query, score, item = best.result()
     return pd.DataFrame({
-        "query_id": rows["id"].to_numpy()[query], "item_id": names[item], "score": score,
-        "k": k[query].astype("int32"), "slot": np.full(len(query), slot, "int32")})
+        "query_id": rows["id"].to_numpy()[query], "item_id": part.names[item], "score": score,
+        "k": k[query].astype("int32")})
+
+
+def _split(vectors: int, queries: int, wanted: int, dimension: int, tasks: int, least: int) -> tuple[int, int]:
+    """Parts and slices of the second round: as many tasks as the pairs are worth, ``least`` at least and
+    ``tasks`` at most. Vectors are copied per slice, queries and their hits per part; what is moved in
+    all is least where both weigh the same. A part is never larger than ``PART_BYTES``."""
+    count = max(min(-(-vectors * queries // _TASK_PAIRS), tasks), min(least, tasks), 1)
+    row = 8 * dimension + 100
+    parts = round((count * vectors * row / max(queries * row + wanted * 100, 1)) ** 0.5)
+    parts = max(min(parts, count), -(-vectors * 8 * dimension // PART_BYTES), 1)
+    return parts, max(round(count / parts), 1)
 
 
 def search(queries: DataFrame, vectors: DataFrame, dimension: int, *,
@@ -304,9 +400,9 @@ def search(queries: DataFrame, vectors: DataFrame, dimension: int, *,
 
     Both sides must hold unit vectors of ``dimension`` and unique ids; ``k`` is a column, so
     every query asks for its own number. Hits have query id, ``rank`` from 0, item id and
-    ``similarity``. ``partitions`` (by default ``spark.sql.shuffle.partitions``) is to be set so
-    that a partition's vectors fit into a task; queries only pass through. ``cells`` is the number of
-    pivots, vectors that a hash of their ids puts first: at most ``MAX_CELLS``, and no more than fit
+    ``similarity``. ``partitions`` (by default ``spark.sql.shuffle.partitions``) is the number of tasks,
+    more if a task's vectors would take over ``PART_BYTES``; queries only pass through. ``cells`` is the
+    number of pivots, vectors that a hash of their ids puts first: at most ``MAX_CELLS``, and no more than fit
     ``MAX_PIVOT_BYTES``; by default four a partition, 16 at least. A vector with a component that is no
     finite number is no hit; a query that has one, or has no vector, gets none.
 
@@ -314,13 +410,13 @@ def search(queries: DataFrame, vectors: DataFrame, dimension: int, *,
     round of visits.
     """
     spark = vectors.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     v = vectors.select(
         F.col(item_id).cast("string").alias("id"), F.col(item_vector).cast("array<double>").alias("vec"))
     q = queries.where(F.col(query_vector).isNotNull()).select(
         F.col(query_id).cast("string").alias("id"),
         F.col(query_vector).cast("array<double>").alias("vec"), F.col(k).cast("int").alias("k"))
-    most = min(cells or max(4 * parts, 16), MAX_CELLS, max(MAX_PIVOT_BYTES // (8 * dimension), 1))
+    most = min(cells or max(4 * tasks, 16), MAX_CELLS, max(MAX_PIVOT_BYTES // (8 * dimension), 1))
     finite = ~F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     sample = v.where(finite).orderBy(F.xxhash64("id"), "id").limit(most).toPandas()
     if sample.empty:
@@ -333,27 +429,32 @@ def search(queries: DataFrame, vectors: DataFrame, dimension: int, *,
     dealt = materialize(_deal(v, pivots, dimension))
     stats = dealt.groupBy("cell").agg(
         F.count("*").alias("n"), F.min("angle").alias("near"), F.max("angle").alias("far")).collect()
-    laid = _layout(pivots, stats, parts)
+    n = sum(row.n for row in stats)
     dealt = dealt.drop("angle")
 
-    # Written once: the queries with their vectors are sent out two times.
-    q = materialize(q)
+    most = max(tasks, -(-n * 8 * dimension // PART_BYTES))
+    laid = _layout(pivots, stats, most)
+    # Written once: the queries with their vectors are sent out two times, and what a query has seen in
+    # the first round must be what it leaves out in the second.
+    q = materialize(_with_seeds(q, laid, dimension))
+    asked = q.agg(F.count("*").alias("n"), F.coalesce(F.sum("k"), F.lit(0)).alias("k")).first()
     no_floor = F.lit(float("-inf"))
     seeds = _send(q.withColumn("floor", no_floor), laid, dimension, seeds=True)
     # Written once: their k-th score is the floor of the second round, and they are hits themselves.
-    early = materialize(_merge(_meet(dealt, seeds, laid, parts, dimension)))
+    early = materialize(_merge(_meet(dealt, seeds, laid, most, dimension, seeds=True)))
     floors = early.groupBy("query_id").agg(
         F.when(F.count("*") >= F.max("k"), F.min("score")).alias("floor"))
     again = q.join(floors, q["id"] == floors["query_id"], "left").select(
-        "id", "vec", "k", F.coalesce("floor", no_floor).alias("floor"))
+        "id", "vec", "k", "seeds", F.coalesce("floor", no_floor).alias("floor"))
+    parts, slices = _split(n, asked.n, asked.k, dimension, tasks, spark.sparkContext.defaultParallelism)
+    laid = _layout(pivots, stats, parts)
     sent = _send(again, laid, dimension, seeds=False)
-    late = _meet(dealt, sent, laid, parts, dimension)
-    hits = _merge(early.select("query_id", "item_id", "score", "k", F.lit(0).alias("slot"))
-                  .unionByName(late)).select(
+    late = _meet(dealt, sent, laid, parts, dimension, seeds=False, slices=slices)
+    hits = _merge(early.select("query_id", "item_id", "score", "k").unionByName(late)).select(
         F.col("query_id").alias(query_id), "rank", F.col("item_id").alias(item_id),
         F.col("score").alias("similarity"))
     visits = seeds.unionByName(sent).select(F.col("id").alias("query_id"), "pairs")
-    return Search(hits, visits, int(laid.count.sum()))
+    return Search(hits, visits, n)
 
 
 def knn_topk(queries: DataFrame, vectors: DataFrame, dimension: int, **columns) -> DataFrame:
@@ -362,18 +463,9 @@ def knn_topk(queries: DataFrame, vectors: DataFrame, dimension: int, **columns)
 
 
 def _merge(hits: DataFrame) -> DataFrame:
-    """Fold task-level hits to the final k per query.
-
-    With very many tasks a single query collects (tasks x k) rows, so they are first cut per
-    (query, slot), which spreads one query over ``slots`` reducers.
-    """
-    order = [F.col("score").desc(), F.col("item_id")]
-    per_slot = Window.partitionBy("query_id", "slot").orderBy(*order)
-    cut = hits.withColumn("_n", F.row_number().over(per_slot)).where(F.col("_n") <= F.col("k"))
-    overall = Window.partitionBy("query_id").orderBy(*order)
-    return (
-        cut.withColumn("rank", F.row_number().over(overall) - 1).where(F.col("rank") < F.col("k"))
-    )
+    """Fold the hits of parts to the final k per query; a query has k per part at most."""
+    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("item_id"))
+    return hits.withColumn("rank", F.row_number().over(best) - 1).where(F.col("rank") < F.col("k"))
 
 
 def resolve(hits: DataFrame, export: DataFrame, item_id: str = "chunk_id") -> DataFrame:

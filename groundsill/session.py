@@ -21,6 +21,10 @@ RECOMMENDED_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def build_session(app: str = "groundsill", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the recommended settings; keyword names use ``__`` for dots."""
@@ -72,3 +76,17 @@ def materialize(df: DataFrame) -> DataFrame:
     path = new_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with its session told to hand rows to Python in batches of bounded size.
+
+    A row can be a whole document or a wide vector. Spark's usual batch of ten thousand rows would stand in
+    the memory of a task three times over: in its own buffers, in Python, and as what Python makes of it.
+    A session that already asks for fewer rows is left alone.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_ROWS)) <= BATCH_ROWS:
+        conf.set(_ROWS, str(BATCH_ROWS))
+        conf.set(_BYTES, f"{BATCH_BYTES}b")
+    return df

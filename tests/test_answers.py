@@ -117,6 +117,44 @@ def test_bounds_leave_out_most_pairs_of_clustered_vectors(spark):
     assert search.search(asked, vectors(spark, rough), 16, partitions=8).share() <= 1
 
 
+def test_queries_travel_to_few_parts_however_many_tasks_there_are(spark):
+    rng = np.random.default_rng(8)
+    matrix = unit(rng.normal(size=(800, 16)))
+    asked = vectors(spark, matrix[::37], "q").toDF("request_id", "query_vector").withColumn(
+        "candidate_k", F.lit(10))
+    found = search.search(asked, vectors(spark, matrix), 16, partitions=64)
+    journeys = [r["n"] for r in found.visits.groupBy("query_id").agg(F.count("*").alias("n")).collect()]
+    assert len(journeys) == 22 and max(journeys) <= 24
+
+
+@pytest.mark.parametrize("times", [1, 6, 60])
+def test_parts_fit_into_a_task_at_any_size(times):
+    parts, slices = search._split(65_000 * times, 60_000 * times, 1_500_000 * times, 64, 100, 12)
+    assert 65_000 * times * 64 * 8 / parts <= search.PART_BYTES and parts * slices >= 24
+    assert parts <= max(10, 65_000 * times * 64 * 8 // search.PART_BYTES + 1)
+
+
+def test_a_frame_of_queries_is_looked_at_in_bounded_blocks():
+    blocks = list(search._blocks(10_000, 1024))
+    assert max(b.stop - b.start for b in blocks) * 1024 <= 1 << 18
+    assert blocks[0].start == 0 and blocks[-1].stop >= 10_000
+
+
+def test_single_precision_only_narrows_what_is_scored_exactly():
+    rng = np.random.default_rng(9)
+    centre = unit(rng.normal(size=(1, 24)))
+    matrix = unit(centre + 1e-8 * rng.normal(size=(500, 24)))
+    part = search._part([(np.array([f"v{i:04d}" for i in range(500)]), matrix, np.zeros(500, int))])
+    best = search._Best(matrix[:3], np.array([5, 1, 40]), np.full(3, -np.inf))
+    for start in range(0, 500, 200):
+        best.add(np.arange(3), part, slice(start, min(start + 200, 500)), None)
+    query, score, item = best.result()
+    expected = brute_force(matrix[:3], [5, 1, 40], matrix)
+    for q in range(3):
+        assert [(part.names[i], s) for s, i in zip(score[query == q], item[query == q])] == expected[
+            f"q{q:04d}"]
+
+
 def test_no_bound_is_below_a_score():
     rng = np.random.default_rng(6)
     matrix, pivots = unit(rng.normal(size=(400, 6))), unit(rng.normal(size=(9, 6)))
