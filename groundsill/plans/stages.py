@@ -66,6 +66,12 @@ def faulty(candidates: DataFrame) -> DataFrame:
     )
 
 
+def texts_of_selected(judged: DataFrame) -> DataFrame:
+    """What is stored of a selection: every candidate, and the text of those that became evidence."""
+    return judged.drop("clean_text").withColumn(
+        "chunk_text", F.when(F.col("drop_reason").isNull(), F.col("chunk_text")))
+
+
 class Stages:
     """Lazily built DataFrames; each is derived from the whole of its inputs."""
 
@@ -159,7 +165,9 @@ class Stages:
 
     @cached_property
     def judged(self) -> DataFrame:
-        return retrieval.judge(self.resolved, self.accepted, RETRIEVAL)
+        # Without texts: a request has five candidates for every result it can return.
+        narrow = search.resolve(self.hits, self.export.drop("chunk_text"))
+        return retrieval.judge(narrow, self.accepted, RETRIEVAL)
 
     @cached_property
     def summary(self) -> DataFrame:
@@ -180,7 +188,9 @@ class Stages:
     @cached_property
     def served(self) -> DataFrame:
         """What each request is answered from: the rows of its date, or else its best vector hits."""
-        vector = retrieval.top_results(self.judged).withColumn("rank", F.col("survivor_rank"))
+        texts = self.export.select("chunk_id", "chunk_text")
+        vector = retrieval.top_results(self.judged).withColumn("rank", F.col("survivor_rank")).join(
+            texts, "chunk_id", "left")
         return retrieval.routed_results(self.fallback, self.structured, vector)
 
     @cached_property
@@ -202,9 +212,8 @@ class Stages:
     @cached_property
     def selection(self) -> DataFrame:
         # Written once: metrics and evidence are two readings of it.
-        return materialize(
-            selection.select_evidence(self.candidates, POLICY, self.constraints)
-        )
+        return materialize(texts_of_selected(
+            selection.select_evidence(self.candidates, POLICY, self.constraints)))
 
     @cached_property
     def metrics(self) -> DataFrame:
@@ -222,9 +231,8 @@ class Stages:
     @cached_property
     def answer_selection(self) -> DataFrame:
         # Written once: metrics and evidence are two readings of it.
-        return materialize(
-            selection.select_evidence(self.served, POLICY, self.answer_constraints)
-        )
+        return materialize(texts_of_selected(
+            selection.select_evidence(self.served, POLICY, self.answer_constraints)))
 
     @cached_property
     def answer_metrics(self) -> DataFrame:

@@ -12,6 +12,7 @@ from groundsill import fixed
 from groundsill.functions import vectors as vx
 from groundsill.operators import assembly, grounding, requests, response, retrieval, search
 from groundsill.operators import selection as sel
+from groundsill.plans.stages import Stages, texts_of_selected
 from groundsill.policy import GateConfig, RetrievalConfig, SelectionPolicy
 
 # --- search ------------------------------------------------------------------------------
@@ -188,6 +189,36 @@ def test_fewer_vectors_than_k_and_k_zero(spark):
     assert len(found["q0000"]) == 4 and "q0001" not in found
 
 
+def test_texts_join_results_and_do_not_travel_with_candidates(spark):
+    stages = Stages(spark, "nowhere")
+    stages.hits = spark.createDataFrame(
+        [("q", i, f"c{i}", 0.9 - i / 100) for i in range(6)],
+        "request_id string, rank int, chunk_id string, similarity double")
+    stages.export = spark.createDataFrame(
+        [(f"c{i}", i, [1.0], f"k{i}", "sop", None, None, "s", f"text {i}") for i in range(6)],
+        "chunk_id string, vector_id bigint, unit_vector array<double>, knowledge_id string,"
+        " knowledge_type string, event_date date, equipment_id string, source_reference string,"
+        " chunk_text string")
+    stages.accepted = spark.createDataFrame(
+        [("q", 2, None, None, None, None, None)],
+        "request_id string, top_k int, type_filter array<string>, equipment_filter array<string>,"
+        " event_date_start date, event_date_end date, min_similarity_override double")
+    stages.fallback = spark.createDataFrame([("q", "vector")], "request_id string, router string")
+    stages.structured = spark.createDataFrame(
+        [], "request_id string, rank int, chunk_id string, similarity double, knowledge_id string,"
+        " knowledge_type string, equipment_id string, event_date date, chunk_text string,"
+        " source_reference string")
+    assert "chunk_text" not in stages.judged.columns
+    assert sorted((r.rank, r.chunk_id, r.chunk_text) for r in stages.served.collect()) == [
+        (0, "c0", "text 0"), (1, "c1", "text 1")]
+    judged = spark.createDataFrame(
+        [("c0", None, "a", "a"), ("c1", "DROP_BUDGET", "b", "b")],
+        "chunk_id string, drop_reason string, chunk_text string, clean_text string")
+    kept = texts_of_selected(judged)
+    assert "clean_text" not in kept.columns
+    assert {r.chunk_id: r.chunk_text for r in kept.collect()} == {"c0": "a", "c1": None}
+
+
 def test_unresolved_hit_is_kept_and_can_fail_the_job(spark):
     hits = spark.createDataFrame([("q", 0, "a", 0.9), ("q", 1, "zz", 0.8)],
                                  "request_id string, rank int, chunk_id string, similarity double")
