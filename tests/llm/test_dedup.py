@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import helpers
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
@@ -193,3 +194,12 @@ def test_substring_told_apart_under_one_id(spark, window):
         words = kept[r.doc_id, r.again] if r.doc_id is not None else r.again.split()
         assert r.kept_sha256 == hashlib.sha256(" ".join(words).encode()).hexdigest(), (r.doc_id, r.again)
         assert r.n_words - r.n_removed == len(words) and r["copy"] == 5
+
+
+def test_suffix_blocks_hold_a_megabyte_of_text_at_most():
+    text = " ".join(f"w{i:04d}" for i in range(16_000))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(40), pa.int64()), pa.array([0] * 40, pa.int64()), pa.array([text] * 40)],
+        ["doc", "copy", "text"])
+    blocks = [len(b.at) for b in substring._blocks(batch, 20)]
+    assert sum(blocks) == 40 * (16_000 - 19) and max(blocks) <= (1 << 20) // 6
