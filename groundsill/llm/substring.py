@@ -18,6 +18,7 @@ input, not once per copy. Leaves move as packed columns, one row per slice and g
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -86,13 +87,15 @@ class _Block:
 
 
 def _blocks(batch: pa.RecordBatch, window: int) -> Iterator[_Block]:
-    """The rows in blocks of about ``BLOCK_BYTES``, each in id order."""
+    """The rows in as few blocks of about ``BLOCK_BYTES`` as it takes, equally large give or take a row,
+    each in id order."""
     sizes = pa.compute.binary_length(batch.column("text").cast(pa.binary())).fill_null(0)
-    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False))
-    row = 0
-    while row < len(batch):
-        most = (ends[row - 1] if row else 0) + BLOCK_BYTES
-        end = max(int(np.searchsorted(ends, most, "right")), row + 1)
+    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
+    total = int(ends[-1]) if len(batch) else 0
+    n = max(-(-total // BLOCK_BYTES), 1)
+    cuts = np.searchsorted(ends, total * np.arange(1, n) / n) + 1
+    edges = np.unique(np.concatenate([[0], cuts, [len(batch)]])).tolist()
+    for row, end in itertools.pairwise(edges):
         part = batch.slice(row, end - row)
         part = part.filter(part.column("doc").is_valid())
         part = part.take(pa.compute.sort_indices(
@@ -102,7 +105,6 @@ def _blocks(batch: pa.RecordBatch, window: int) -> Iterator[_Block]:
         if hashed:
             yield _Block(part.column("doc").to_numpy(), part.column("copy").to_numpy(),
                          together(hashed), window)
-        row = end
 
 
 def _several(documents: DataFrame, id_col: str, text_col: str) -> DataFrame | None:

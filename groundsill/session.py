@@ -21,7 +21,7 @@ RECOMMENDED_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 2 << 20
 _ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -83,7 +83,8 @@ def in_small_batches(df: DataFrame) -> DataFrame:
 
     A row can be a whole document or a wide vector. Spark's usual batch of ten thousand rows would stand in
     the memory of a task three times over: in its own buffers, in Python, and as what Python makes of it.
-    A session that already asks for fewer rows is left alone.
+    Most of that lies outside the heap and comes on top of it. A session that already asks for fewer rows
+    is left alone.
     """
     conf = df.sparkSession.conf
     if not 0 < int(conf.get(_ROWS)) <= BATCH_ROWS:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from groundsill.llm import bloom, minhash, queries, substring
 from groundsill.llm.components import components
-from groundsill.llm.tables import without
+from groundsill.llm.tables import in_small_batches, without
 
 DOCS = "doc_id bigint, text string"
 
@@ -203,3 +203,30 @@ def test_suffix_blocks_hold_a_megabyte_of_text_at_most():
         ["doc", "copy", "text"])
     blocks = [len(b.at) for b in substring._blocks(batch, 20)]
     assert sum(blocks) == 40 * (16_000 - 19) and max(blocks) <= (1 << 20) // 6
+
+
+def test_suffix_blocks_of_a_batch_are_equally_large():
+    text = " ".join(f"w{i:04d}" for i in range(1_000))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(400), pa.int64()), pa.array([0] * 400, pa.int64()), pa.array([text] * 400)],
+        ["doc", "copy", "text"])
+    blocks = [len(b.at) for b in substring._blocks(batch, 20)]
+    assert sum(blocks) == 400 * (1_000 - 19)
+    assert len(blocks) == 3 and max(blocks) - min(blocks) <= 2 * (1_000 - 19)
+    assert not list(substring._blocks(batch.slice(0, 0), 20))
+    empty = batch.slice(0, 2).set_column(2, "text", pa.array([None, ""]))
+    assert [len(b.at) for b in substring._blocks(empty, 20)] == [0]
+
+
+def test_python_tasks_get_batches_of_two_megabytes(spark):
+    session = spark.newSession()
+    texts = session.range(0, 600, 1, 1).select(F.repeat(F.lit("word "), 2_000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([batch.nbytes]), pa.array([len(batch)])], ["bytes", "rows"])
+
+    found = in_small_batches(texts).mapInArrow(sizes, "bytes bigint, rows bigint").collect()
+    assert sum(r.rows for r in found) == 600
+    assert len(found) > 1 and max(r.bytes for r in found) <= (2 << 20) + 20_000
