@@ -140,6 +140,98 @@ def overlaps(left: Column, right: Column, left_key: Column, right_key: Column,
     return F.when(possible, jaccard(left, right) >= threshold).otherwise(False)
 
 
+# A digest keeps the number of its members in these low bits.
+_COUNT_BITS = 12
+_COUNT = (1 << _COUNT_BITS) - 1
+_HALF = 32
+
+
+def _digest(members: Column, count: Column) -> Column:
+    return F.shiftleft(members, _COUNT_BITS).bitwiseOR(count)
+
+
+def set_digests(ordered: Column) -> Column:
+    """A sorted set of 64-bit hashes in short: cut into ranges of equal width, one number per range.
+
+    Hashes are spread evenly, so a range holds 16 at most on average; there are 64 ranges at least and
+    their number is a power of two. A range's digest is the exclusive or of its members (52 bits of it)
+    and their number, 0 for none. A large set takes about a number for twelve members.
+    """
+
+    def digests(sized: Column) -> Column:
+        ranges = F.call_function("shiftleft", F.lit(1), sized["bits"])
+        low = F.lit(64) - sized["bits"]
+
+        def closed(state: Column, until: Column) -> Column:
+            """What is there and the open range, then empty ones up to ``until``."""
+            return F.concat(state["out"], F.array(_digest(state["members"], state["count"])),
+                            F.array_repeat(F.lit(0).cast("bigint"), until - F.size(state["out"]) - 1))
+
+        def step(state: Column, hashed: Column) -> Column:
+            # The open range is the one after those that are closed.
+            place = F.call_function("shiftright", hashed, low).cast("int") + F.shiftright(ranges, 1)
+            return F.when(place == F.size(state["out"]), F.struct(
+                state["members"].bitwiseXOR(hashed).alias("members"),
+                (state["count"] + 1).alias("count"), state["out"].alias("out"))
+            ).otherwise(F.struct(
+                hashed.alias("members"), F.lit(1).cast("bigint").alias("count"),
+                closed(state, place).alias("out")))
+
+        start = F.struct(
+            F.lit(0).cast("bigint").alias("members"), F.lit(0).cast("bigint").alias("count"),
+            F.expr("cast(array() as array<bigint>)").alias("out"))
+        return F.aggregate(ordered, start, step, lambda state: closed(state, ranges))
+
+    sixteenth = F.shiftright(F.greatest(F.size(ordered) - 1, F.lit(0)), 4)
+    bits = F.greatest(F.lit(6), F.length(F.bin(sixteenth)))
+    return F.when(ordered.isNotNull(), bind(F.struct(bits.alias("bits")), digests))
+
+
+def _halved(digests: Column) -> Column:
+    """The digests of ranges twice as wide."""
+
+    def both(a: Column, b: Column) -> Column:
+        members = F.shiftright(a, _COUNT_BITS).bitwiseXOR(F.shiftright(b, _COUNT_BITS))
+        return _digest(members, a.bitwiseAND(_COUNT) + b.bitwiseAND(_COUNT))
+
+    places = F.sequence(F.lit(0), F.shiftright(F.size(digests), 1) - 1)
+    return F.transform(places, lambda i: both(F.get(digests, i * 2), F.get(digests, i * 2 + 1)))
+
+
+def surely_overlaps(left: Column, right: Column, left_size: Column, right_size: Column,
+                    threshold: float) -> Column:
+    """What ``set_digests`` of two sets tell of ``jaccard >= threshold``; null where they do not decide it.
+
+    Ranges with one digest have the same members, all of them shared. Of other ranges at most the smaller
+    number is shared, or one less where the numbers are equal.
+    """
+    total = left_size + right_size
+    smaller, larger = F.least(left_size, right_size), F.greatest(left_size, right_size)
+
+    def bounds(a: Column, b: Column) -> Column:
+        """At most and, in the upper half of the number, at least so many members are shared."""
+        m, n = a.bitwiseAND(_COUNT), b.bitwiseAND(_COUNT)
+        return F.when(a == b, m * F.lit((1 << _HALF) + 1)).otherwise(F.least(m, n) - (m == n).cast("int"))
+
+    def decided(shared: Column) -> Column:
+        least, most = F.shiftright(shared, _HALF), shared.bitwiseAND((1 << _HALF) - 1)
+        return F.when(least / (total - least) >= threshold, True).when(
+            most / (total - most) < threshold, False)
+
+    def summed(pair: Column) -> Column:
+        return F.aggregate(F.zip_with(pair["l"], pair["r"], bounds), F.lit(0).cast("bigint"),
+                           lambda a, b: a + b)
+
+    of_left, of_right = F.size(left), F.size(right)
+    pair = (
+        F.when(of_left == of_right, F.struct(left.alias("l"), right.alias("r")))
+        .when(of_left == of_right * 2, F.struct(_halved(left).alias("l"), right.alias("r")))
+        .when(of_left * 2 == of_right, F.struct(left.alias("l"), _halved(right).alias("r")))
+    )
+    return F.when(larger == 0, threshold <= 1).when(smaller / larger < threshold, False).otherwise(
+        bind(bind(pair, summed), decided))
+
+
 def is_placeholder(text: Column) -> Column:
     """Missing, blank, or nothing but a placeholder word."""
     bare = F.trim(text)

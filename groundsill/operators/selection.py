@@ -2,11 +2,14 @@
 
 One shuffle by request serves every step: later windows and the fold use the same
 distribution. Texts are looked at once each, not once per request, and stay out of that shuffle. A request has at most as many candidates as the search width allows, so the
-arrays that the fold works on are bounded.
+arrays that the fold works on are bounded. Digests of shingle sets travel in their place: they decide which texts overlap and
+which do not, and only where they leave it open do the sets of those texts follow.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -22,6 +25,7 @@ CANDIDATE = [
     "event_date", "source_reference", "chunk_text",
 ]
 CONSTRAINTS = ["allowed_types", "required_equipment", "date_from", "date_to"]
+COMPARED = ["tokens", "shingles", "digests"]
 
 
 def _finite(value: Column) -> Column:
@@ -93,38 +97,52 @@ def _filter_reason(policy: SelectionPolicy) -> Column:
     )
 
 
-def text_facts(texts: DataFrame, policy: SelectionPolicy) -> DataFrame:
+def _hashed_shingles(clean: Column) -> Column:
+    """The shingles of a cleaned text, which has single blanks only, as a sorted set of 64-bit hashes."""
+    return F.sort_array(F.transform(tx.word_shingles(F.split(clean, " ")), lambda s: F.xxhash64(s)))
+
+
+def text_facts(texts: DataFrame, compared: bool = True) -> DataFrame:
     """What selection asks of a text, found once however many requests met it.
 
-    ``texts`` has distinct ``text_key, chunk_text``. Shingles are kept as a sorted set of 64-bit hashes
-    with its leading part, so that the fold compares numbers.
+    ``texts`` has distinct ``text_key, chunk_text``. What the fold asks is there if texts are ``compared``:
+    the number of words, and the number and the digests of the shingles.
     """
-    clean = F.col("clean_text")
+    clean = F.col("_clean")
     usable = F.coalesce(clean != "", F.lit(False))
-    cleaned = texts.withColumn("clean_text", tx.sanitize(F.col("chunk_text"))).withColumn(
-        # Cleaned text has single blanks only.
-        "_words", F.when(usable, F.split(clean, " ")))
-    hashed = F.sort_array(F.transform(tx.word_shingles(F.col("_words")), lambda s: F.xxhash64(s)))
-    return cleaned.select(
-        "text_key", "chunk_text", "clean_text", usable.alias("usable"),
-        tx.is_noise(clean).alias("noise"), tx.has_injection(clean).alias("injected"),
-        F.size("_words").alias("tokens"), F.when(usable, hashed).alias("all"),
-    ).withColumn("key", tx.overlap_key(F.col("all"), policy.overlap_ratio_threshold))
-
-
-def _keyed(candidates: DataFrame, policy: SelectionPolicy) -> tuple[DataFrame, DataFrame]:
+    cleaned = texts.withColumn("_clean", tx.sanitize(F.col("chunk_text")))
+    facts = ["text_key", "chunk_text", usable.alias("usable"), tx.is_noise(clean).alias("noise"),
+             tx.has_injection(clean).alias("injected")]
+    if not compared:
+        return cleaned.select(facts)
+    return cleaned.withColumn("_all", F.when(usable, _hashed_shingles(clean))).select(
+        *facts, F.when(usable, F.size(F.split(clean, " "))).alias("tokens"),
+        F.size("_all").alias("shingles"), tx.set_digests(F.col("_all")).alias("digests"))
+
+
+def _keyed(candidates: DataFrame, compared: bool) -> tuple[DataFrame, DataFrame]:
     """Candidates by text key without their texts, and the facts of the texts. Facts are written once:
     the checks, the fold and the result read columns of their own from them."""
     rows = candidates.select("request_id", *CANDIDATE).withColumn(
-        "text_key", F.sha2("chunk_text", 256))
+        "text_key", F.unhex(F.sha2("chunk_text", 256)))
     texts = rows.where(F.col("text_key").isNotNull()).select("text_key", "chunk_text").distinct()
-    return rows.drop("chunk_text"), materialize(text_facts(texts, policy))
+    return rows.drop("chunk_text"), materialize(text_facts(texts, compared))
 
 
 def _checked(rows: DataFrame, facts: DataFrame, policy: SelectionPolicy,
              constraints: DataFrame | None) -> DataFrame:
     """Narrow candidates with the best score of their request and ``drop_reason`` of the checks, the
-    duplicate rule and the per-knowledge cap."""
+    duplicate rule and the per-knowledge cap. Those without a reason have what the fold asks of their texts,
+    if the facts do."""
+    # The fold's columns, for rows whose texts and scores can pass.
+    compared = [c for c in COMPARED if c in facts.columns]
+    rows = rows.join(facts.select("text_key", "usable", "noise", "injected", *compared), "text_key", "left")
+    may_pass = (
+        _finite(F.col("similarity")) & (F.col("similarity") >= policy.min_chunk_similarity)
+        & F.col("usable") & ~F.col("noise")
+    )
+    rows = rows.withColumns({c: F.when(may_pass, F.col(c)) for c in compared})
+    # Before the constraints join: their shuffle is the one that the windows and the fold stay in.
     if constraints is None:
         rows = rows.withColumns({
             "allowed_types": F.lit(None).cast("array<string>"),
@@ -133,7 +151,6 @@ def _checked(rows: DataFrame, facts: DataFrame, policy: SelectionPolicy,
         })
     else:
         rows = rows.join(constraints.select("request_id", *CONSTRAINTS), "request_id", "left")
-    rows = rows.join(facts.select("text_key", "usable", "noise", "injected"), "text_key", "left")
     whole = Window.partitionBy("request_id")
     scored = F.when(~F.isnan("similarity"), F.col("similarity"))
     checked = rows.withColumn("top_similarity", F.max(scored).over(whole)).withColumn(
@@ -157,47 +174,44 @@ def _checked(rows: DataFrame, facts: DataFrame, policy: SelectionPolicy,
             fixed.DROP_KNOWLEDGE_CAP,
         ).otherwise(F.col("drop_reason")),
     )
-    return capped.drop("_nth", "usable", "noise", *CONSTRAINTS)
+    return capped.withColumns({c: F.when(alive, F.col(c)) for c in compared}).drop(
+        "_nth", "usable", "noise", *CONSTRAINTS)
 
 
 def _with_texts(rows: DataFrame, facts: DataFrame) -> DataFrame:
-    return rows.join(facts.select("text_key", "chunk_text", "clean_text"), "text_key", "left").drop(
-        "text_key")
+    texts = facts.select("text_key", "chunk_text", tx.sanitize(F.col("chunk_text")).alias("clean_text"))
+    return rows.join(texts, "text_key", "left").drop("text_key")
 
 
 def filter_candidates(candidates: DataFrame, policy: SelectionPolicy,
                       constraints: DataFrame | None = None) -> DataFrame:
     """Adds cleaned text, best score of the request, and ``drop_reason`` of the checks, the
     duplicate rule and the per-knowledge cap. Best ranked copies are kept."""
-    rows, facts = _keyed(candidates, policy)
+    rows, facts = _keyed(candidates, compared=False)
     return _with_texts(_checked(rows, facts, policy, constraints), facts)
 
 
-def _fold(rows: Column, policy: SelectionPolicy) -> Column:
-    """Overlap rule, hard cap and token budget in rank order; one decision per row.
+def _fold(rows: Column, policy: SelectionPolicy, near: Callable[[Column, Column], Column]) -> Column:
+    """Overlap rule, hard cap and token budget in rank order: ``out`` has one decision per row.
 
     A candidate is compared with every one kept so far, kept ones past the hard cap included.
-    One that does not fit the budget is skipped and the next is tried.
+    One that does not fit the budget is skipped and the next is tried. ``near`` says of a kept row's position
+    and another one whether their texts overlap; ``open`` is true once it had no answer that counts.
     """
     cap, budget = policy.per_chunk_tokens, policy.max_evidence_tokens
-    threshold = policy.overlap_ratio_threshold
 
     # The state names kept rows by position and looks them up, so that it stays small.
     def step(state: Column, position: Column) -> Column:
         row = F.get(rows, position)
-
-        def near(kept_position: Column) -> Column:
-            kept = F.get(rows, kept_position)
-            return tx.overlaps(kept["all"], row["all"], kept["key"], row["key"], threshold)
-
         reason = row["drop_reason"]
-        repeated = reason.isNull() & F.exists(state["kept"], near)
+        repeated = reason.isNull() & F.exists(state["kept"], lambda kept: near(kept, position))
         trimmed = F.least(row["tokens"], F.lit(cap))
         no_room = (F.size(state["kept"]) >= policy.max_chunks) | (
             state["used"] + trimmed > budget
         )
 
-        def decide(is_repeat: Column) -> Column:
+        def decide(answer: Column) -> Column:
+            is_repeat = F.coalesce(answer, F.lit(False))
             distinct = reason.isNull() & ~is_repeat
             taken = distinct & ~no_room
             decision = F.struct(
@@ -211,6 +225,7 @@ def _fold(rows: Column, policy: SelectionPolicy) -> Column:
                 .otherwise(state["kept"]).alias("kept"),
                 (state["used"] + F.when(taken, trimmed).otherwise(F.lit(0))).alias("used"),
                 F.concat(state["out"], F.array(decision)).alias("out"),
+                (state["open"] | answer.isNull()).alias("open"),
             )
 
         return bind(repeated, decide)
@@ -221,38 +236,132 @@ def _fold(rows: Column, policy: SelectionPolicy) -> Column:
             "cast(array() as array<struct<reason:string,needs_trim:boolean,"
             "reserved_tokens:int>>)"
         ).alias("out"),
+        F.lit(False).alias("open"),
     )
-    positions = F.sequence(F.lit(0), F.size(rows) - 1)
-    return F.aggregate(positions, start, step, lambda state: state["out"])
+    return F.aggregate(
+        _positions(rows), start, step, lambda state: F.struct(state["out"], state["open"]))
+
+
+def _positions(rows: Column) -> Column:
+    return F.sequence(F.lit(0), F.size(rows) - 1)
+
+
+def _answers(rows: Column, near: Callable[[Column, Column], Column]) -> Column:
+    """Per row that was not dropped what ``near`` says of it and each row before it; false of a dropped one."""
+    def passed(position: Column) -> Column:
+        return F.get(rows, position)["drop_reason"].isNull()
+
+    def asked(position: Column) -> Column:
+        return F.transform(
+            F.slice(_positions(rows), F.lit(1), position),
+            lambda earlier: F.when(passed(earlier), near(earlier, position)).otherwise(False))
+
+    return F.transform(_positions(rows), lambda position: F.when(passed(position), asked(position)).otherwise(
+        F.expr("cast(array() as array<boolean>)")))
+
+
+def _in_doubt(answers: Column) -> Column:
+    """Per row whether an answer about it is missing."""
+    def missing(later: Column, position: Column) -> Column:
+        return (F.size(later) > position) & F.get(later, position).isNull()
+
+    return F.transform(answers, lambda own, position: F.exists(own, lambda a: a.isNull()) | F.exists(
+        answers, lambda later: missing(later, position)))
+
+
+DECIDED = ["drop_reason", "needs_trim", "reserved_tokens"]
+_OPEN = ["open", "place", "tokens", "answers", "in_doubt"]
+
+
+def _by_digests(checked: DataFrame, policy: SelectionPolicy) -> DataFrame:
+    """The fold as far as digests lead. Where they leave something ``open``, all rows of the request keep the
+    reason they came with, and bring their ``place`` in rank order, what the digests said, and whether
+    an answer about them is missing."""
+    names = [*[c for c in CANDIDATE if c != "chunk_text"], "text_key", "top_similarity", "injected",
+             "drop_reason"]
+    rows = F.col("rows")
+
+    def near(kept: Column, position: Column) -> Column:
+        one, other = F.get(rows, kept), F.get(rows, position)
+        return tx.surely_overlaps(one["digests"], other["digests"], one["shingles"], other["shingles"],
+                                  policy.overlap_ratio_threshold)
+
+    grouped = checked.groupBy("request_id").agg(
+        F.sort_array(F.collect_list(F.struct(*names, *COMPARED))).alias("rows"))
+    folded = grouped.withColumn("d", _fold(rows, policy, near))
+    # Arrays that end early are filled up with nulls when they are zipped.
+    answered = folded.withColumn("answers", F.when(F.col("d.open"), _answers(rows, near)).otherwise(
+        F.expr("cast(array() as array<array<boolean>>)")))
+    # Without digests from here on.
+    narrow = F.transform(rows, lambda row: F.struct(*[row[n].alias(n) for n in [*names, "tokens"]]))
+    placed = answered.select(
+        "request_id", F.col("d.open").alias("open"),
+        F.posexplode(F.arrays_zip(
+            narrow.alias("row"), F.col("d.out").alias("out"), F.col("answers"),
+            _in_doubt(F.col("answers")).alias("in_doubt"))).alias("place", "z"))
+    row, out = F.col("z.row"), F.col("z.out")
+    settled = ~F.col("open")
+    return placed.select(
+        "request_id", *[row[n].alias(n) for n in names if n != "drop_reason"],
+        F.when(settled, out["reason"]).otherwise(row["drop_reason"]).alias("drop_reason"),
+        *[F.when(settled, out[n]).alias(n) for n in DECIDED[1:]],
+        "open", "place", row["tokens"].alias("tokens"), F.col("z.answers").alias("answers"),
+        F.col("z.in_doubt").alias("in_doubt"))
+
+
+def _by_shingles(opened: DataFrame, facts: DataFrame, policy: SelectionPolicy) -> DataFrame:
+    """The fold of the requests that digests left open. Shingles come along for rows in doubt only."""
+    names = [c for c in opened.columns if c not in ("request_id", "open", "place", "in_doubt")]
+    doubted = opened.where("in_doubt")
+    # Written once, so that its size is known: few keys are sent to the texts, not texts to the keys.
+    wanted = materialize(doubted.select("text_key").distinct())
+    texts = facts.select("text_key", "chunk_text").join(wanted, "text_key", "left_semi")
+    threshold = policy.overlap_ratio_threshold
+    hashed = texts.select("text_key", _hashed_shingles(tx.sanitize(F.col("chunk_text"))).alias("all"))
+    known = doubted.select("request_id", "place", "text_key").join(hashed, "text_key").select(
+        "request_id", F.struct("place", F.struct(
+            "all", tx.overlap_key(F.col("all"), threshold).alias("key"))).alias("known"))
+    both = opened.select("request_id", F.struct("place", *names).alias("row")).unionByName(
+        known, allowMissingColumns=True)
+    rows, sets = F.col("rows"), F.col("sets")
+
+    def near(kept: Column, position: Column) -> Column:
+        one, other = sets[kept], sets[position]
+        return F.coalesce(
+            F.get(F.get(rows, position)["answers"], kept),
+            tx.overlaps(one["all"], other["all"], one["key"], other["key"], threshold))
+
+    grouped = both.groupBy("request_id").agg(
+        F.sort_array(F.collect_list("row")).alias("rows"),
+        F.map_from_entries(F.collect_list("known")).alias("sets"))
+    decided = grouped.withColumn("d", _fold(rows, policy, near)["out"]).select(
+        "request_id", F.explode(F.arrays_zip("rows", "d")).alias("z"))
+    return decided.select(
+        "request_id", *[F.col(f"z.rows.{n}").alias(n) for n in names if n not in (*DECIDED, *_OPEN)],
+        F.col("z.d.reason").alias("drop_reason"),
+        *[F.col(f"z.d.{n}").alias(n) for n in DECIDED[1:]])
 
 
 def select_evidence(candidates: DataFrame, policy: SelectionPolicy,
-                    constraints: DataFrame | None = None) -> DataFrame:
+                    constraints: DataFrame | None = None, unselected_texts: bool = True) -> DataFrame:
     """Every candidate exactly once, with ``drop_reason`` (null = selected), ``needs_trim``,
     ``reserved_tokens``, and whether its text gives instructions (``injected``).
 
     Texts do not travel with the candidates: what the checks ask of them are flags, what the fold
-    compares are the hashed shingles of candidates that passed, and the texts join the result.
+    compares are digests of the hashed shingles of candidates that can pass, and the texts join the result.
+    Decisions are written once; requests that need shingles themselves are told from them. Rows that were not
+    selected have no texts if ``unselected_texts`` is false.
     """
-    rows, facts = _keyed(candidates, policy)
-    checked = _checked(rows, facts, policy, constraints)
-    passed = F.when(F.col("drop_reason").isNull(), F.col("text_key"))
-    compared = facts.select(F.col("text_key").alias("_passed"), "tokens", "all", "key")
-    fields = [*[c for c in CANDIDATE if c != "chunk_text"], "text_key", "top_similarity", "injected",
-              "drop_reason"]
-    grouped = checked.join(compared, passed == F.col("_passed"), "left").groupBy("request_id").agg(
-        F.sort_array(F.collect_list(F.struct(*fields, "tokens", "all", "key"))).alias("rows")
-    )
-    decided = grouped.select(
-        "request_id", "rows", _fold(F.col("rows"), policy).alias("d")
-    ).select("request_id", F.explode(F.arrays_zip("rows", "d")).alias("z"))
-    kept = [f for f in fields if f != "drop_reason"]
-    return _with_texts(decided.select(
-        "request_id", *[F.col(f"z.rows.{f}").alias(f) for f in kept],
-        F.col("z.d.reason").alias("drop_reason"),
-        F.col("z.d.needs_trim").alias("needs_trim"),
-        F.col("z.d.reserved_tokens").alias("reserved_tokens"),
-    ), facts)
+    rows, facts = _keyed(candidates, compared=True)
+    judged = materialize(_by_digests(_checked(rows, facts, policy, constraints), policy))
+    decided, opened = judged.where(~F.col("open")).drop(*_OPEN), judged.where("open")
+    if not opened.isEmpty():
+        decided = decided.unionByName(materialize(_by_shingles(opened, facts, policy)))
+    if unselected_texts:
+        return _with_texts(decided, facts)
+    picked = F.col("drop_reason").isNull()
+    return _with_texts(decided.where(picked), facts).unionByName(
+        decided.where(~picked).drop("text_key"), allowMissingColumns=True)
 
 
 def selected(judged: DataFrame) -> DataFrame:

@@ -212,8 +212,8 @@ class Stages:
     @cached_property
     def selection(self) -> DataFrame:
         # Written once: metrics and evidence are two readings of it.
-        return materialize(texts_of_selected(
-            selection.select_evidence(self.candidates, POLICY, self.constraints)))
+        return materialize(texts_of_selected(selection.select_evidence(
+            self.candidates, POLICY, self.constraints, unselected_texts=False)))
 
     @cached_property
     def metrics(self) -> DataFrame:
@@ -231,8 +231,8 @@ class Stages:
     @cached_property
     def answer_selection(self) -> DataFrame:
         # Written once: metrics and evidence are two readings of it.
-        return materialize(texts_of_selected(
-            selection.select_evidence(self.served, POLICY, self.answer_constraints)))
+        return materialize(texts_of_selected(selection.select_evidence(
+            self.served, POLICY, self.answer_constraints, unselected_texts=False)))
 
     @cached_property
     def answer_metrics(self) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -403,6 +404,79 @@ def test_overlap_looks_at_kept_rows_only(spark):
     assert reasons(out) == {0: None, 1: fixed.DROP_OVERLAP, 2: None, 3: None}
 
 
+def overlap_share(a, b):
+    x, y = ({" ".join(w[i:i + 5]) for i in range(len(w) - 4)} for w in (a.split(), b.split()))
+    return len(x & y) / len(x | y)
+
+
+def rows_of(spark, requests):
+    """Candidates from lists of texts by request."""
+    return spark.createDataFrame(
+        [(request, i, f"c{i}", 0.9, f"k{i}", "sop", "E1", dt.date(2024, 1, 5), "src", text)
+         for request, texts in requests.items() for i, text in enumerate(texts)], CANDIDATES)
+
+
+def test_near_copies_of_all_degrees_are_judged_exactly(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    requests = {}
+    for n in range(12):
+        words = [f"w{n}x{i}" for i in range(int(rng.integers(90, 600)))]
+        requests[f"r{n}"] = [" ".join(
+            f"e{rng.integers(1 << 40)}" if rng.random() < rate else w for w in words)
+            for rate in (0, 0.002, 0.2, 0.01, 0.016, 0.02, 0.022, 0.025, 0.03, 0.3, 0.05, 0.1)]
+    requests["none"] = [" ".join(f"{i}u{j}" for j in range(300)) for i in range(8)]
+    requests["same"] = ["one text twice and again in other rows"] * 3
+    opened = []
+    by_shingles = sel._by_shingles
+    monkeypatch.setattr(sel, "_by_shingles", lambda df, *more: opened.extend(
+        df.select("request_id", "place", "in_doubt").collect()) or by_shingles(df, *more))
+    got = {(r.request_id, r.rank): r for r in sel.select_evidence(rows_of(spark, requests), POLICY).collect()}
+    assert len(got) == sum(map(len, requests.values()))
+    for request, texts in requests.items():
+        kept, used = [], 0
+        for rank, text in enumerate(texts):
+            row, size = got[request, rank], min(len(text.split()), POLICY.per_chunk_tokens)
+            assert row.chunk_text == row.clean_text == text
+            if any(overlap_share(one, text) >= POLICY.overlap_ratio_threshold for one in kept):
+                assert row.drop_reason == fixed.DROP_OVERLAP
+                continue
+            fits = len(kept) < POLICY.max_chunks and used + size <= POLICY.max_evidence_tokens
+            kept.append(text)
+            assert (row.drop_reason, row.reserved_tokens) == (
+                (None, size) if fits else (fixed.DROP_BUDGET, None))
+            used += size if fits else 0
+    # Digests decide some requests and some rows, and not all.
+    asked = {r.request_id for r in opened}
+    assert asked and not asked & {"none", "same"}
+    assert len({r.in_doubt for r in opened}) == 2
+    short = sel.select_evidence(rows_of(spark, requests), POLICY, unselected_texts=False).collect()
+    assert {(r.request_id, r.rank): (r.drop_reason, r.reserved_tokens) for r in short} == {
+        k: (r.drop_reason, r.reserved_tokens) for k, r in got.items()}
+    assert all((r.chunk_text is None) == (r.drop_reason is not None) for r in short)
+
+
+def test_shingles_do_not_travel_with_the_candidates(spark):
+    texts = [" ".join(f"{i}w{j}" for j in range(3000)) for i in range(30)]
+    rows = rows_of(spark, {f"r{n}": texts[n % 11:n % 11 + 19] for n in range(60)})
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+                   .localDirsString())
+
+    def files():
+        return {path: path.stat().st_size for folder in folders for path in Path(folder).rglob("*.data")}
+
+    before, threshold = files(), "spark.sql.autoBroadcastJoinThreshold"
+    usual = spark.conf.get(threshold)
+    # As with tables that are too large to be broadcast.
+    spark.conf.set(threshold, "-1")
+    try:
+        out = sel.select_evidence(rows, POLICY).drop("chunk_text", "clean_text")
+        assert out.groupBy("drop_reason").count().count() == 2
+    finally:
+        spark.conf.set(threshold, usual)
+    # 1140 candidates of 3000 shingles of 8 bytes each are 27 MB, and their leading fifths 5 MB.
+    assert sum(size for path, size in files().items() if path not in before) < 8e6
+
+
 def test_budget_skips_and_goes_on(spark):
     policy = SelectionPolicy(min_top_similarity=0.5, min_chunk_similarity=0.3,
                              max_evidence_tokens=100, max_chunk_token_ratio=0.6)

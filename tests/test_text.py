@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -167,3 +168,36 @@ def test_suspicious_ids(spark):
     text = "EQ_ZZ999 éEQ_ZZ998 LINE_A1 EQ_1 xMAINT_2 plainword"
     assert values(spark, [text], ct.suspicious_ids(T)) == [["EQ_ZZ999", "LINE_A1", "xMAINT_2"]]
     assert values(spark, [text], ct.suspicious_ids(T, 8)) == [["EQ_ZZ999", "xMAINT_2"]]
+
+
+def test_digests_decide_overlap_or_leave_it_open(spark):
+    rng = random.Random(3)
+    rows = []
+    # Sizes on both sides of a doubled number of ranges, and empty ones.
+    for n in (0, 1, 7, 64, 300, 1000, 1024, 1025, 1100, 3000):
+        base = [f"w{rng.random()}" for _ in range(n)]
+        rows.append((n, -1.0, base + ["more"]))
+        rows.extend((n, part, base[:int(n * part)] + [f"v{rng.random()}" for _ in range(n - int(n * part))])
+                    for part in (1.0, 0.995, 0.95, 0.9, 0.89, 0.88, 0.6, 0.1))
+    made = spark.createDataFrame(rows, "n int, part double, w array<string>").select(
+        "n", "part", F.sort_array(F.transform("w", lambda s: F.xxhash64(s))).alias("s")).withColumn(
+        "d", tx.set_digests(F.col("s"))).localCheckpoint()
+    for row in made.collect():
+        counts = [x & 4095 for x in row.d]
+        ranges = len(counts)
+        assert sum(counts) == len(row.s) and ranges >= 64 and len(row.s) <= 16 * ranges
+        members = [0] * ranges
+        for hashed in row.s:
+            members[(hashed + (1 << 63)) * ranges >> 64] ^= hashed
+        assert [x >> 12 & (1 << 52) - 1 for x in row.d] == [m & (1 << 52) - 1 for m in members]
+    a, b = made.alias("a"), made.alias("b")
+    for threshold in (0.3, 1.0, 0.8):
+        pairs = a.join(b, F.abs(F.col("a.n") - F.col("b.n")) < 100).select(
+            "a.n", F.col("b.n").alias("m"), "a.part", F.col("b.part").alias("other"),
+            tx.jaccard(F.col("a.s"), F.col("b.s")).alias("j"),
+            tx.surely_overlaps(F.col("a.d"), F.col("b.d"), F.size("a.s"), F.size("b.s"), threshold).alias("o")
+        ).collect()
+        assert all(r.o == (r.j >= threshold) for r in pairs if r.o is not None)
+        assert all(r.o for r in pairs if (r.n, r.part) == (r.m, r.other))
+    left_open = {r.part for r in pairs if r.n == r.m >= 64 and r.other == 1.0 and r.o is None}
+    assert left_open and not left_open & {-1.0, 0.1, 1.0}
