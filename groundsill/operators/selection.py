@@ -126,7 +126,7 @@ def _keyed(candidates: DataFrame, compared: bool) -> tuple[DataFrame, DataFrame]
     rows = candidates.select("request_id", *CANDIDATE).withColumn(
         "text_key", F.unhex(F.sha2("chunk_text", 256)))
     texts = rows.where(F.col("text_key").isNotNull()).select("text_key", "chunk_text").distinct()
-    return rows.drop("chunk_text"), materialize(text_facts(texts, compared))
+    return rows.drop("chunk_text"), materialize(text_facts(texts, compared), dense=True)
 
 
 def _checked(rows: DataFrame, facts: DataFrame, policy: SelectionPolicy,
@@ -353,10 +353,12 @@ def select_evidence(candidates: DataFrame, policy: SelectionPolicy,
     selected have no texts if ``unselected_texts`` is false.
     """
     rows, facts = _keyed(candidates, compared=True)
-    judged = materialize(_by_digests(_checked(rows, facts, policy, constraints), policy))
+    judged = materialize(
+        _by_digests(_checked(rows, facts, policy, constraints), policy), dense=True)
     decided, opened = judged.where(~F.col("open")).drop(*_OPEN), judged.where("open")
     if not opened.isEmpty():
-        decided = decided.unionByName(materialize(_by_shingles(opened, facts, policy)))
+        decided = decided.unionByName(materialize(
+            _by_shingles(opened, facts, policy), dense=True))
     if unselected_texts:
         return _with_texts(decided, facts)
     picked = F.col("drop_reason").isNull()

@@ -129,7 +129,7 @@ class Stages:
     @cached_property
     def export(self) -> DataFrame:
         # Written once: search, metadata, probes and publishing read columns of their own from it.
-        return materialize(index.export_index(self.index_input))
+        return materialize(index.export_index(self.index_input), dense=True)
 
     @cached_property
     def validated(self) -> DataFrame:
@@ -157,7 +157,8 @@ class Stages:
     @cached_property
     def hits(self) -> DataFrame:
         # Written once: filters, selection and logs all start from the same hits.
-        return materialize(search.knn_topk(self.searchable, self.export, PIN.dimension))
+        return materialize(
+            search.knn_topk(self.searchable, self.export, PIN.dimension), dense=True)
 
     @cached_property
     def resolved(self) -> DataFrame:
@@ -213,7 +214,7 @@ class Stages:
     def selection(self) -> DataFrame:
         # Written once: metrics and evidence are two readings of it.
         return materialize(texts_of_selected(selection.select_evidence(
-            self.candidates, POLICY, self.constraints, unselected_texts=False)))
+            self.candidates, POLICY, self.constraints, unselected_texts=False)), dense=True)
 
     @cached_property
     def metrics(self) -> DataFrame:
@@ -232,7 +233,7 @@ class Stages:
     def answer_selection(self) -> DataFrame:
         # Written once: metrics and evidence are two readings of it.
         return materialize(texts_of_selected(selection.select_evidence(
-            self.served, POLICY, self.answer_constraints, unselected_texts=False)))
+            self.served, POLICY, self.answer_constraints, unselected_texts=False)), dense=True)
 
     @cached_property
     def answer_metrics(self) -> DataFrame:

@@ -65,16 +65,17 @@ def new_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/groundsill/{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, dense: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet into the shared folder and read it back from there.
 
     Used where several branches must see the same physical rows or where recomputing them costs
     more than storing them. The copy outlives the executors that wrote it, and later readers
-    still prune columns and push filters down.
+    still prune columns and push filters down. ``dense`` takes more time for fewer bytes, which pays for ids
+    and texts.
     """
     spark = df.sparkSession
     path = new_folder(spark)
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd" if dense else None)
     return spark.read.schema(df.schema).parquet(path)
 
 
